@@ -25,7 +25,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailytally.config import DEFAULT_BROADCAST_KEY_LIMIT, KEY_COLS, REVENUE_TYPE
@@ -58,8 +58,9 @@ def affected_groups(changed: DataFrame) -> DataFrame:
     return with_group_key(changed).select(*KEY_COLS).distinct()
 
 
-def aggregate_metrics(orders: DataFrame) -> DataFrame:
-    """A1-A4: one metric row per group of the given rows."""
+def aggregate_metrics(orders: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
+    """A1-A4: one metric row per group of the given rows (``extra``: more
+    aggregates computed in the same pass)."""
     return (
         with_group_key(orders)
         .groupBy(*KEY_COLS)
@@ -70,6 +71,7 @@ def aggregate_metrics(orders: DataFrame) -> DataFrame:
             F.coalesce(F.sum(F.when(is_completed(), F.col("amount"))), F.lit(0))
             .cast(REVENUE_TYPE)
             .alias("gross_revenue"),
+            *extra,
         )
     )
 

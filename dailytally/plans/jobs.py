@@ -130,14 +130,24 @@ class MetricsJob:
         self, orders: DataFrame, changed: DataFrame, dry_run: bool, full: bool = False
     ) -> tuple[int, int, _dt.datetime | None, int]:
         """Affected keys -> recompute -> write. Returns rows, groups, max, upserts."""
-        keyed = _keys_with_stats(self._checked(changed)).persist()
+        checked = self._checked(changed)
+        if full:
+            # From the epoch every group is touched: one aggregation gives the
+            # metrics and the run totals together.
+            keyed = TR.aggregate_metrics(checked, [F.max("updated_at").alias("_max")]).withColumn(
+                "_rows", F.col("total_orders")
+            )
+        else:
+            keyed = _keys_with_stats(checked)
+        keyed = keyed.persist()
         try:
             groups, rows, max_ts = _totals(keyed)  # one pass over the changed rows
             if rows == 0:
                 return 0, 0, None, 0
-            keys = keyed.select(*KEY_COLS)
-            # From the epoch every group is touched: one plain aggregation.
-            metrics = TR.daily_metrics_full(orders) if full else self._recompute(orders, keys)
+            if full:
+                metrics = keyed.drop("_max", "_rows")
+            else:
+                metrics = self._recompute(orders, keyed.select(*KEY_COLS))
             if dry_run:
                 self.last_preview = metrics
                 return rows, groups, max_ts, 0
@@ -153,7 +163,7 @@ class MetricsJob:
         t0 = time.time()
         run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         orders = self.orders()
-        mark = self.watermark() if mode != "full_preview" else EPOCH
+        mark = EPOCH if mode == "full" else self.watermark()
         batches = total_rows = total_groups = total_upserts = 0
         while True:
             if self.cfg.batch_size:
@@ -162,7 +172,7 @@ class MetricsJob:
                 changed = X.changed_since(orders, mark, self.cfg.lookback)
             if batches == 0:
                 self._quarantine(X.changed_since(self._raw(), mark, self.cfg.lookback), int(run_at.timestamp()))
-            full = mode in ("full", "full_preview") and mark == EPOCH and not self.cfg.batch_size
+            full = mode == "full" and mark == EPOCH and not self.cfg.batch_size
             rows, groups, max_ts, upserts = self._step(orders, changed, dry_run, full=full)
             if rows == 0:
                 break
@@ -178,7 +188,7 @@ class MetricsJob:
             if not self.cfg.batch_size:
                 break
         return {
-            "mode": "full" if mode in ("full", "full_preview") else "incremental",
+            "mode": mode,
             "dry_run": dry_run,
             "batches": batches,
             "total_rows": total_rows,
@@ -228,15 +238,16 @@ class MetricsJob:
         }
 
     def run_full(self, dry_run: bool = False, run_at: _dt.datetime | None = None) -> dict:
-        """Rebuild from the epoch. The mark is reset first (kept counters); a
-        dry run previews from the epoch without touching the state."""
+        """Rebuild every group from the epoch in one aggregation.
+
+        Unlike the reference, the mark is not reset to the epoch before the
+        run: the run reads from the epoch anyway and saves the new mark only
+        after the write, so a crash in the middle leaves the state as it
+        was (every day already rewritten is correct, being recomputed from
+        the source). A dry run previews from the epoch, touching nothing.
+        """
         run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        if dry_run:
-            return self.run_incremental(dry_run=True, run_at=run_at, mode="full_preview")
-        ids = self.spark.range(1).select(F.lit(self.cfg.pipeline_id).alias("pipeline_id"))
-        reset = S.reset_state(self.read_state(), ids, run_at).where(F.col("pipeline_id") == self.cfg.pipeline_id)
-        SL.append_state(reset, self.cfg.state_path, SL.next_seq(self.spark, self.cfg.state_path))
-        return self.run_incremental(dry_run=False, run_at=run_at, mode="full")
+        return self.run_incremental(dry_run=dry_run, run_at=run_at, mode="full")
 
 
 def _keys_with_stats(rows: DataFrame) -> DataFrame:
