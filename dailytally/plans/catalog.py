@@ -276,7 +276,9 @@ def q_hwm_get(spark, sf_dir):
 
 def q_hwm_save(spark, sf_dir):
     state, v2 = _state_v1(spark, sf_dir)
-    marks = S.watermark_of(state, state.select("pipeline_id"))
+    # One row per job id: broadcast after a size check, so the orders are
+    # never shuffled onto the few job ids.
+    marks, _ = L.checked_broadcast(S.watermark_of(state, state.select("pipeline_id")), 100_000)
     changed = (
         v2.withColumn("pipeline_id", SC.country_pipeline_id())
         .join(marks, "pipeline_id")

@@ -185,3 +185,22 @@ def test_apply_changes_then_job(orders_df, workdir, spark):
     j = MetricsJob(spark, apply_changes(snap, ch), cfg(workdir))
     j.run_incremental(run_at=RUN)
     assert one(j)[1] == 1
+
+
+def test_command_line_runs(spark, workdir, capsys):
+    import json
+
+    from dailytally.__main__ import main
+    from dailytally.operators.synth import synth_orders
+
+    synth_orders(spark, 2000, 2).write.parquet(f"{workdir}/orders")
+    base = ["--orders", f"{workdir}/orders", "--metrics", f"{workdir}/m", "--state", f"{workdir}/s"]
+    assert main(base + ["--mode", "full"]) == 0
+    full = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert full["mode"] == "full" and full["total_rows"] == 2000
+    assert main(base) == 0
+    inc = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert inc["total_rows"] == 0
+    assert main(base + ["--mode", "backfill", "--start-date", "2024-01-01", "--end-date", "2024-01-03"]) == 0
+    bf = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert bf["mode"] == "backfill" and bf["total_rows"] > 0
