@@ -25,6 +25,7 @@ from dailytally.operators import transform as TR
 from dailytally.operators.ledger import batch_ledger
 from dailytally.operators.synth import synth_orders_from_ids
 from dailytally.plans import scenarios as SC
+from dailytally.sources.orders import materialized_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,7 +38,14 @@ LOOKUP_KEY = ("rest_0001", "2024-01-15", "IN")
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SC.source(spark, sf_dir)
+    """The orders table (adapted driver tables, day-partitioned; keeps the
+    ``order_date`` partition column for pruning)."""
+    return materialized_orders(spark, sf_dir)
+
+
+def _rows(df: DataFrame) -> DataFrame:
+    """Order rows in the contract shape (drops the layout column)."""
+    return df.select(*ORDER_COLS)
 
 
 def _mark_of(df: DataFrame) -> _dt.datetime:
@@ -67,11 +75,11 @@ def q_scan_orders(spark, sf_dir):
 
 
 def q_extract_incremental(spark, sf_dir):
-    return X.extract_incremental(_orders(spark, sf_dir), SC.MARK)
+    return _rows(X.extract_incremental(_orders(spark, sf_dir), SC.MARK))
 
 
 def q_extract_incremental_batch(spark, sf_dir):
-    return X.extract_page(_orders(spark, sf_dir), SC.MARK, SC.PAGE_SIZE)
+    return _rows(X.extract_page(_orders(spark, sf_dir), SC.MARK, SC.PAGE_SIZE))
 
 
 def q_extract_batch_tie_safe(spark, sf_dir):
@@ -80,16 +88,16 @@ def q_extract_batch_tie_safe(spark, sf_dir):
 
 
 def q_extract_backfill(spark, sf_dir):
-    return X.extract_backfill(_orders(spark, sf_dir), SC.BACKFILL_START, SC.BACKFILL_END)
+    return _rows(X.extract_backfill(_orders(spark, sf_dir), SC.BACKFILL_START, SC.BACKFILL_END))
 
 
 def q_extract_full(spark, sf_dir):
-    return X.extract_full(_orders(spark, sf_dir))
+    return _rows(X.extract_full(_orders(spark, sf_dir)))
 
 
 def q_extract_after_hwm(spark, sf_dir):
     o = _orders(spark, sf_dir)
-    return X.changed_since(o, _mark_of(o))
+    return _rows(X.changed_since(o, _mark_of(o)))
 
 
 def q_batch_stats(spark, sf_dir):
