@@ -105,7 +105,7 @@ def write_change_files(changes: DataFrame, path: str, files: int = 16) -> None:
     ).write.mode("overwrite").parquet(path)
 
 
-def replay_two_snapshots(spark: SparkSession, orders: DataFrame, split=None, files: int = 8) -> DataFrame:
+def replay_two_snapshots(spark: SparkSession, orders: DataFrame, split=None, files: int = 4) -> DataFrame:
     """Scenario of the registered query: snapshot v1 and its metrics are the
     starting table; the changes from v1 to v2 arrive as a stream. Returns
     the metrics table after the stream, which must equal a full GROUP BY of
@@ -120,5 +120,5 @@ def replay_two_snapshots(spark: SparkSession, orders: DataFrame, split=None, fil
     write_orders_by_day(v1, base_path)
     MT.replace_days(aggregate_metrics(read_orders_by_day(spark, base_path)), metrics_path)
     write_change_files(SC.changes_after(orders, split), changes_dir, files)
-    ChangeFeedJob(spark, base_path, log_path, metrics_path).run(changes_dir, ckpt, max_files_per_trigger=max(1, files // 4))
+    ChangeFeedJob(spark, base_path, log_path, metrics_path).run(changes_dir, ckpt, max_files_per_trigger=max(1, files // 2))
     return MT.read_metrics(spark, metrics_path)
