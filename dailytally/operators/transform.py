@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from dailytally.config import DEFAULT_BROADCAST_KEY_LIMIT, KEY_COLS, REVENUE_TYPE
 from dailytally.functions.columns import (
-    date_lit,
     is_cancelled,
     is_completed,
     order_date,
@@ -169,13 +168,6 @@ def keys_from_arrays(
     return rows.select("restaurant_id", parse_iso_date("date_text").alias("date"), "country")
 
 
-def day_range_keys(spark: SparkSession, start: _dt.date | str, end: _dt.date | str) -> DataFrame:
-    """One ``date`` row per day of a range (for day-level recomputes)."""
-    return spark.range(1).select(
-        F.explode(F.sequence(date_lit(start), date_lit(end))).alias("date")
-    )
-
-
 def bounded_days(keys: DataFrame) -> DataFrame:
     """Days of a key set."""
     return keys.select("date").distinct()
@@ -186,7 +178,6 @@ __all__ = [
     "aggregate_metrics",
     "bounded_days",
     "daily_metrics_full",
-    "day_range_keys",
     "group_keys",
     "key_profile",
     "keys_from_arrays",

@@ -102,6 +102,12 @@ class MetricsJob:
 
     # --- steps --------------------------------------------------------------
 
+    def recover(self) -> int:
+        """Finish staged merges cut short by a crash (merge mode)."""
+        if self.cfg.write_mode == "merge":
+            return MT.recover(self.spark, self.cfg.metrics_path)
+        return 0
+
     def _recompute(self, orders: DataFrame, keys: DataFrame) -> DataFrame:
         if self.cfg.write_mode == "replace_days":
             return TR.recompute_days_of(orders, TR.bounded_days(keys))
@@ -162,6 +168,8 @@ class MetricsJob:
     def run_incremental(self, dry_run: bool = False, run_at: _dt.datetime | None = None, mode: str = "incremental") -> dict:
         t0 = time.time()
         run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        if not dry_run:
+            self.recover()
         orders = self.orders()
         mark = EPOCH if mode == "full" else self.watermark()
         batches = total_rows = total_groups = total_upserts = 0
@@ -207,6 +215,8 @@ class MetricsJob:
         t0 = time.time()
         if start > end:
             raise ValueError("start date must not be after end date")
+        if not dry_run:
+            self.recover()
         orders = self.orders()
         rows_df = X.extract_backfill(orders, start, end)
         keyed = _keys_with_stats(self._checked(rows_df)).persist()
@@ -266,9 +276,4 @@ def _totals(keyed: DataFrame) -> tuple[int, int, _dt.datetime | None]:
     return int(r[0]), int(r[1] or 0), r[2]
 
 
-def full_rebuild_metrics(orders: DataFrame) -> DataFrame:
-    """Full rebuild plan: one aggregation over everything, no semi-join."""
-    return TR.daily_metrics_full(orders)
-
-
-__all__ = ["JobConfig", "MetricsJob", "full_rebuild_metrics", "KEY_COLS"]
+__all__ = ["JobConfig", "MetricsJob"]

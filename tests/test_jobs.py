@@ -204,3 +204,29 @@ def test_command_line_runs(spark, workdir, capsys):
     assert main(base + ["--mode", "backfill", "--start-date", "2024-01-01", "--end-date", "2024-01-03"]) == 0
     bf = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert bf["mode"] == "backfill" and bf["total_rows"] > 0
+
+
+def test_merge_mode_recovers_a_copy_cut_short(orders_df, workdir, spark, monkeypatch):
+    from dailytally.sources import metrics_table as MT
+
+    a = order(order_id="a", restaurant_id="rest_001", status="completed", amount="10.00", created_at=T(2024, 1, 15, 9))
+    b = order(order_id="b", restaurant_id="rest_002", status="completed", amount="20.00", created_at=T(2024, 1, 15, 9))
+    c = cfg(workdir, write_mode="merge")
+    MetricsJob(spark, orders_df([a, b]), c).run_incremental(run_at=RUN)
+    # rest_001 changes; the copy of the staged day fails half-way
+    a2 = a[:3] + ("cancelled",) + a[4:7] + (T(2024, 1, 20),)
+    real = MT.apply_staged
+
+    def broken(spark_, staging, path):
+        raise RuntimeError("lost during copy")
+
+    monkeypatch.setattr(MT, "apply_staged", broken)
+    j = MetricsJob(spark, orders_df([a2, b]), c)
+    with pytest.raises(RuntimeError):
+        j.run_incremental(run_at=RUN)
+    monkeypatch.setattr(MT, "apply_staged", real)
+    assert len(MT.pending_staged(spark, c.metrics_path)) == 1
+    j.run_incremental(run_at=RUN)  # recovers the staged copy, then runs
+    assert MT.pending_staged(spark, c.metrics_path) == []
+    assert one(j, rest="rest_001") == (1, 0, 1, Decimal("0.00"))
+    assert one(j, rest="rest_002") == (1, 1, 0, Decimal("20.00"))  # carried-over group kept
