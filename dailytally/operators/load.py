@@ -3,7 +3,7 @@
 These are the pure forms: the result is the table as it must be after the
 write. How it gets to storage (dynamic partition overwrite of the touched
 days, or ``MERGE INTO`` on a table format that has it) is in
-``dailytally.plans.tables``.
+``dailytally.sources.metrics_table``.
 """
 
 from __future__ import annotations
@@ -69,10 +69,20 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str = "order
 
     Existing rows win; among incoming duplicates the first by change time
     is taken. Result = existing plus the new keys.
+
+    On the day-partitioned layout (``order_date`` column on the existing
+    side) only the days of the incoming rows are read for the key check: an
+    order's creation day never changes, so its key can only exist there.
     """
     w = Window.partitionBy(key).orderBy(F.col("updated_at").asc(), *[F.col(c) for c in incoming.columns if c != key])
     first = incoming.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    fresh = first.join(existing.select(key), key, "left_anti")
+    seen = existing
+    if "order_date" in existing.columns:
+        days = first.select(F.to_date("created_at").alias("order_date")).distinct()  # bounded by the calendar
+        seen = existing.join(F.broadcast(days), "order_date", "left_semi")
+    fresh = first.join(seen.select(key), key, "left_anti")
+    if "order_date" in existing.columns and "order_date" not in fresh.columns:
+        fresh = fresh.withColumn("order_date", F.to_date("created_at"))
     return existing.unionByName(fresh.select(*existing.columns))
 
 

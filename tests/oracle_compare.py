@@ -5,7 +5,6 @@ Usage: python tests/oracle_compare.py [sf_dir] [key ...]
 
 from __future__ import annotations
 
-import datetime as _dt
 import decimal
 import sys
 import time

@@ -84,3 +84,15 @@ def test_documents_form(spark):
     r = L.to_documents(m, run).first()
     assert r.date == "2024-01-15" and r.gross_revenue == 425.5 and r.last_updated_at == run
     assert dict(L.to_documents(m, run).dtypes)["gross_revenue"] == "double"
+
+
+def test_insert_if_absent_on_day_layout(spark, orders_df, workdir):
+    from dailytally.sources.orders import read_orders_by_day, write_orders_by_day
+
+    t = dt.datetime(2024, 1, 15, 10)
+    a = order(order_id="1", status="placed", created_at=t)
+    write_orders_by_day(orders_df([a]), f"{workdir}/o")
+    existing = read_orders_by_day(spark, f"{workdir}/o")
+    incoming = orders_df([a[:3] + ("completed",) + a[4:], order(order_id="2", created_at=dt.datetime(2024, 1, 16))])
+    out = {r.order_id: (r.status, r.order_date) for r in L.insert_if_absent(existing, incoming).collect()}
+    assert out == {"1": ("placed", dt.date(2024, 1, 15)), "2": ("placed", dt.date(2024, 1, 16))}
