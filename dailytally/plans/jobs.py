@@ -114,19 +114,29 @@ class MetricsJob:
         return TR.recompute_metrics(orders, keys, self.cfg.broadcast_key_limit)
 
     def _write(self, metrics: DataFrame) -> int:
-        """Write a recompute; returns inserted + modified groups."""
-        upserts = 0
-        if self.cfg.count_upserts:
-            current = self.read_metrics()
-            days = metrics.select("date").distinct()
-            current = current.join(F.broadcast(days), "date", "left_semi")
-            upserts = int(upsert_counts(current, metrics).first()["upserted"])
-        if self.cfg.write_mode == "replace_days":
-            MT.replace_days(metrics, self.cfg.metrics_path)
-        else:
-            staging = f"{self.cfg.metrics_path.rstrip('/')}/_staging/{time.time_ns()}"
-            MT.merge_days(self.spark, metrics, self.cfg.metrics_path, staging)
-        return upserts
+        """Write a recompute; returns inserted + modified groups.
+
+        The recompute is used twice (counts, then the write; in merge mode
+        also for its days), so it is persisted once: metric rows are far
+        fewer than the orders they come from, and a lost block is recomputed
+        from the (deterministic) lineage.
+        """
+        metrics = metrics.persist()
+        try:
+            upserts = 0
+            if self.cfg.count_upserts:
+                current = self.read_metrics()
+                days = metrics.select("date").distinct()
+                current = current.join(F.broadcast(days), "date", "left_semi")
+                upserts = int(upsert_counts(current, metrics).first()["upserted"])
+            if self.cfg.write_mode == "replace_days":
+                MT.replace_days(metrics, self.cfg.metrics_path)
+            else:
+                staging = f"{self.cfg.metrics_path.rstrip('/')}/_staging/{time.time_ns()}"
+                MT.merge_days(self.spark, metrics, self.cfg.metrics_path, staging)
+            return upserts
+        finally:
+            metrics.unpersist()
 
     def _save_mark(self, mark: _dt.datetime, rows: int, groups: int, run_at: _dt.datetime) -> None:
         row = S.save_row(self.spark, self.cfg.pipeline_id, mark, run_at, rows, groups)
