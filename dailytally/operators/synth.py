@@ -46,9 +46,14 @@ def uniform(row_id: Column, stream: int, modulus: int) -> Column:
     return x % modulus
 
 
-def synth_orders_from_ids(ids: DataFrame, id_col: str = "id") -> DataFrame:
-    """One synthetic order per row id of ``ids`` (ids must be >= 0)."""
+def synth_orders_from_ids(ids: DataFrame, id_col: str = "id", hot_share: float = 0.0) -> DataFrame:
+    """One synthetic order per row id of ``ids`` (ids must be >= 0).
+
+    ``hot_share`` (0..1) puts that share of the orders into one group
+    (``rest_0000``, first day, first country): a skew test of the plans.
+    """
     rid = F.col(id_col).cast("long")
+    hot = uniform(rid, 11, 1_000_000) < F.lit(int(round(hot_share * 1_000_000)))
     p_placed, p_completed, _ = SYNTH_STATUS_WEIGHTS
     pick = uniform(rid, 2, 100)
     status = (
@@ -56,9 +61,10 @@ def synth_orders_from_ids(ids: DataFrame, id_col: str = "id") -> DataFrame:
         .when(pick < p_placed + p_completed, F.lit("completed"))
         .otherwise(F.lit("cancelled"))
     )
-    country_idx = uniform(rid, 4, len(SYNTH_COUNTRIES))
+    country_idx = F.when(hot, F.lit(0)).otherwise(uniform(rid, 4, len(SYNTH_COUNTRIES)))
     country = F.element_at(F.array(*[F.lit(c) for c in SYNTH_COUNTRIES]), (country_idx + 1).cast("int"))
-    secs = (uniform(rid, 5, SYNTH_DAYS) * 86400 + uniform(rid, 6, 86400)).cast("int")
+    day = F.when(hot, F.lit(0)).otherwise(uniform(rid, 5, SYNTH_DAYS))
+    secs = (day * 86400 + uniform(rid, 6, 86400)).cast("int")
     created = ts_ntz(SYNTH_START) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
     late_shift = F.make_dt_interval(
         (1 + uniform(rid, 8, 5)).cast("int"), uniform(rid, 9, 24).cast("int"), F.lit(0), F.lit(0)
@@ -66,9 +72,10 @@ def synth_orders_from_ids(ids: DataFrame, id_col: str = "id") -> DataFrame:
     base = ids.select(
         rid.alias("_rid"),
         F.concat(F.lit("ord_"), rid.cast("string")).alias("order_id"),
-        F.concat(F.lit("rest_"), F.lpad(uniform(rid, 1, SYNTH_RESTAURANTS).cast("string"), 4, "0")).alias(
-            "restaurant_id"
-        ),
+        F.concat(
+            F.lit("rest_"),
+            F.lpad(F.when(hot, F.lit(0)).otherwise(uniform(rid, 1, SYNTH_RESTAURANTS)).cast("string"), 4, "0"),
+        ).alias("restaurant_id"),
         F.concat(F.lit("user_"), uniform(rid, 10, PRIME).cast("string")).alias("user_id"),
         status.alias("status"),
         ((uniform(rid, 3, _AMOUNT_SPAN_CENTS) + _AMOUNT_MIN_CENTS).cast("decimal(14,2)") / 100)
@@ -85,7 +92,7 @@ def synth_orders_from_ids(ids: DataFrame, id_col: str = "id") -> DataFrame:
     return base.withColumn("updated_at", updated.cast("timestamp_ntz")).drop("_rid", "_shift", "_late")
 
 
-def synth_orders(spark: SparkSession, n: int, num_partitions: int | None = None) -> DataFrame:
+def synth_orders(spark: SparkSession, n: int, num_partitions: int | None = None, hot_share: float = 0.0) -> DataFrame:
     """``n`` synthetic orders, ids 0..n-1, spread over ``num_partitions``."""
     parts = num_partitions or max(1, spark.sparkContext.defaultParallelism)
-    return synth_orders_from_ids(spark.range(0, n, 1, parts), "id")
+    return synth_orders_from_ids(spark.range(0, n, 1, parts), "id", hot_share)

@@ -79,3 +79,27 @@ def test_stream_equals_batch(spark):
 def test_extract_full_is_everything(spark):
     v2 = SC.source(spark, SF001)
     assert X.changed_since(v2, EPOCH).count() == v2.count() == 1500
+
+
+def test_hot_group_holding_a_third_of_all_rows(spark, workdir):
+    """One group with a third of all orders: every path gives the full
+    GROUP BY answer, and the recompute never shuffles raw rows."""
+    from dailytally.plans.jobs import JobConfig, MetricsJob
+    from dailytally.sources.orders import read_orders_by_day, write_orders_by_day
+
+    write_orders_by_day(synth_orders(spark, 30_000, 4, hot_share=1 / 3), f"{workdir}/o")
+    o = read_orders_by_day(spark, f"{workdir}/o")
+    hot = o.where("restaurant_id = 'rest_0000' AND order_date = date'2024-01-01' AND country = 'IN'").count()
+    assert 9_000 < hot < 11_000
+    exp = daily_metrics_full(o.drop("order_date"))
+    changed = o.where("restaurant_id = 'rest_0000'")
+    from dailytally.operators.transform import recompute_affected
+
+    for limit in (10**6, 0):  # broadcast semi-join path, aggregate-then-join path
+        got = recompute_affected(o, changed, broadcast_key_limit=limit)
+        want = exp.where("restaurant_id = 'rest_0000'")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    job = MetricsJob(spark, o, JobConfig(metrics_path=f"{workdir}/m", state_path=f"{workdir}/s"))
+    job.run_full()
+    got = job.read_metrics()
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
