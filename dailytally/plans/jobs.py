@@ -62,9 +62,20 @@ class JobConfig:
 class MetricsJob:
     """Keeps ``daily_metrics`` up to date from a changing orders table."""
 
-    def __init__(self, spark: SparkSession, source: DataFrame | Callable[[], DataFrame], config: JobConfig):
+    def __init__(
+        self,
+        spark: SparkSession,
+        source: DataFrame | Callable[[], DataFrame],
+        config: JobConfig,
+        changes: DataFrame | Callable[[], DataFrame] | None = None,
+    ):
+        """``source``: the current orders table. ``changes`` (optional): a
+        change feed of order versions (e.g. CDC files partitioned by change
+        time); when given, changed rows are found there instead of by
+        scanning ``updated_at`` of the whole orders table."""
         self.spark = spark
         self._source = source
+        self._changes = changes
         self.cfg = config
         self.last_preview: DataFrame | None = None
         # Test hook: called between the metrics write and the state save.
@@ -184,12 +195,16 @@ class MetricsJob:
         mark = EPOCH if mode == "full" else self.watermark()
         batches = total_rows = total_groups = total_upserts = 0
         while True:
+            where = orders if mode == "full" else self._change_rows(orders)
             if self.cfg.batch_size:
-                changed = X.extract_page_tie_safe(orders, mark, self.cfg.batch_size)
+                changed = X.extract_page_tie_safe(where, mark, self.cfg.batch_size)
             else:
-                changed = X.changed_since(orders, mark, self.cfg.lookback)
+                changed = X.changed_since(where, mark, self.cfg.lookback)
             if batches == 0:
-                self._quarantine(X.changed_since(self._raw(), mark, self.cfg.lookback), int(run_at.timestamp()))
+                raw = self._raw() if self._changes is None or mode == "full" else (
+                    self._changes() if callable(self._changes) else self._changes
+                )
+                self._quarantine(X.changed_since(raw, mark, self.cfg.lookback), int(run_at.timestamp()))
             full = mode == "full" and mark == EPOCH and not self.cfg.batch_size
             rows, groups, max_ts, upserts = self._step(orders, changed, dry_run, full=full)
             if rows == 0:
@@ -218,6 +233,14 @@ class MetricsJob:
     def _raw(self) -> DataFrame:
         return self._source() if callable(self._source) else self._source
 
+    def _change_rows(self, orders: DataFrame) -> DataFrame:
+        """Where changed rows are looked up: the change feed, or the table."""
+        if self._changes is None:
+            return orders
+        feed = self._changes() if callable(self._changes) else self._changes
+        feed = Q.normalize_orders(feed)
+        return Q.valid_orders(feed) if self.cfg.quality == "quarantine" else feed
+
     def run_backfill(
         self, start: _dt.date, end: _dt.date, dry_run: bool = False, run_at: _dt.datetime | None = None
     ) -> dict:

@@ -230,3 +230,20 @@ def test_merge_mode_recovers_a_copy_cut_short(orders_df, workdir, spark, monkeyp
     assert MT.pending_staged(spark, c.metrics_path) == []
     assert one(j, rest="rest_001") == (1, 0, 1, Decimal("0.00"))
     assert one(j, rest="rest_002") == (1, 1, 0, Decimal("20.00"))  # carried-over group kept
+
+
+def test_changes_from_a_change_feed(spark, workdir):
+    from conftest import SF001
+
+    from dailytally.plans import scenarios as SC
+
+    v2 = SC.source(spark, SF001).cache()
+    v1 = SC.snapshot_v1(v2)
+    c = cfg(workdir)
+    MetricsJob(spark, v1, c).run_incremental(run_at=RUN)
+    feed = SC.changes_after(v2)  # only the change versions, not the table
+    s = MetricsJob(spark, v2, c, changes=feed).run_incremental(run_at=RUN)
+    assert s["total_rows"] == 763
+    got = MetricsJob(spark, v2, c).read_metrics()
+    exp = daily_metrics_full(v2)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
