@@ -139,6 +139,13 @@ def q_recompute_affected(spark, sf_dir):
     return TR.recompute_affected(o, X.changed_since(o, SC.MARK))
 
 
+def q_recompute_affected_wide(spark, sf_dir):
+    """Same answer through the plan used when the touched-key set is above the
+    broadcast limit (aggregate first, then join the keys by shuffle)."""
+    o = _orders(spark, sf_dir)
+    return TR.recompute_affected(o, X.changed_since(o, SC.MARK), broadcast_key_limit=0)
+
+
 def q_recompute_backfill(spark, sf_dir):
     return TR.recompute_days(_orders(spark, sf_dir), SC.BACKFILL_START, SC.BACKFILL_END)
 
@@ -340,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "orders_rejects": q_orders_rejects,
     "affected_groups": q_affected_groups,
     "recompute_affected": q_recompute_affected,
+    "recompute_affected_wide": q_recompute_affected_wide,
     "recompute_backfill": q_recompute_backfill,
     "recompute_given_groups": q_recompute_given_groups,
     "daily_metrics_full": q_daily_metrics_full,

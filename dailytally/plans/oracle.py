@@ -210,6 +210,8 @@ FROM pk GROUP BY batch_no""",
     "affected_groups": BASE + keys_of("rorders", f"updated_at > {MARK}"),
     "recompute_affected": with_(RORDERS, f"k AS ({keys_of('rorders', f'updated_at > {MARK}')})")
     + recompute_sql("rorders", "k"),
+    "recompute_affected_wide": with_(RORDERS, f"k AS ({keys_of('rorders', f'updated_at > {MARK}')})")
+    + recompute_sql("rorders", "k"),
     "recompute_backfill": BASE + metrics_of("rorders", f"created_at >= {BF_LO} AND created_at < {BF_HI}"),
     "recompute_given_groups": with_(
         RORDERS,
