@@ -1,20 +1,26 @@
 """Incremental run on Structured Streaming (R1 as ``foreachBatch``).
 
-A change feed (files of order row versions) is read with ``readStream``;
-each micro-batch:
-
-1. is logged into an append-only change log, under its own epoch folder
-   (a replayed epoch overwrites the same folder: idempotent);
-2. its touched days are found (bounded by the calendar);
-3. the current rows of those days = latest version per ``order_id`` over the
-   base snapshot and the change log, both pruned to the touched days;
-4. every group of those days is recomputed and the day folders of the
-   metrics table are replaced (dynamic partition overwrite).
-
-The stream checkpoint plays the role of the stored mark: a batch is
-committed only after ``foreachBatch`` returns, and every write in it is
-idempotent, so a replay after a crash yields the same table. No event-time
-watermark is used: a change to any old day is applied, never dropped.
+A change feed (files of order row versions) is read with ``readStream``.
+The job keeps its own copy of the current orders, one folder per
+(reporting day, version), plus a small append-only manifest naming the
+current version of each day. Each micro-batch (epoch ``e``):
+
+1. finds its touched days (bounded by the calendar);
+2. current rows of those days = latest version per ``order_id`` over the
+   current day folders and the batch (``apply_changes``);
+3. writes them as version ``e`` of those days: new folders only, older
+   versions are never rewritten (a replayed epoch overwrites its own
+   version folders, nothing else);
+4. commits by appending ``(day, e)`` to the manifest (one small file);
+5. recomputes every group of those days and replaces their folders in the
+   metrics table (dynamic partition overwrite).
+
+Per batch the work is proportional to the touched days, not to the history
+of the stream. A crash anywhere is repaired by the replay of the epoch:
+before 4 the new folders are invisible and get overwritten; after 4 the
+replay applies the same changes to the committed version (idempotent) and
+redoes 5. The stream checkpoint plays the role of the stored mark. No
+event-time watermark is used: a change to any old day is applied.
 
 Assumption (as in the reference): ``created_at`` of an order never changes,
 so all versions of an order live in the same day.
@@ -22,10 +28,10 @@ so all versions of an order live in the same day.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from dailytally.config import ORDER_COLS
 from dailytally.functions.columns import order_date
@@ -34,50 +40,89 @@ from dailytally.operators.transform import aggregate_metrics
 from dailytally.schemas import ORDERS
 from dailytally.session import work_path
 from dailytally.sources import metrics_table as MT
-from dailytally.sources.orders import ORDER_DATE_COL, read_orders_by_day, write_orders_by_day
+from dailytally.sources.orders import ORDER_DATE_COL
 
-LOG_SCHEMA = T.StructType(
-    [*ORDERS.fields, T.StructField("_epoch", T.LongType(), False), T.StructField(ORDER_DATE_COL, T.DateType(), False)]
+VERSION_COL = "_v"
+INITIAL_VERSION = -1  # stream epochs start at 0
+DAYS_SCHEMA = T.StructType(
+    [*ORDERS.fields, T.StructField(ORDER_DATE_COL, T.DateType(), False), T.StructField(VERSION_COL, T.LongType(), False)]
 )
+MANIFEST_SCHEMA = T.StructType(
+    [T.StructField(ORDER_DATE_COL, T.DateType(), False), T.StructField(VERSION_COL, T.LongType(), False)]
+)
+
+
+class VersionedDays:
+    """Orders kept as immutable (day, version) folders plus a manifest."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.manifest_path = f"{self.path}/_manifest"
+
+    def write(self, rows: DataFrame, version: int) -> None:
+        """Write ``rows`` as version ``version`` of their days, then commit."""
+        staged = rows.select(*ORDER_COLS).withColumn(ORDER_DATE_COL, order_date("created_at")).withColumn(
+            VERSION_COL, F.lit(version).cast("long")
+        )
+        (
+            staged.hint("rebalance", ORDER_DATE_COL)
+            .sortWithinPartitions(ORDER_DATE_COL, "restaurant_id", "order_id")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(ORDER_DATE_COL, VERSION_COL)
+            .parquet(self.path)
+        )
+        days = staged.select(ORDER_DATE_COL, VERSION_COL).distinct()  # bounded by the calendar
+        days.coalesce(1).write.mode("append").parquet(self.manifest_path)
+
+    def _latest(self) -> DataFrame:
+        try:
+            m = self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        return m.groupBy(ORDER_DATE_COL).agg(F.max(VERSION_COL).alias(VERSION_COL))
+
+    def current(self, days: DataFrame | None = None) -> DataFrame:
+        """Committed current rows, optionally of some days only (pruned to
+        their latest version folders by partition filters / dynamic pruning)."""
+        latest = self._latest()
+        if days is not None:
+            latest = latest.join(F.broadcast(days.select(ORDER_DATE_COL).distinct()), ORDER_DATE_COL, "left_semi")
+        try:
+            data = self.spark.read.schema(DAYS_SCHEMA).parquet(self.path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], ORDERS)
+        # One row per (day, version): bounded by the calendar.
+        current = data.join(F.broadcast(latest), [ORDER_DATE_COL, VERSION_COL], "left_semi")
+        return current.select(*ORDER_COLS)
 
 
 class ChangeFeedJob:
     """Keeps a metrics table current from a stream of order versions."""
 
-    def __init__(self, spark: SparkSession, base_path: str, log_path: str, metrics_path: str):
+    def __init__(self, spark: SparkSession, orders_path: str, metrics_path: str):
         self.spark = spark
-        self.base_path = base_path
-        self.log_path = log_path
+        self.orders = VersionedDays(spark, orders_path)
         self.metrics_path = metrics_path
 
-    def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+    def load_initial(self, orders: DataFrame) -> None:
+        """Starting snapshot and its metrics (before the stream starts)."""
+        self.orders.write(orders, INITIAL_VERSION)
+        MT.replace_days(aggregate_metrics(self.orders.current()), self.metrics_path)
 
     def process_batch(self, batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.select(*ORDER_COLS).withColumn(ORDER_DATE_COL, order_date("created_at"))
-        # 1. log the batch under its epoch (overwrite = idempotent replay)
-        (
-            batch.withColumn("_epoch", F.lit(epoch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_epoch", ORDER_DATE_COL)
-            .parquet(self.log_path)
-        )
-        # 2. touched days (bounded by the calendar, hence broadcast)
-        days = batch.select(F.col(ORDER_DATE_COL)).distinct()
-        # 3. current rows of those days; both sides pruned by day folder
-        base = read_orders_by_day(self.spark, self.base_path).join(F.broadcast(days), ORDER_DATE_COL, "left_semi")
-        log = (
-            self._log()
-            .where(F.col("_epoch") <= F.lit(epoch_id))
-            .join(F.broadcast(days), ORDER_DATE_COL, "left_semi")
-        )
-        current = apply_changes(base.select(*ORDER_COLS), log.select(*ORDER_COLS))
-        # 4. all groups of the touched days, day folders replaced
-        MT.replace_days(aggregate_metrics(current), self.metrics_path)
+        batch = batch.select(*ORDER_COLS).persist()
+        try:
+            days = batch.select(order_date("created_at").alias(ORDER_DATE_COL)).distinct()
+            current = apply_changes(self.orders.current(days), batch).persist()
+            try:
+                self.orders.write(current, epoch_id)
+                MT.replace_days(aggregate_metrics(current), self.metrics_path)
+            finally:
+                current.unpersist()
+        finally:
+            batch.unpersist()
 
     def run(self, changes_dir: str, checkpoint: str, max_files_per_trigger: int = 8) -> None:
         """Process every change file present now (``availableNow``), then stop."""
@@ -114,11 +159,9 @@ def replay_two_snapshots(spark: SparkSession, orders: DataFrame, split=None, fil
 
     split = split or SC.SPLIT
     root = work_path(spark, "stream")
-    base_path, log_path = f"{root}/base", f"{root}/log"
-    metrics_path, changes_dir, ckpt = f"{root}/metrics", f"{root}/changes", f"{root}/checkpoint"
-    v1 = SC.snapshot_v1(orders, split)
-    write_orders_by_day(v1, base_path)
-    MT.replace_days(aggregate_metrics(read_orders_by_day(spark, base_path)), metrics_path)
+    job = ChangeFeedJob(spark, f"{root}/orders", f"{root}/metrics")
+    job.load_initial(SC.snapshot_v1(orders, split))
+    changes_dir = f"{root}/changes"
     write_change_files(SC.changes_after(orders, split), changes_dir, files)
-    ChangeFeedJob(spark, base_path, log_path, metrics_path).run(changes_dir, ckpt, max_files_per_trigger=max(1, files // 2))
-    return MT.read_metrics(spark, metrics_path)
+    job.run(changes_dir, f"{root}/checkpoint", max_files_per_trigger=max(1, files // 2))
+    return MT.read_metrics(spark, f"{root}/metrics")
