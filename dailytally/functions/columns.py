@@ -54,6 +54,15 @@ def sub_millis_micros(ts: str | Column) -> Column:
     return (secs * 1_000_000).cast("long") % 1000
 
 
+def ntz_micros(ts: str | Column) -> Column:
+    """Microseconds since 1970-01-01 of an NTZ timestamp (no zone involved)."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    days = F.unix_date(F.to_date(c)).cast("long")
+    hm = (F.hour(c) * 3600 + F.minute(c) * 60).cast("long")
+    secs = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return days * 86_400_000_000 + hm * 1_000_000 + secs
+
+
 def ceil_millis(ts: str | Column) -> Column:
     """Round a timestamp up to the next whole millisecond.
 

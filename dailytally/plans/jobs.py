@@ -14,7 +14,8 @@ One run is a handful of Spark jobs, not a loop over pages:
 
 ``batch_size`` keeps the reference's paging (oldest changes first, mark
 saved after each page); pages are tie-complete, so no row sharing the
-boundary stamp is skipped.
+boundary stamp is skipped, and each page is found without funnelling a
+top-k of every scan task into one task (``extract_page_bounded``).
 """
 
 from __future__ import annotations
@@ -197,7 +198,7 @@ class MetricsJob:
         while True:
             where = orders if mode == "full" else self._change_rows(orders)
             if self.cfg.batch_size:
-                changed = X.extract_page_tie_safe(where, mark, self.cfg.batch_size)
+                changed = X.extract_page_bounded(where, mark, self.cfg.batch_size)
             else:
                 changed = X.changed_since(where, mark, self.cfg.lookback)
             if batches == 0:

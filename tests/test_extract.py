@@ -98,3 +98,29 @@ def test_lookback_widens_window(orders_df):
     df = orders_df([order(created_at=D(2024, 1, 15), updated_at=D(2024, 1, 15))])
     assert X.changed_since(df, D(2024, 1, 15, 1)).count() == 0
     assert X.changed_since(df, D(2024, 1, 15, 1), lookback=dt.timedelta(hours=2)).count() == 1
+
+
+def test_bounded_page_equals_tie_safe_page(orders_df):
+    import random
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(400):
+        c = D(2024, 1, 1) + dt.timedelta(minutes=rnd.randrange(0, 20000))
+        u = D(2024, 2, 1, 12) if i % 5 == 0 else c + dt.timedelta(microseconds=rnd.randrange(0, 10**9))
+        rows.append(order(order_id=f"{i:04d}", created_at=c, updated_at=u))
+    df = orders_df(rows)
+    for n in (1, 7, 50, 150, 399, 400, 1000):
+        a = X.extract_page_bounded(df, EPOCH, n)
+        b = X.extract_page_tie_safe(df, EPOCH, n)
+        assert a.count() == b.count() >= min(n, 400)
+        assert a.exceptAll(b).count() == 0
+
+
+def test_ntz_micros(spark):
+    from dailytally.functions.columns import ntz_micros
+
+    ts = dt.datetime(2024, 3, 10, 2, 30, 5, 123456)  # inside a DST gap in many zones
+    df = spark.createDataFrame([(ts,)], "t timestamp_ntz")
+    expect = int((ts - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1))
+    assert df.select(ntz_micros("t").alias("m")).first().m == expect
