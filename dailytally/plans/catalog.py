@@ -84,7 +84,7 @@ def q_extract_incremental_batch(spark, sf_dir):
 
 def q_extract_batch_tie_safe(spark, sf_dir):
     o = _orders(spark, sf_dir).withColumn("change_day", day_floor("updated_at"))
-    return X.extract_page_tie_safe(o, EPOCH, SC.PAGE_SIZE, column="change_day").select(*ORDER_COLS)
+    return X.extract_page_bounded(o, EPOCH, SC.PAGE_SIZE, column="change_day").select(*ORDER_COLS)
 
 
 def q_extract_backfill(spark, sf_dir):
