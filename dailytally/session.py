@@ -21,10 +21,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
-    # Let adaptive execution keep several tasks for small shuffles (a small
-    # run still writes its day folders in parallel); large shuffles are
-    # unaffected.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
 }
 
 
