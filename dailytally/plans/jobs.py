@@ -210,6 +210,9 @@ class MetricsJob:
             rows, groups, max_ts, upserts = self._step(orders, changed, dry_run, full=full)
             if rows == 0:
                 break
+            # With a lookback window the rows may all be older than the mark:
+            # the mark never moves backwards.
+            max_ts = max(max_ts, mark) if mark is not None else max_ts
             if not dry_run:
                 if self.after_write:
                     self.after_write()

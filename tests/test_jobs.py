@@ -247,3 +247,15 @@ def test_changes_from_a_change_feed(spark, workdir):
     got = MetricsJob(spark, v2, c).read_metrics()
     exp = daily_metrics_full(v2)
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_lookback_never_moves_the_mark_back(orders_df, workdir, spark):
+    a = order(order_id="a", status="completed", created_at=T(2024, 1, 15, 9))
+    c = cfg(workdir, lookback=dt.timedelta(days=2))
+    j = MetricsJob(spark, orders_df([a]), c)
+    j.run_incremental(run_at=RUN)
+    mark = j.watermark()
+    s = j.run_incremental(run_at=RUN)  # re-reads the lookback window
+    assert s["total_rows"] == 1
+    assert j.watermark() == mark
+    assert one(j) == (1, 1, 0, Decimal("500.00"))
