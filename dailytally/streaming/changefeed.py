@@ -1,23 +1,25 @@
 """Incremental run on Structured Streaming (R1 as ``foreachBatch``).
 
 A change feed (files of order row versions) is read with ``readStream``.
-The job keeps its own copy of the current orders, one folder per
-(reporting day, version), plus a small append-only manifest naming the
-current version of each day. Each micro-batch (epoch ``e``):
+The job keeps its own copy of the current orders: one folder per version
+(written once, never rewritten; rows sorted by reporting day, so file and
+row-group statistics on ``order_date`` are selective), plus a small
+append-only manifest naming the current version of each day. Each
+micro-batch (epoch ``e``):
 
 1. finds its touched days (bounded by the calendar);
 2. current rows of those days = latest version per ``order_id`` over the
-   current day folders and the batch (``apply_changes``);
-3. writes them as version ``e`` of those days: new folders only, older
+   committed version of those days and the batch (``apply_changes``);
+3. writes them as version ``e`` of those days: a new folder, older
    versions are never rewritten (a replayed epoch overwrites its own
-   version folders, nothing else);
+   version folder, nothing else);
 4. commits by appending ``(day, e)`` to the manifest (one small file);
 5. recomputes every group of those days and replaces their folders in the
    metrics table (dynamic partition overwrite).
 
 Per batch the work is proportional to the touched days, not to the history
 of the stream. A crash anywhere is repaired by the replay of the epoch:
-before 4 the new folders are invisible and get overwritten; after 4 the
+before 4 the new folder is invisible and gets overwritten; after 4 the
 replay applies the same changes to the committed version (idempotent) and
 redoes 5. The stream checkpoint plays the role of the stored mark. No
 event-time watermark is used: a change to any old day is applied.
@@ -53,7 +55,8 @@ MANIFEST_SCHEMA = T.StructType(
 
 
 class VersionedDays:
-    """Orders kept as immutable (day, version) folders plus a manifest."""
+    """Orders kept as immutable version folders plus a (day -> version)
+    manifest."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -70,7 +73,7 @@ class VersionedDays:
             .sortWithinPartitions(ORDER_DATE_COL, "restaurant_id", "order_id")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(ORDER_DATE_COL, VERSION_COL)
+            .partitionBy(VERSION_COL)
             .parquet(self.path)
         )
         days = staged.select(ORDER_DATE_COL, VERSION_COL).distinct()  # bounded by the calendar
@@ -84,15 +87,21 @@ class VersionedDays:
         return m.groupBy(ORDER_DATE_COL).agg(F.max(VERSION_COL).alias(VERSION_COL))
 
     def current(self, days: DataFrame | None = None) -> DataFrame:
-        """Committed current rows, optionally of some days only (pruned to
-        their latest version folders by partition filters / dynamic pruning)."""
+        """Committed current rows, optionally of some days only: the version
+        folders are pruned at run time (dynamic pruning on the version), the
+        days' range is pushed to the Parquet scan."""
         latest = self._latest()
-        if days is not None:
-            latest = latest.join(F.broadcast(days.select(ORDER_DATE_COL).distinct()), ORDER_DATE_COL, "left_semi")
         try:
             data = self.spark.read.schema(DAYS_SCHEMA).parquet(self.path)
         except AnalysisException:
             return self.spark.createDataFrame([], ORDERS)
+        if days is not None:
+            days = days.select(ORDER_DATE_COL).distinct()
+            latest = latest.join(F.broadcast(days), ORDER_DATE_COL, "left_semi")
+            lo, hi = days.agg(F.min(ORDER_DATE_COL), F.max(ORDER_DATE_COL)).first()
+            if lo is None:
+                return self.spark.createDataFrame([], ORDERS)
+            data = data.where(F.col(ORDER_DATE_COL).between(F.lit(lo), F.lit(hi)))
         # One row per (day, version): bounded by the calendar.
         current = data.join(F.broadcast(latest), [ORDER_DATE_COL, VERSION_COL], "left_semi")
         return current.select(*ORDER_COLS)
