@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from dailytally.config import DEFAULT_BROADCAST_KEY_LIMIT, KEY_COLS, METRIC_VALUE_COLS
 from dailytally.functions.columns import iso_date, ts_ntz
+from dailytally.session import materialize
 
 
 def checked_broadcast(df: DataFrame, limit_rows: int) -> tuple[DataFrame, bool]:
@@ -38,10 +39,13 @@ def upsert(
     """Insert absent keys, replace present ones (``$set``, not ``$inc``).
 
     = target rows whose key is not in ``new``, plus all of ``new``.
+    ``new`` (a recompute: one row per touched group) is written once, so the
+    size check and the two uses below do not recompute it.
     """
+    new = materialize(new.select(*target.columns))
     new_keys, _ = checked_broadcast(new.select(*keys), broadcast_key_limit)
     kept = target.join(new_keys, list(keys), "left_anti")
-    return kept.unionByName(new.select(*target.columns))
+    return kept.unionByName(new)
 
 
 def upsert_counts(target: DataFrame, new: DataFrame, keys: Sequence[str] = KEY_COLS) -> DataFrame:

@@ -36,6 +36,7 @@ from dailytally.functions.columns import (
     parse_iso_date,
 )
 from dailytally.operators.extract import extract_backfill
+from dailytally.session import materialize
 
 
 def with_group_key(orders: DataFrame) -> DataFrame:
@@ -102,15 +103,17 @@ def recompute_metrics(
     The key set is measured first (one small aggregate) and broadcast only
     when it holds at most ``broadcast_key_limit`` keys.
     """
-    keys = keys.select(*KEY_COLS)
+    # The key set is used twice (its profile, then the join): written once so
+    # the changed-row scan behind it runs once.
+    keys = materialize(keys.select(*KEY_COLS).distinct())
     n, first, last = key_profile(keys)
     if n == 0:
         return aggregate_metrics(orders.where(F.lit(False)))
     scoped = with_group_key(restrict_to_days(orders, first, last))
     if n <= broadcast_key_limit:
-        touched = scoped.join(F.broadcast(keys.distinct()), list(KEY_COLS), "left_semi")
+        touched = scoped.join(F.broadcast(keys), list(KEY_COLS), "left_semi")
         return aggregate_metrics(touched)
-    return aggregate_metrics(scoped).join(keys.distinct(), list(KEY_COLS), "inner")
+    return aggregate_metrics(scoped).join(keys, list(KEY_COLS), "inner")
 
 
 def recompute_affected(

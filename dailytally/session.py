@@ -71,3 +71,11 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the shared folder (tables, stream checkpoints)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "dailytally", *parts, uuid.uuid4().hex])
+
+
+def materialize(df):
+    """Write a (small) frame once to the shared checkpoint folder and read it
+    back: later actions reuse it instead of recomputing its lineage, and a
+    lost executor does not force a recompute either."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
