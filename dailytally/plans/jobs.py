@@ -133,7 +133,9 @@ class MetricsJob:
         fewer than the orders they come from, and a lost block is recomputed
         from the (deterministic) lineage.
         """
-        metrics = metrics.persist()
+        reused = self.cfg.count_upserts or self.cfg.write_mode == "merge"
+        if reused:
+            metrics = metrics.persist()
         try:
             upserts = 0
             if self.cfg.count_upserts:
@@ -148,7 +150,8 @@ class MetricsJob:
                 MT.merge_days(self.spark, metrics, self.cfg.metrics_path, staging)
             return upserts
         finally:
-            metrics.unpersist()
+            if reused:
+                metrics.unpersist()
 
     def _save_mark(self, mark: _dt.datetime, rows: int, groups: int, run_at: _dt.datetime) -> None:
         row = S.save_row(self.spark, self.cfg.pipeline_id, mark, run_at, rows, groups)
