@@ -21,6 +21,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Checkpoint files of frames no longer referenced are removed (the key
+    # sets, upsert inputs and ledger slices are checkpointed).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
