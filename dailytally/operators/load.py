@@ -22,10 +22,12 @@ from dailytally.session import materialize
 def checked_broadcast(df: DataFrame, limit_rows: int) -> tuple[DataFrame, bool]:
     """Broadcast ``df`` only when it has at most ``limit_rows`` rows.
 
-    The count is one action on ``df``; above the limit the frame is
-    returned as is and Spark joins by shuffle (AQE may still demote to a
-    broadcast at run time from measured sizes).
+    ``df`` is written once (checkpoint) and counted; the join then reads the
+    written rows instead of recomputing them. Above the limit the frame is
+    joined by shuffle (AQE may still demote to a broadcast at run time from
+    measured sizes).
     """
+    df = materialize(df)
     n = df.count()
     return (F.broadcast(df), True) if n <= limit_rows else (df, False)
 
@@ -43,7 +45,10 @@ def upsert(
     size check and the two uses below do not recompute it.
     """
     new = materialize(new.select(*target.columns))
-    new_keys, _ = checked_broadcast(new.select(*keys), broadcast_key_limit)
+    n = new.count()
+    new_keys = new.select(*keys)
+    if n <= broadcast_key_limit:
+        new_keys = F.broadcast(new_keys)
     kept = target.join(new_keys, list(keys), "left_anti")
     return kept.unionByName(new)
 
