@@ -1,5 +1,5 @@
-"""Command-line entry point (for ``spark-submit -m dailytally`` or
-``python -m dailytally``).
+"""Command-line entry point (``python -m dailytally``, or
+``spark-submit --py-files dailytally.zip dailytally/__main__.py``).
 
     python -m dailytally --orders PATH --metrics PATH --state PATH            # incremental
     python -m dailytally ... --mode backfill --start-date 2024-01-01 --end-date 2024-01-31
