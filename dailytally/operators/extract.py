@@ -85,7 +85,13 @@ def page_boundary(changed: DataFrame, batch_size: int, column: str = "updated_at
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     t = ntz_micros(column)
-    row = changed.agg(F.count(F.lit(1)).alias("n"), F.max(column).alias("mx")).first()
+    # One pass: size, last stamp, and a ladder of quantiles to start from.
+    ladder = [10.0**-k for k in range(6, 0, -1)] + [0.2, 0.5, 1.0]
+    row = changed.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(column).alias("mx"),
+        F.percentile_approx(t, F.array(*[F.lit(f) for f in ladder]), F.lit(10_000)).alias("q"),
+    ).first()
     total = int(row["n"])
     if total == 0:
         return None
@@ -95,7 +101,16 @@ def page_boundary(changed: DataFrame, batch_size: int, column: str = "updated_at
     # quantile's rank error is relative to the set it runs on, so each round
     # shrinks it by orders of magnitude); a run of equal stamps that cannot be
     # split stops the narrowing.
+    need = 1.05 * batch_size / total
+    steps = [q for f, q in zip(ladder, row["q"]) if f >= need]
     cand, count = changed, total
+    for bound in steps:
+        below = cand.where(t <= F.lit(bound))
+        got = below.count()
+        if got >= batch_size:
+            if got < count:
+                cand, count = below, got
+            break
     while count > 4 * batch_size:
         frac = min(1.0, 1.05 * batch_size / count)
         while True:
