@@ -273,6 +273,30 @@ def q_run_summary(spark, sf_dir):
     )
 
 
+def _job_two_runs(spark, sf_dir, write_mode: str) -> DataFrame:
+    """The real job end to end: run on v1, then on v2 from the stored mark,
+    writing the metrics table and the state log in the shared work folder;
+    returns the table as written."""
+    from dailytally.plans.jobs import JobConfig, MetricsJob
+    from dailytally.session import work_path
+
+    root = work_path(spark, "job")
+    cfg = JobConfig(metrics_path=f"{root}/metrics", state_path=f"{root}/state", write_mode=write_mode)
+    v2 = _orders(spark, sf_dir)
+    MetricsJob(spark, SC.snapshot_v1(v2), cfg).run_incremental(run_at=SC.RUN_TS)
+    job = MetricsJob(spark, v2, cfg)
+    job.run_incremental(run_at=SC.RUN_TS)
+    return job.read_metrics()
+
+
+def q_job_two_runs(spark, sf_dir):
+    return _job_two_runs(spark, sf_dir, "replace_days")
+
+
+def q_job_two_runs_merge(spark, sf_dir):
+    return _job_two_runs(spark, sf_dir, "merge")
+
+
 # --- progress state --------------------------------------------------------
 
 
@@ -361,6 +385,8 @@ QUERIES: dict[str, Query] = {
     "insert_if_absent": q_insert_if_absent,
     "apply_changes": q_apply_changes,
     "incremental_two_runs": q_incremental_two_runs,
+    "job_two_runs": q_job_two_runs,
+    "job_two_runs_merge": q_job_two_runs_merge,
     "late_update_corrects_day": q_late_update_corrects_day,
     "late_cancellation": q_late_cancellation,
     "backfill_then_upsert": q_backfill_then_upsert,

@@ -259,6 +259,9 @@ SELECT {COLS} FROM rorders WHERE order_id NOT IN (SELECT order_id FROM v1)""",
 ) AS ranked WHERE rn = 1""",
     # After run 2 the table equals a plain GROUP BY of the current source.
     "incremental_two_runs": BASE + metrics_of("rorders"),
+    # The job, run twice and written to tables, equals the GROUP BY as well.
+    "job_two_runs": BASE + metrics_of("rorders"),
+    "job_two_runs_merge": BASE + metrics_of("rorders"),
     "late_update_corrects_day": _late_before_after(""),
     "late_cancellation": _late_before_after("status = 'cancelled'"),
     "backfill_then_upsert": with_(
