@@ -37,14 +37,18 @@ def upsert(
     new: DataFrame,
     keys: Sequence[str] = KEY_COLS,
     broadcast_key_limit: int = DEFAULT_BROADCAST_KEY_LIMIT,
+    new_is_stored: bool = False,
 ) -> DataFrame:
     """Insert absent keys, replace present ones (``$set``, not ``$inc``).
 
     = target rows whose key is not in ``new``, plus all of ``new``.
     ``new`` (a recompute: one row per touched group) is written once, so the
-    size check and the two uses below do not recompute it.
+    size check and the two uses below do not recompute it; a caller that
+    already persisted it passes ``new_is_stored=True``.
     """
-    new = materialize(new.select(*target.columns))
+    new = new.select(*target.columns)
+    if not new_is_stored:
+        new = materialize(new)
     n = new.count()
     new_keys = new.select(*keys)
     if n <= broadcast_key_limit:

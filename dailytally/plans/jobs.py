@@ -147,7 +147,7 @@ class MetricsJob:
                 MT.replace_days(metrics, self.cfg.metrics_path)
             else:
                 staging = f"{self.cfg.metrics_path.rstrip('/')}/_staging/{time.time_ns()}"
-                MT.merge_days(self.spark, metrics, self.cfg.metrics_path, staging)
+                MT.merge_days(self.spark, metrics, self.cfg.metrics_path, staging, new_is_stored=True)
             return upserts
         finally:
             if reused:

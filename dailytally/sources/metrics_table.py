@@ -84,11 +84,13 @@ def _journal(spark: SparkSession, path: str, staging_path: str, applied: bool) -
     row.coalesce(1).write.mode("append").parquet(journal_path(path))
 
 
-def merge_days(spark: SparkSession, new: DataFrame, path: str, staging_path: str) -> None:
+def merge_days(
+    spark: SparkSession, new: DataFrame, path: str, staging_path: str, new_is_stored: bool = False
+) -> None:
     """Group-level upsert of ``new`` into the table, via a staging copy."""
     days = new.select("date").distinct()
     current = read_metrics(spark, path).join(F.broadcast(days), "date", "left_semi")
-    merged = upsert(current, new.select(*METRIC_COLS), KEY_COLS)
+    merged = upsert(current, new.select(*METRIC_COLS), KEY_COLS, new_is_stored=new_is_stored)
     _layout(merged).write.mode("overwrite").partitionBy("date").parquet(staging_path)
     _journal(spark, path, staging_path, applied=False)
     apply_staged(spark, staging_path, path)
