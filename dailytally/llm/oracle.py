@@ -44,7 +44,7 @@ OP4 = rf"""
 WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (
   SELECT doc_id, source, text, regexp_extract_all(text, '[^ \t\n\x0B\f\r]+') AS words,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines FROM t),
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines FROM t),
 tri AS (SELECT doc_id, unnest(range(1, len(words) - 1)) AS i, words FROM w WHERE len(words) >= 3),
 win AS (SELECT doc_id, i, list_slice(words, i, i + 2) AS g FROM tri),
 again AS (SELECT doc_id, g FROM win GROUP BY ALL HAVING count(*) > 1),
@@ -70,9 +70,9 @@ WITH p AS (
          sha1(coalesce(html, '')) AS x FROM pages),
 r AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM p),
 k AS (SELECT *, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
-bits AS (SELECT *, list_transform(range(1, 9), g -> ('0x' || substr(x, (5 * (g - 1) + 1)::INT, 5))::BIGINT) AS v FROM k)
+bits AS (SELECT *, list_transform(range(1, 9), lambda g: ('0x' || substr(x, (5 * (g - 1) + 1)::INT, 5))::BIGINT) AS v FROM k)
 SELECT page_id, payload_bytes,
-       array_to_string(list_transform(v, n -> array_to_string(list_transform([15, 10, 5, 0], s ->
+       array_to_string(list_transform(v, lambda n: array_to_string(list_transform([15, 10, 5, 0], lambda s:
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((n >> s) & 31) + 1)::INT, 1)), '')), '') AS payload_digest,
        CASE WHEN last IS NULL OR page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> last THEN last END AS refers_to,
@@ -86,10 +86,10 @@ WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^ \t\n\x0B\f\r]+') AS words FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
-    ELSE list_transform(range(1, len(words) - 2), i -> array_to_string(list_slice(words, i, i + 3), ' ')) END) AS g FROM w),
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(list_slice(words, i, i + 3), ' ')) END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n + y.n - both)),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
 both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(d, c) AS (SELECT a, a FROM both_ways UNION SELECT reach.d, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.c),
 comp AS (SELECT d, min(c) AS c FROM reach GROUP BY d)
@@ -101,7 +101,7 @@ OP10 = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
 bm AS (SELECT item_id, words, least(len(words), 10) AS m FROM b WHERE len(words) > 0),
-bw AS (SELECT DISTINCT item_id, m, unnest(list_transform(range(1, len(words) - m + 2), i -> array_to_string(list_slice(words, i, i + m - 1), ' '))) AS g FROM bm),
+bw AS (SELECT DISTINCT item_id, m, unnest(list_transform(range(1, len(words) - m + 2), lambda i: array_to_string(list_slice(words, i, i + m - 1), ' '))) AS g FROM bm),
 dp AS (SELECT doc_id, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM bw) WHERE len(words) >= m),
 hit AS (SELECT doc_id, i, x.m, item_id FROM (SELECT doc_id, i, m, array_to_string(list_slice(words, i, i + m - 1), ' ') AS g FROM dp) x JOIN bw USING (m, g)),
 n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM hit) GROUP BY doc_id),
