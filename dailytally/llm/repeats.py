@@ -150,20 +150,36 @@ def unpacked(blob: bytes, *kinds: str) -> list[np.ndarray]:
 
 #: doc_id, key, rows of the document; then for each row: trigger's hash, bytes' hash, lo, strings, trigger's place.
 PHRASES = ("<i8", "<u4", "<u4", "<u4", "<u8", "<u4", "u1", "u1")
-FOUND = "part int, kind int, doc_id long, tk long, n int, blob binary"
+PARSED = "part int, kind int, n int, blob binary"
+#: Ranges of documents travel by buckets of documents: doc_id, key, lo, strings, trigger's place.
+RANGES = ("<i8", "<u4", "<u4", "<u4", "u1")
+FOUND = "bucket int, kind int, n int, blob binary"
 #: Kinds of rows: repeated strings; candidates; phrases.
 REPEATED, CANDIDATE, PHRASE = 0, 1, 2
 
 
-def by_document(doc: np.ndarray, tk: np.ndarray, *cols: np.ndarray) -> Iterator[tuple]:
-    """(doc, tk, rows as an array of the columns, in u4) for each document."""
+def by_bucket(buckets: int, doc: np.ndarray, tk: np.ndarray, lo: np.ndarray, count: np.ndarray, place: np.ndarray | None = None) -> Iterator[tuple]:
+    """(bucket, rows, packed rows): a blob for each bucket of documents."""
     if not len(doc):
         return
-    o = np.lexsort((cols[0], tk, doc))
-    doc, tk, body = doc[o], tk[o], np.stack([c[o] for c in cols], 1).astype("<u4")
-    cut = np.concatenate([[0], np.flatnonzero((doc[1:] != doc[:-1]) | (tk[1:] != tk[:-1])) + 1, [len(doc)]])
+    place = np.zeros(len(doc), np.uint8) if place is None else place
+    bucket = _mixed(doc.astype(np.int64).view(np.uint64)) % np.uint64(buckets)
+    o = np.lexsort((lo, tk, doc, bucket))
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket[o])) + 1, [len(o)]])
     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-        yield int(doc[a]), int(tk[a]), b - a, body[a:b].tobytes()
+        i = o[a:b]
+        yield int(bucket[i[0]]), b - a, packed(*(v[i].astype(kind) for v, kind in zip((doc, tk, lo, count, place), RANGES, strict=True)))
+
+
+def _by_document(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A bucket's rows, one for each document: first string, strings and trigger's place, in u4."""
+    got = [unpacked(x, *RANGES) for x in pdf["blob"]]
+    doc, tk, *rest = (np.concatenate([g[k] for g in got]) for k in range(5))
+    o = np.lexsort((rest[0], tk, doc))
+    doc, tk, body = doc[o], tk[o], np.stack([c[o] for c in rest], 1).astype("<u4")
+    cut = np.concatenate([[0], np.flatnonzero((doc[1:] != doc[:-1]) | (tk[1:] != tk[:-1])) + 1, [len(doc)]])
+    rows = [(int(doc[a]), int(tk[a]), body[a:b].tobytes()) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    return pd.DataFrame(rows, columns=["doc_id", "tk", "blob"])
 
 
 def joined_runs(doc: np.ndarray, tk: np.ndarray, lo: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -177,9 +193,9 @@ def joined_runs(doc: np.ndarray, tk: np.ndarray, lo: np.ndarray, count: np.ndarr
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [[]] * 6
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["part", "kind", "doc_id", "tk", "n", "blob"])
+    cols = list(zip(*rows, strict=True)) or [[]] * 4
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["part", "kind", "n", "blob"])
 
 
 def _parse_batches(parts: int):  # noqa: ANN202
@@ -192,8 +208,7 @@ def _parse_batches(parts: int):  # noqa: ANN202
         again[o] = doc[o] > least
         rows = []
         done = joined_runs(doc[again], tk[again], lo[again], count[again])
-        for d, t, n, body in by_document(*done):
-            rows.append((hash(d) % parts, REPEATED, d, t, n, body))
+        rows += [(p, REPEATED, n, blob) for p, n, blob in by_bucket(parts, *done)]
         keep = np.flatnonzero(~again)
         part = (h[keep] >> np.uint64(32)) % np.uint64(parts)
         keep = keep[np.lexsort((lo[keep], tk[keep], doc[keep], part))]
@@ -205,7 +220,7 @@ def _parse_batches(parts: int):  # noqa: ANN202
             blob = packed(
                 doc[i][new].astype("<i8"), tk[i][new].astype("<u4"), np.diff(np.concatenate([new, [len(i)]])).astype("<u4"),
                 h[i].astype("<u4"), hc[i], lo[i].astype("<u4"), count[i].astype(np.uint8), place[i].astype(np.uint8))
-            rows.append((int(part[a]), PHRASE, None, None, len(i), blob))
+            rows.append((int(part[a]), PHRASE, len(i), blob))
         return _table(rows)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,26 +242,30 @@ def _parse_batches(parts: int):  # noqa: ANN202
     return batches
 
 
-def _dictionary(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One part of the dictionary: repeated phrases and candidates, by document."""
-    rows = list(pdf[pdf["kind"] == REPEATED].itertuples(index=False, name=None))
-    part = int(pdf["part"].iloc[0])
-    got = [unpacked(x, *PHRASES) for x in pdf.loc[pdf["kind"] == PHRASE, "blob"]]
-    if got:
-        doc = np.concatenate([np.repeat(g[0], g[2]) for g in got])
-        tk = np.concatenate([np.repeat(g[1], g[2]) for g in got])
-        h, hc, lo, count, place = (np.concatenate([g[k] for g in got]) for k in range(3, 8))
-        del got
-        o = np.lexsort((doc, hc, h))
-        doc, tk, h, hc, lo, count, place = (v[o] for v in (doc, tk, h, hc, lo, count, place))
-        group = np.concatenate([[True], h[1:] != h[:-1]])
-        phrase = group | np.concatenate([[True], hc[1:] != hc[:-1]])
-        least = doc[np.flatnonzero(phrase)][np.cumsum(phrase) - 1]
-        again = doc > least
-        several = np.add.reduceat(phrase.astype(np.int64), np.flatnonzero(group))[np.cumsum(group) - 1] > 1
-        for kind, own, cols in ((REPEATED, again, (lo, count)), (CANDIDATE, several & ~again, (lo, count, place))):
-            rows += [(part, kind, *x) for x in by_document(doc[own], tk[own].astype(np.int64), *(c[own] for c in cols))]
-    return pd.DataFrame(rows, columns=["part", "kind", "doc_id", "tk", "n", "blob"])
+def _dictionary(buckets: int):  # noqa: ANN202
+    """One part of the dictionary: repeated phrases and candidates, by buckets of documents."""
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
+        # Ranges decided in their block came to the part of their bucket's number.
+        rows = list(pdf.loc[pdf["kind"] == REPEATED, ["part", "kind", "n", "blob"]].itertuples(index=False, name=None))
+        got = [unpacked(x, *PHRASES) for x in pdf.loc[pdf["kind"] == PHRASE, "blob"]]
+        if got:
+            doc = np.concatenate([np.repeat(g[0], g[2]) for g in got])
+            tk = np.concatenate([np.repeat(g[1], g[2]) for g in got])
+            h, hc, lo, count, place = (np.concatenate([g[k] for g in got]) for k in range(3, 8))
+            del got
+            o = np.lexsort((doc, hc, h))
+            doc, tk, h, hc, lo, count, place = (v[o] for v in (doc, tk, h, hc, lo, count, place))
+            group = np.concatenate([[True], h[1:] != h[:-1]])
+            phrase = group | np.concatenate([[True], hc[1:] != hc[:-1]])
+            least = doc[np.flatnonzero(phrase)][np.cumsum(phrase) - 1]
+            again = doc > least
+            several = np.add.reduceat(phrase.astype(np.int64), np.flatnonzero(group))[np.cumsum(group) - 1] > 1
+            for kind, own in ((REPEATED, again), (CANDIDATE, several & ~again)):
+                found = by_bucket(buckets, doc[own], tk[own].astype(np.int64), lo[own], count[own], place[own])
+                rows += [(k, kind, n, blob) for k, n, blob in found]
+        return pd.DataFrame(rows, columns=["bucket", "kind", "n", "blob"])
+
+    return part
 
 
 def _zipped(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,9 +291,9 @@ def _fetch_batches(parts: int):  # noqa: ANN202
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in it:
             held: dict[int, list] = {}
-            for d, t, z, blobs in b.itertuples(index=False, name=None):
+            for d, t, z, blob in b.itertuples(index=False, name=None):
                 x = np.frombuffer(_unzipped(z), np.uint8)
-                lo, count, place = np.frombuffer(b"".join(blobs), "<u4").reshape(-1, 3).T.astype(np.int64)
+                lo, count, place = np.frombuffer(blob, "<u4").reshape(-1, 3).T.astype(np.int64)
                 grams = x[(lo + place)[:, None] + np.arange(K)]
                 u = np.ascontiguousarray(grams).view("<u8")
                 part = _mixed(_mixed(u[:, 0] * _C1) ^ (u[:, 1] * _C2)) % np.uint64(parts)
@@ -290,7 +309,14 @@ def _fetch_batches(parts: int):  # noqa: ANN202
     return batches
 
 
-def _suffixes(pdf: pd.DataFrame) -> pd.DataFrame:
+def _suffixes(buckets: int):  # noqa: ANN202
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(list(by_bucket(buckets, *_earlier(pdf))), columns=["bucket", "n", "blob"])
+
+    return part
+
+
+def _earlier(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
     """The suffix array of one part's candidates, cut to LENGTH bytes: strings with an earlier document."""
     got = [unpacked(x, *CANDIDATES) for x in pdf["blob"]]
     doc, tk, lo, count, body = (np.concatenate([g[k] for g in got]) for k in range(5))
@@ -318,13 +344,12 @@ def _suffixes(pdf: pd.DataFrame) -> pd.DataFrame:
     hit[order] = doc[owner[order]] > least
     i = np.flatnonzero(hit)
     place = lo[owner[i]].astype(np.int64) + (i - first[owner[i]])
-    done = joined_runs(doc[owner[i]], tk[owner[i]].astype(np.int64), place, np.ones(len(i), np.int64))
-    return pd.DataFrame(list(by_document(*done)), columns=["doc_id", "tk", "n", "blob"])
+    return joined_runs(doc[owner[i]], tk[owner[i]].astype(np.int64), place, np.ones(len(i), np.int64))
 
 
-def removed_mask(size: int, blobs: list[bytes]) -> np.ndarray:
+def removed_mask(size: int, blob: bytes) -> np.ndarray:
     """Bytes covered by the repeated strings."""
-    lo, count = np.frombuffer(b"".join(blobs), "<u4").reshape(-1, 2).T.astype(np.int64)
+    lo, count, _ = np.frombuffer(blob, "<u4").reshape(-1, 3).T.astype(np.int64)
     step = np.zeros(size + 1, np.int64)
     np.add.at(step, lo, 1)
     np.add.at(step, lo + count + LENGTH - 1, -1)
@@ -334,11 +359,11 @@ def removed_mask(size: int, blobs: list[bytes]) -> np.ndarray:
 def _cut(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in it:
         rows = []
-        for d, z, blobs in b[["doc_id", "z", "blobs"]].itertuples(index=False, name=None):
+        for d, z, blob in b[["doc_id", "z", "blob"]].itertuples(index=False, name=None):
             x = _unzipped(z)
             n, gone, spans = len(x), 0, 0
-            if blobs is not None and len(blobs):
-                mask = removed_mask(n, list(blobs))
+            if blob:
+                mask = removed_mask(n, blob)
                 gone = int(mask.sum())
                 spans = int((mask[1:] & ~mask[:-1]).sum() + mask[0])
                 x = np.frombuffer(x, np.uint8)[~mask].tobytes()
@@ -351,19 +376,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     own = texts(docs)
     size = own.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(1, -(-size // (17 * PART)))  # a phrase to about 17 bytes
-    phrases = own.filter("doc_id IS NOT NULL").mapInArrow(_parse_batches(parts), FOUND)
-    found = stored(phrases.groupBy("part").applyInPandas(_dictionary, FOUND), "phrases")
+    phrases = own.filter("doc_id IS NOT NULL").mapInArrow(_parse_batches(parts), PARSED)
+    found = stored(phrases.groupBy("part").applyInPandas(_dictionary(parts), FOUND), "phrases")
+
+    def by_document(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("bucket").applyInPandas(_by_document, "doc_id long, tk long, blob binary")
 
     zipped = own.mapInArrow(_zipped, "doc_id long, tk long, z binary")
     candidates = found.filter(F.col("kind") == CANDIDATE)
     n = candidates.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
-    spans = found.filter(F.col("kind") == REPEATED).select("doc_id", "tk", "blob")
+    spans = found.filter(F.col("kind") == REPEATED).select("bucket", "n", "blob")
     if n:
-        wanted = candidates.groupBy("doc_id", "tk").agg(F.collect_list("blob").alias("blobs"))
         suffix_parts = max(1, -(-n // SUFFIX_PART))
-        got = zipped.join(wanted, ["doc_id", "tk"]).select("doc_id", "tk", "z", "blobs").mapInPandas(_fetch_batches(suffix_parts), "part int, n int, blob binary")
-        repeated = got.groupBy("part").applyInPandas(_suffixes, "doc_id long, tk long, n int, blob binary")
-        spans = spans.unionByName(repeated.select("doc_id", "tk", "blob"))
-    by_doc = spans.groupBy("doc_id", "tk").agg(F.collect_list("blob").alias("blobs"))
-    return zipped.join(by_doc, ["doc_id", "tk"], "left").select("doc_id", "z", "blobs").mapInPandas(
+        got = zipped.join(by_document(candidates), ["doc_id", "tk"]).select("doc_id", "tk", "z", "blob").mapInPandas(
+            _fetch_batches(suffix_parts), "part int, n int, blob binary")
+        spans = spans.unionByName(got.groupBy("part").applyInPandas(_suffixes(parts), "bucket int, n int, blob binary"))
+    return zipped.join(by_document(spans), ["doc_id", "tk"], "left").select("doc_id", "z", "blob").mapInPandas(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
