@@ -5,16 +5,14 @@ whole sequence; none: empty, linked with nothing). Texts of equal sets form one
 node. ``BANDS`` bands of ``ROWS`` universal-hash minima bring nodes together: a
 pair at the threshold 0.8 shares no band with a chance of about 3 in a million.
 
-First each node is compared with one centre per bucket, the least one, so a
-bucket costs as many pairs as it has nodes. The links found give components.
-Then only in buckets that still hold several components, the pairs between
-nodes of different components are compared: these are the pairs that no chain
-of links makes needless, so that no link is lost that could join two groups.
-Buckets of more than ``CROWD`` nodes are first cut finer, by a second band that
-a pair must share as well; pairs at the threshold share at least one such pair of
-bands with the same certainty, while unlike texts fall apart. Pairs whose
-signatures are far below the threshold are dropped, all others confirmed on the
-full sets.
+First each node is compared with one centre per bucket, the node that meets most
+others, so a bucket costs as many pairs as it has nodes. The links found give
+components. Buckets that still hold several components are then compared within
+tasks, in blocks of at most ``BLOCK_ROWS`` nodes against as many: only pairs of
+different components, each pair in the first bucket that it shares, the likeliest
+first, until they are joined. No pairs are handed on but links, and no link is lost
+that could join two groups. Pairs whose signatures are far below the threshold
+are dropped, all others confirmed on the full sets.
 
 Words are runs without white space, A-Z lower-cased. Null doc_id: linked like
 others but never a group's id; without any other id in the group component_id is
@@ -30,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +37,12 @@ from dailytally.llm.components import components
 
 BANDS, ROWS = 32, 5
 PERCENT = 80
-#: Pairs whose signatures agree in less than this share are not confirmed: over six
+#: Hash functions; the first BANDS * ROWS make the bands, all together (a byte each) the signature.
+HASHES = 480
+#: Pairs whose signatures agree in less than this share are not confirmed: five
 #: standard deviations below the threshold.
-LIKELY = 0.6
-CROWD = 50
+LIKELY = 0.71
+BLOCK_ROWS = 400
 RUN_BYTES = 1 << 20
 #: Columns of hashes taken at once, for the processor's cache.
 BLOCK = 512
@@ -147,28 +148,30 @@ def digest(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
+def band_keys(least: np.ndarray) -> list[int]:
+    """A hash of each band's minima, and of the band's number."""
+    c = mixed(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+    sums = (least[: BANDS * ROWS].astype(np.uint64).reshape(BANDS, ROWS) * c).sum(1, dtype=np.uint64)
+    return mixed(mixed(sums) + np.arange(BANDS, dtype=np.uint64)).view(np.int64).tolist()
+
+
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, node (a digest of the set, null if empty), sig."""
+    """doc_id, n_shingles, node (a digest of the set, null if empty), keys (of its bands), sig."""
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = _family(BANDS * ROWS)
+        family = _family(HASHES)
         for b in it:
-            n, node, sig = [], [], []
+            n, node, keys, sig = [], [], [], []
             for s in shingle_sets(*utf8(b.column(1)), k):
+                least = signature(s, family)
                 n.append(len(s))
                 node.append(digest(s))
-                sig.append(signature(s, family).tobytes() if len(s) else None)
+                keys.append(band_keys(least) if len(s) else None)
+                sig.append(least.astype(np.uint8).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary())],
-                names=["doc_id", "n_shingles", "node", "sig"])
-
-    return texts(docs).mapInArrow(batches, "doc_id long, n_shingles long, node binary, sig binary")
+                [b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
+                names=["doc_id", "n_shingles", "node", "keys", "sig"])
 
-
-def _buckets(nodes: DataFrame) -> DataFrame:
-    """(key, node, n): one row per node and band."""
-    width = 4 * ROWS
-    keys = F.array(*[F.xxhash64(F.lit(i), F.substring("sig", 1 + i * width, width)) for i in range(BANDS)])
-    return nodes.select(F.explode(keys).alias("key"), "node", "n")
+    return texts(docs).mapInArrow(batches, "doc_id long, n_shingles long, node binary, keys array<long>, sig binary")
 
 
 def _near_size(a: str, b: str) -> Column:
@@ -180,30 +183,89 @@ def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def shared_buckets(nodes: DataFrame) -> DataFrame:
+    """(key, node, n, m): the buckets of m > 1 nodes, a row per node."""
+    rows = nodes.select(F.explode("keys").alias("key"), "node", "n")
+    return rows.join(rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "key")
+
+
 def star_pairs(buckets: DataFrame) -> DataFrame:
-    centres = buckets.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("m")).filter("m > 1")
+    """Each node with the centre of each of its buckets: the node of most encounters."""
+    met = buckets.groupBy("node").agg(F.sum(F.col("m") - 1).alias("met"))
+    centres = buckets.join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("c"))
     both = buckets.join(centres, "key").filter(F.col("node") != F.col("c.node"))
     return _pairs(both.select(F.col("node").alias("a"), F.col("n").alias("x"), F.col("c.node").alias("b"), F.col("c.n").alias("y")).filter(_near_size("x", "y")))
 
 
-def rest_pairs(buckets: DataFrame, nodes: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of one bucket whose nodes are in different components."""
+def blocks(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+    """(part, side, key, node, n, component): buckets of several components, cut into blocks.
+
+    A bucket of g blocks makes a part of each pair of blocks; a node goes to
+    the g parts that hold its block (side 0 or 1; 2 where both blocks are the same).
+    """
     named = buckets.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_ = (
-        named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"))
-        .filter(F.col("lo") != F.col("hi")).select("key", "m")
-    )
-    rows = stored(named.join(mixed_, "key"), "mixed")
-    width = 4 * ROWS
-    bands = F.array(*[F.xxhash64(F.lit(i), F.substring("sig", 1 + i * width, width)) for i in range(BANDS)])
-    crowded = rows.filter(F.col("m") > CROWD).join(nodes.select("node", bands.alias("bands")), "node")
-    finer = crowded.select(
-        "node", "n", "component",
-        F.explode(F.transform(F.array_remove("bands", F.col("key")), lambda x: F.xxhash64(F.least(x, F.col("key")), F.greatest(x, F.col("key"))))).alias("key"))
-    parts = rows.filter(F.col("m") <= CROWD).select("key", "node", "n", "component").unionByName(finer.select("key", "node", "n", "component").distinct())
-    x, y = parts.alias("x"), parts.alias("y")
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _near_size("x.n", "y.n")
-    return x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(F.col("lo") != F.col("hi"))
+    rows = named.join(several.select("key"), "key").withColumn("g", F.ceil(F.col("m") / F.lit(BLOCK_ROWS)).cast("int"))
+    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("g")).cast("int"))
+    other = own.select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
+    return other.select(
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("part"), side.alias("side"),
+        "key", "node", "n", "component")
+
+
+def link_block(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Links between different components of one part, enough to join what they join."""
+    node, comp = pdf["node"].tolist(), pdf["component"].tolist()
+    n, side, key = pdf["n"].to_numpy(), pdf["side"].to_numpy(), pdf["key"].to_numpy()
+    keys, sig = np.stack(pdf["keys"].tolist()), np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
+    group = pd.factorize(pdf["component"])[0]
+    tried = []
+    for i in range(len(pdf) - 1):
+        j = np.arange(i + 1, len(pdf))
+        # Two parts whose hashes are the same would only bring more rows together.
+        j = j[(group[j] != group[i]) & (key[j] == key[i]) & ((side[j] != side[i]) | (side[j] == 2))]
+        j = j[100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])]
+        if not len(j):
+            continue
+        equal = keys[j] == keys[i]
+        j = j[keys[i][equal.argmax(1)] == key[i]]  # the first bucket that they share
+        agree = (sig[j] == sig[i]).mean(1)
+        tried += [(-a, i, b) for a, b in zip(agree.tolist(), j.tolist(), strict=True) if a >= LIKELY]
+    root = list(range(len(set(comp))))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    sets: dict[int, np.ndarray] = {}
+
+    def own(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_set(unzipped(pdf["z"].iat[i]), k)
+        return sets[i]
+
+    links = []
+    for _, i, j in sorted(tried):
+        x, y = find(group[i]), find(group[j])
+        if x != y and similar(own(i), own(j)):
+            root[x] = y
+            links.append((node[i], node[j]))
+    return pd.DataFrame(links, columns=["a", "b"])
+
+
+def shingle_set(text: bytes, k: int) -> np.ndarray:
+    return next(shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]), k))
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
+def unzipped(z: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(z)
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -211,7 +273,7 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in it:
             if len(b):
-                x, y = (np.frombuffer(b"".join(b[c]), "<u4").reshape(len(b), -1) for c in ("sa", "sb"))
+                x, y = (np.frombuffer(b"".join(b[c]), np.uint8).reshape(len(b), -1) for c in ("sa", "sb"))
                 b = b[(x == y).mean(1) >= LIKELY]
             yield b[["a", "b"]]
 
@@ -220,36 +282,39 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.mapInPandas(batches, "a binary, b binary")
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """Pairs whose full sets reach the threshold; the texts of their nodes are fetched once."""
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    rows = ends.join(nodes.select("node", "doc_id"), "node")
+def node_texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(node, z): the compressed text of a document of each wanted node."""
+    rows = wanted.distinct().join(nodes.select("node", "doc_id"), "node")
     own = texts(docs).join(rows.select(F.col("doc_id").alias("d"), "node"), F.col("doc_id").eqNullSafe(F.col("d"))).select("node", "text")
 
-    def right(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows that share a doc_id but not the set are not the node's text.
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zipper = zstandard.ZstdCompressor(level=3)
         for b in it:
+            data, off = utf8(b.column(1))
             node = b.column(0).to_pylist()
-            yield b.filter(pa.array([digest(s) == x for s, x in zip(shingle_sets(*utf8(b.column(1)), k), node, strict=True)], pa.bool_()))
+            # Rows that share a doc_id but not the set are not the node's text.
+            keep = [i for i, s in enumerate(shingle_sets(data, off, k)) if digest(s) == node[i]]
+            z = [zipper.compress(data[off[i] : off[i + 1]].tobytes()) for i in keep]
+            yield pa.RecordBatch.from_arrays([pa.array([node[i] for i in keep], pa.binary()), pa.array(z, pa.binary())], names=["node", "z"])
 
-    own = stored(own.mapInArrow(right, "node binary, text string").dropDuplicates(["node"]), "texts")
+    return own.mapInArrow(batches, "node binary, z binary").dropDuplicates(["node"])
 
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def confirmed(pairs: DataFrame, own: DataFrame, k: int) -> DataFrame:
+    """Pairs whose full sets reach the threshold."""
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last: tuple = (None, None)
         for b in it:
             keep = []
-            right_ids = b.column(1).to_pylist()
-            for i, x in enumerate(shingle_sets(*utf8(b.column(2)), k)):
-                if last[0] != right_ids[i]:
-                    last = (right_ids[i], next(shingle_sets(*utf8(b.column(3).slice(i, 1)), k)))
-                y = last[1]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            for _, right, za, zb in b.itertuples(index=False, name=None):
+                if last[0] != right:
+                    last = (right, shingle_set(unzipped(zb), k))
+                keep.append(similar(shingle_set(unzipped(za), k), last[1]))
+            yield b.loc[np.array(keep, bool), ["a", "b"]]
 
-    ta = own.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    tb = own.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(batches, "a binary, b binary")
+    za = own.select(F.col("node").alias("a"), F.col("z").alias("za"))
+    zb = own.select(F.col("node").alias("b"), F.col("z").alias("zb"))
+    return pairs.join(za, "a").join(zb, "b").select("a", "b", "za", "zb").mapInPandas(batches, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, k: int) -> DataFrame:
@@ -257,16 +322,16 @@ def near_duplicates(docs: DataFrame, k: int) -> DataFrame:
     sketch = stored(sketches(docs, k), "sketches")
     nodes = stored(
         sketch.filter("node IS NOT NULL").groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "nodes")
-    buckets = _buckets(nodes)
-    tried = stored(likely(star_pairs(buckets), nodes), "pairs")
-    links = stored(confirmed(tried, nodes, docs, k), "confirmed")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")), "nodes")
+    buckets = stored(shared_buckets(nodes), "buckets")
+    own = stored(node_texts(buckets.select("node"), nodes, docs, k), "texts")
+    links = stored(confirmed(likely(star_pairs(buckets), nodes), own, k), "links")
     comp = stored(components(links), "components")
-    more = rest_pairs(buckets, nodes, comp).join(tried, ["a", "b"], "left_anti")
-    more = stored(likely(more, nodes), "pairs")
+    data = nodes.select("node", "keys", "sig").join(own, "node")
+    more = blocks(buckets, comp).join(data, "node").groupBy("part").applyInPandas(lambda pdf: link_block(pdf, k), "a binary, b binary")
+    more = stored(more, "links")
     if more.take(1):
-        links = links.unionByName(stored(confirmed(more, nodes, docs, k), "confirmed"))
-        comp = stored(components(links), "components")
+        comp = stored(components(links.unionByName(more)), "components")
     groups = nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     ids = groups.join(least, "component").select("node", "component_id")

@@ -281,7 +281,7 @@ def test_near_duplicates(docs, rows, empty):
 
 def test_chains_in_crowded_buckets(spark, monkeypatch):
     """Texts that slide along a word sequence: neighbours are linked, far ones are not."""
-    monkeypatch.setattr(minhash, "CROWD", 3)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 3)
     words = [f"w{i}" for i in range(400)]
     own = [(i, " ".join(words[4 * i : 4 * i + 60])) for i in range(70)] + [(100 + i, " ".join(words[:40] + [f"x{i}-{j}" for j in range(30)])) for i in range(30)]
     df = spark.createDataFrame(own, "doc_id long, text string").repartition(4)
