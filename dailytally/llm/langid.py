@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from dailytally.llm.common import runs, utf8
 
 #: Labelled rows of each language, at most, in the fitted sample.
-SAMPLE = 400
+SAMPLE = 300
 #: Buckets of hashed n-grams.
-FEATURES = 1 << 13
+FEATURES = 1 << 12
 #: Ridge of the binary classifiers.
 RIDGE = 0.02
 #: Scores below this are flagged as ambiguous.
@@ -116,8 +116,7 @@ def fit(langs: list[str], labels: np.ndarray, x: np.ndarray) -> Model:
     code = codewords(len(langs))
     y = code[labels]
     size = np.bincount(labels, minlength=len(langs)).astype(float)
-    xb = np.hstack([x, np.ones((len(x), 1))]) / np.sqrt(2)
-    k = xb @ xb.T
+    k = ((x @ x.T).astype(float) + 1) / 2  # with a constant as one more feature
     # Languages count alike, however many rows they have in the sample.
     ridge = RIDGE * size[labels] / size.mean()
     inv = np.linalg.inv(k + np.diag(ridge))
@@ -125,7 +124,8 @@ def fit(langs: list[str], labels: np.ndarray, x: np.ndarray) -> Model:
     left_out = y - alpha / np.diag(inv)[:, None]
     right = (left_out * y > 0).astype(float)
     acc = np.array([right[labels == i].mean(0) if size[i] else np.ones(code.shape[1]) for i in range(len(langs))]) + 1e-3
-    return Model(langs, code, acc / acc.sum(1, keepdims=True), xb.T @ alpha / np.sqrt(2))
+    weights = np.vstack([x.T @ alpha, alpha.sum(0, keepdims=True)]) / 2
+    return Model(langs, code, acc / acc.sum(1, keepdims=True), weights)
 
 
 def train(docs: DataFrame) -> Model | None:
@@ -152,7 +152,7 @@ def train(docs: DataFrame) -> Model | None:
     for lang in langs:
         rows += got.filter(F.col("lang") == lang).orderBy("draw").limit(SAMPLE).collect()
     number = {v: i for i, v in enumerate(langs)}
-    x = np.stack([np.frombuffer(r.x, np.float32) for r in rows]).astype(float)
+    x = np.stack([np.frombuffer(r.x, np.float32) for r in rows])
     return fit(langs, np.array([number[r.lang] for r in rows]), x)
 
 
