@@ -27,8 +27,16 @@ def ascii_lower(c: Column) -> Column:
 _SHIPPED: set[str] = set()
 
 
+#: Rows of an Arrow batch, where the session has not chosen: with texts of some KB a few MB.
+BATCH_ROWS = 1000
+_ARROW_ROWS, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets the tasks import this package, once per application (as --py-files does)."""
+    """Lets the tasks import this package, once per application (as --py-files does),
+    and keeps Arrow batches of texts small where the session has Spark's default."""
+    if spark.conf.get(_ARROW_ROWS) == _ARROW_DEFAULT:
+        spark.conf.set(_ARROW_ROWS, str(BATCH_ROWS))
     if (app := spark.sparkContext.applicationId) in _SHIPPED:
         return
     top = Path(__file__).resolve().parents[1]
