@@ -5,6 +5,7 @@
     python -m dailytally ... --mode backfill --start-date 2024-01-01 --end-date 2024-01-31
     python -m dailytally ... --mode full
     python -m dailytally ... --dry-run
+    python -m dailytally ... --reset-mark                                     # next run starts at the epoch
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so the
 cluster's own settings (master, ``spark.checkpoint.dir``, memory) apply.
@@ -19,10 +20,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from dailytally.config import DEFAULT_BROADCAST_KEY_LIMIT, DEFAULT_PIPELINE_ID
+from dailytally.config import DEFAULT_PIPELINE_ID
 from dailytally.plans.jobs import JobConfig, MetricsJob
 from dailytally.session import SESSION_CONF
-from dailytally.sources.orders import read_orders
+from dailytally.sources.orders import read_orders, read_orders_by_day
 
 
 def _date(s: str) -> dt.date:
@@ -31,8 +32,11 @@ def _date(s: str) -> dt.date:
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="dailytally", description="Daily order metrics, kept current incrementally.")
-    p.add_argument("--orders", required=True, help="orders table path (Parquet, contract schema)")
-    p.add_argument("--orders-format", default="parquet")
+    p.add_argument("--orders", required=True, help="orders table path (contract schema)")
+    p.add_argument("--orders-layout", choices=["plain", "day"], default="plain",
+                   help="day: Parquet partitioned by order_date, of which only touched days are read")
+    p.add_argument("--orders-format", default="parquet", help="file format of a plain table")
+    p.add_argument("--changes", help="change feed path (Parquet): where changed rows are looked up")
     p.add_argument("--metrics", required=True, help="daily_metrics table path")
     p.add_argument("--state", required=True, help="state log path")
     p.add_argument("--pipeline-id", default=DEFAULT_PIPELINE_ID)
@@ -40,11 +44,11 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--start-date", type=_date)
     p.add_argument("--end-date", type=_date)
     p.add_argument("--dry-run", action="store_true")
-    p.add_argument("--write-mode", choices=["replace_days", "merge"], default="replace_days")
+    p.add_argument("--reset-mark", action="store_true", help="set the stored mark back to the epoch and stop")
     p.add_argument("--quality", choices=["strict", "quarantine"], default="strict")
     p.add_argument("--quarantine", help="path for rejected rows (quarantine mode)")
+    p.add_argument("--lookback-hours", type=float, help="also look at changes up to so many hours before the mark")
     p.add_argument("--batch-size", type=int, help="page size (default: all changes in one pass)")
-    p.add_argument("--broadcast-key-limit", type=int, default=DEFAULT_BROADCAST_KEY_LIMIT)
     args = p.parse_args(argv)
     if args.mode == "backfill":
         if not args.start_date or not args.end_date:
@@ -54,24 +58,34 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
-def main(argv: list[str] | None = None) -> int:
-    args = parse_args(argv)
-    builder = SparkSession.builder.appName("dailytally")
-    for k, v in SESSION_CONF.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+def build_job(spark: SparkSession, args: argparse.Namespace) -> MetricsJob:
     cfg = JobConfig(
         metrics_path=args.metrics,
         state_path=args.state,
         pipeline_id=args.pipeline_id,
-        write_mode=args.write_mode,
         quality=args.quality,
         quarantine_path=args.quarantine,
+        lookback=dt.timedelta(hours=args.lookback_hours) if args.lookback_hours else None,
         batch_size=args.batch_size,
-        broadcast_key_limit=args.broadcast_key_limit,
     )
-    job = MetricsJob(spark, lambda: read_orders(spark, args.orders, args.orders_format), cfg)
-    if args.mode == "backfill":
+    if args.orders_layout == "day":
+        source = lambda: read_orders_by_day(spark, args.orders)
+    else:
+        source = lambda: read_orders(spark, args.orders, args.orders_format)
+    changes = (lambda: read_orders(spark, args.changes)) if args.changes else None
+    return MetricsJob(spark, source, cfg, changes)
+
+
+def main(argv: list[str] | None = None) -> int:
+    args = parse_args(argv)
+    builder = SparkSession.builder.appName("dailytally")
+    for k, v in SESSION_CONF.items():
+        builder = builder.config(k, v)
+    job = build_job(builder.getOrCreate(), args)
+    if args.reset_mark:
+        job.reset_mark()
+        summary = {"mode": "reset", "pipeline_id": args.pipeline_id}
+    elif args.mode == "backfill":
         summary = job.run_backfill(args.start_date, args.end_date, dry_run=args.dry_run)
     elif args.mode == "full":
         summary = job.run_full(dry_run=args.dry_run)

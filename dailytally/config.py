@@ -30,8 +30,6 @@ COUNTRY_CODE_LENGTH = 2
 SYNTH_COUNTRIES = ("IN", "US", "UK", "AE", "SG", "AU")
 SYNTH_RESTAURANTS = 500
 SYNTH_STATUS_WEIGHTS = (20, 70, 10)
-SYNTH_AMOUNT_MIN = "50.00"
-SYNTH_AMOUNT_MAX = "5000.00"
 SYNTH_DAYS = 91  # offsets 0..90 inclusive
 SYNTH_START = _dt.datetime(2024, 1, 1)
 SYNTH_LATE_PERCENT = 15
@@ -58,9 +56,8 @@ METRIC_VALUE_COLS = (
     "gross_revenue",
 )
 
-# Revenue precision inside the engine. Sum of DECIMAL(12,2) per group, kept
-# at 18 digits: ANSI mode raises on overflow instead of losing digits.
-REVENUE_TYPE = "decimal(18,2)"
+# Revenue precision: that of a sum of DECIMAL(12,2), so nothing is cut.
+REVENUE_TYPE = "decimal(22,2)"
 
 # Upper bound on the number of group keys shipped to every task with a
 # broadcast. Above it the recompute aggregates first and joins by shuffle.

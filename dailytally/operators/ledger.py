@@ -24,10 +24,14 @@ also cuts the lineage and survives lost executors.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailytally.config import KEY_COLS
+from dailytally.functions.columns import ts_ntz
+from dailytally.operators.extract import changed_since
 from dailytally.operators.transform import with_group_key
 from dailytally.session import ensure_checkpoint_dir
 
@@ -57,6 +61,30 @@ def number_changes(changed: DataFrame, num_slices: int | None = None) -> DataFra
     )
 
 
+def page_bounds(changed: DataFrame, batch_size: int, column: str = "updated_at") -> list[_dt.datetime]:
+    """L4: the last change time of every page of ``batch_size`` changes, ascending.
+
+    One pass numbers all changes; one value per page reaches the driver. Pages
+    are the ranges between neighbouring bounds, so a run of equal stamps that
+    crosses a page's end belongs whole to the first page it is in.
+    """
+    if batch_size <= 0:
+        raise ValueError("batch_size must be positive")
+    numbered = number_changes(changed.select(F.col(column).alias("updated_at"), "order_id"))
+    tops = numbered.groupBy(F.floor(F.col("change_seq") / F.lit(batch_size)).alias("page")).agg(F.max("updated_at").alias("top"))
+    return sorted({r.top for r in tops.select("top").distinct().collect()})
+
+
+def extract_page_bounded(
+    orders: DataFrame, mark: _dt.datetime | None, batch_size: int, column: str = "updated_at"
+) -> DataFrame:
+    """L4: the first page, complete with every row that shares its last change
+    time, as a pushed range of the change time."""
+    changed = changed_since(orders, mark, column=column)
+    bounds = page_bounds(changed, batch_size, column)
+    return changed.where(F.col(column) <= ts_ntz(bounds[0]) if bounds else F.lit(False))
+
+
 def batch_ledger(changed: DataFrame, batch_size: int, num_slices: int | None = None) -> DataFrame:
     """Per page: ``batch_no``, ``batch_rows``, ``max_updated_at``, ``batch_groups``."""
     if batch_size <= 0:

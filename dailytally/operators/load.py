@@ -87,16 +87,20 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str = "order
     side) only the days of the incoming rows are read for the key check: an
     order's creation day never changes, so its key can only exist there.
     """
-    w = Window.partitionBy(key).orderBy(F.col("updated_at").asc(), *[F.col(c) for c in incoming.columns if c != key])
-    first = incoming.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     seen = existing
     if "order_date" in existing.columns:
-        days = first.select(F.to_date("created_at").alias("order_date")).distinct()  # bounded by the calendar
+        incoming = _with_day(incoming)
+        days = incoming.select("order_date").distinct()  # bounded by the calendar
         seen = existing.join(F.broadcast(days), "order_date", "left_semi")
-    fresh = first.join(seen.select(key), key, "left_anti")
-    if "order_date" in existing.columns and "order_date" not in fresh.columns:
-        fresh = fresh.withColumn("order_date", F.to_date("created_at"))
-    return existing.unionByName(fresh.select(*existing.columns))
+    # Only keys of the existing side move; its rows pass through.
+    fresh = incoming.join(seen.select(key), key, "left_anti")
+    w = Window.partitionBy(key).orderBy(F.col("updated_at").asc(), *[F.col(c) for c in incoming.columns if c != key])
+    first = fresh.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return existing.unionByName(first.select(*existing.columns))
+
+
+def _with_day(rows: DataFrame) -> DataFrame:
+    return rows if "order_date" in rows.columns else rows.withColumn("order_date", F.to_date("created_at"))
 
 
 def apply_changes(snapshot: DataFrame, changes: DataFrame, key: str = "order_id") -> DataFrame:
@@ -106,7 +110,21 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame, key: str = "order_id"
     change wins over the snapshot. ``row_number() == 1`` is planned with a
     per-task group limit before the shuffle, so a key with very many
     versions sends one row per task, not all of its versions.
+
+    On the day-partitioned layout only the days of the changes are merged;
+    all other days pass through without an exchange.
     """
+    cols = snapshot.columns
+    if "order_date" in cols:
+        changes = _with_day(changes)
+        days = F.broadcast(changes.select("order_date").distinct())  # bounded by the calendar
+        touched = snapshot.join(days, "order_date", "left_semi").select(*cols)
+        rest = snapshot.join(days, "order_date", "left_anti").select(*cols)
+        return rest.unionByName(_latest(touched, changes, key))
+    return _latest(snapshot, changes, key)
+
+
+def _latest(snapshot: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     cols = snapshot.columns
     both = snapshot.select(*cols, F.lit(0).alias("_src")).unionByName(
         changes.select(*cols, F.lit(1).alias("_src"))

@@ -60,9 +60,14 @@ def enforce_strict(orders: DataFrame) -> DataFrame:
     return orders.where(guard)
 
 
-def split_quarantine(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """F6 quarantine mode: (valid rows, rejects with reason)."""
-    return valid_orders(orders), rejected_orders(orders)
+def contract_violations() -> Column:
+    """a metric row that violates any rule (all rules of ``metrics_contract``)."""
+    return (
+        (F.least("total_orders", "completed_orders", "cancelled_orders") < 0)
+        | (F.col("gross_revenue") < 0)
+        | F.col("date").isNull()
+        | (F.char_length("country") != COUNTRY_CODE_LENGTH)
+    )
 
 
 def metrics_contract(metrics: DataFrame) -> DataFrame:

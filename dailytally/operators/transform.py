@@ -25,6 +25,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,18 +157,14 @@ def keys_from_arrays(
 ) -> DataFrame:
     """Three parallel arrays given by a caller -> key rows.
 
-    ``inline(arrays_zip(...))`` turns them into rows; dates are ISO text
-    parsed with ANSI semantics (bad text raises).
+    The keys travel as an Arrow table (no literal per key in the plan); dates
+    are ISO text parsed with ANSI semantics (bad text raises).
     """
     if not (len(restaurant_ids) == len(dates) == len(countries)):
         raise ValueError("key arrays must have equal length")
     iso = [d.isoformat() if isinstance(d, _dt.date) else str(d) for d in dates]
-    arrays = spark.range(1).select(
-        F.array(*[F.lit(x) for x in restaurant_ids]).cast("array<string>").alias("restaurant_id"),
-        F.array(*[F.lit(x) for x in iso]).cast("array<string>").alias("date_text"),
-        F.array(*[F.lit(x) for x in countries]).cast("array<string>").alias("country"),
-    )
-    rows = arrays.select(F.inline(F.arrays_zip("restaurant_id", "date_text", "country")))
+    columns = {"restaurant_id": restaurant_ids, "date_text": iso, "country": countries}
+    rows = spark.createDataFrame(pa.table({k: pa.array(list(v), pa.string()) for k, v in columns.items()}))
     return rows.select("restaurant_id", parse_iso_date("date_text").alias("date"), "country")
 
 

@@ -22,8 +22,7 @@ from dailytally.operators import profile as P
 from dailytally.operators import quality as Q
 from dailytally.operators import state as S
 from dailytally.operators import transform as TR
-from dailytally.operators.ledger import batch_ledger
-from dailytally.operators.synth import synth_orders_from_ids
+from dailytally.operators.ledger import batch_ledger, extract_page_bounded
 from dailytally.plans import scenarios as SC
 from dailytally.sources.orders import materialized_orders
 
@@ -79,12 +78,12 @@ def q_extract_incremental(spark, sf_dir):
 
 
 def q_extract_incremental_batch(spark, sf_dir):
-    return _rows(X.extract_page(_orders(spark, sf_dir), SC.MARK, SC.PAGE_SIZE))
+    return _rows(X.extract_page(_orders(spark, sf_dir), SC.SPLIT, SC.PAGE_SIZE))
 
 
 def q_extract_batch_tie_safe(spark, sf_dir):
     o = _orders(spark, sf_dir).withColumn("change_day", day_floor("updated_at"))
-    return X.extract_page_bounded(o, EPOCH, SC.PAGE_SIZE, column="change_day").select(*ORDER_COLS)
+    return extract_page_bounded(o, EPOCH, SC.PAGE_SIZE, column="change_day").select(*ORDER_COLS)
 
 
 def q_extract_backfill(spark, sf_dir):
@@ -97,7 +96,7 @@ def q_extract_full(spark, sf_dir):
 
 def q_extract_after_hwm(spark, sf_dir):
     o = _orders(spark, sf_dir)
-    return _rows(X.changed_since(o, _mark_of(o)))
+    return _rows(X.changed_since(o, _mark_of(SC.snapshot_v1(o))))
 
 
 def q_batch_stats(spark, sf_dir):
@@ -160,11 +159,11 @@ def q_daily_metrics_full(spark, sf_dir):
 
 
 def q_metrics_contract(spark, sf_dir):
-    return Q.metrics_contract(TR.daily_metrics_full(_orders(spark, sf_dir)))
+    return Q.metrics_contract(SC.with_metric_defects(TR.daily_metrics_full(_orders(spark, sf_dir))))
 
 
 def q_metrics_consistency(spark, sf_dir):
-    return Q.metrics_consistency(TR.daily_metrics_full(_orders(spark, sf_dir)))
+    return Q.metrics_consistency(SC.with_metric_defects(TR.daily_metrics_full(_orders(spark, sf_dir))))
 
 
 def q_metrics_documents(spark, sf_dir):
@@ -194,17 +193,19 @@ def q_upsert_counts(spark, sf_dir):
 
 def q_metrics_key_uniqueness(spark, sf_dir):
     run1, run2, _, _ = _two_runs(spark, sf_dir)
-    return P.key_uniqueness(L.upsert(run1, run2))
+    table = L.upsert(run1, run2)
+    # Keys of the 7th are in there twice.
+    return P.key_uniqueness(table.unionByName(table.where(F.dayofmonth("date") == 7)))
 
 
 def q_insert_if_absent(spark, sf_dir):
     v2 = _orders(spark, sf_dir)
-    return L.insert_if_absent(SC.snapshot_v1(v2), v2)
+    return _rows(L.insert_if_absent(SC.snapshot_v1(v2), v2))
 
 
 def q_apply_changes(spark, sf_dir):
     v2 = _orders(spark, sf_dir)
-    return L.apply_changes(SC.snapshot_v1(v2), SC.changes_after(v2))
+    return _rows(L.apply_changes(SC.snapshot_v1(v2), SC.changes_after(v2)))
 
 
 # --- job behaviour ---------------------------------------------------------
@@ -254,47 +255,80 @@ def q_rerun_identity(spark, sf_dir):
 
 
 def q_dry_run_preview(spark, sf_dir):
-    _, run2, _, _ = _two_runs(spark, sf_dir)
-    return run2
+    """Every group of the days that run 2 would rewrite."""
+    job = _job_after_v1(spark, sf_dir)
+    job.run_incremental(dry_run=True, run_at=SC.RUN_TS)
+    return job.last_preview
 
 
 def q_run_summary(spark, sf_dir):
-    """Summary of run 2 (v2 from v1's mark onto run 1's metrics)."""
-    run1, run2, v1, v2 = _two_runs(spark, sf_dir)
-    changed = X.changed_since(v2, _mark_of(v1))
-    counts = L.upsert_counts(run1, run2)
-    return spark.range(1).select(
-        F.lit("incremental").alias("mode"),
-        F.lit(False).alias("dry_run"),
-        F.lit(1).cast("long").alias("batches"),
-        changed.agg(F.count(F.lit(1))).scalar().alias("total_rows"),
-        TR.affected_groups(changed).agg(F.count(F.lit(1))).scalar().alias("total_groups"),
-        counts.select("upserted").scalar().alias("total_upserts"),
-    )
+    """The job's own summary of run 2 (all but the time it took)."""
+    s = _job_after_v1(spark, sf_dir).run_incremental(run_at=SC.RUN_TS)
+    del s["duration_seconds"]
+    kinds = {str: "string", bool: "boolean", int: "long"}
+    return spark.createDataFrame([tuple(s.values())], ", ".join(f"{k} {kinds[type(v)]}" for k, v in s.items()))
 
 
-def _job_two_runs(spark, sf_dir, write_mode: str) -> DataFrame:
-    """The real job end to end: run on v1, then on v2 from the stored mark,
-    writing the metrics table and the state log in the shared work folder;
-    returns the table as written."""
+def _job_after_v1(spark, sf_dir, change=lambda v2: v2, **config):
+    """The real job, already run on v1; its source is now v2 (as ``change``
+    leaves it). Tables and state log are in the shared work folder."""
     from dailytally.plans.jobs import JobConfig, MetricsJob
     from dailytally.session import work_path
 
     root = work_path(spark, "job")
-    cfg = JobConfig(metrics_path=f"{root}/metrics", state_path=f"{root}/state", write_mode=write_mode)
+    cfg = JobConfig(metrics_path=f"{root}/metrics", state_path=f"{root}/state", quarantine_path=f"{root}/rejects", **config)
     v2 = _orders(spark, sf_dir)
     MetricsJob(spark, SC.snapshot_v1(v2), cfg).run_incremental(run_at=SC.RUN_TS)
-    job = MetricsJob(spark, v2, cfg)
+    return MetricsJob(spark, change(v2), cfg)
+
+
+def q_job_two_runs(spark, sf_dir):
+    job = _job_after_v1(spark, sf_dir)
+    job.run_incremental(run_at=SC.RUN_TS)
+    return job.read_metrics(stamped=True)
+
+
+def q_job_two_runs_paged(spark, sf_dir):
+    """The second run in about five pages, whatever the size of the table."""
+    size = SC.changes_after(_orders(spark, sf_dir)).count() // 5 + 1
+    job = _job_after_v1(spark, sf_dir)
+    job.cfg.batch_size = size
     job.run_incremental(run_at=SC.RUN_TS)
     return job.read_metrics()
 
 
-def q_job_two_runs(spark, sf_dir):
-    return _job_two_runs(spark, sf_dir, "replace_days")
+def q_job_backfill(spark, sf_dir):
+    job = _job_after_v1(spark, sf_dir)
+    job.run_backfill(SC.BACKFILL_START, SC.BACKFILL_END, run_at=SC.RUN_TS)
+    return job.read_metrics()
 
 
-def q_job_two_runs_merge(spark, sf_dir):
-    return _job_two_runs(spark, sf_dir, "merge")
+def q_job_full(spark, sf_dir):
+    job = _job_after_v1(spark, sf_dir)
+    job.run_full(run_at=SC.RUN_TS)
+    return job.read_metrics()
+
+
+def q_quarantine_two_runs(spark, sf_dir):
+    """Late changes turn rows bad: their groups no longer count them."""
+    job = _job_after_v1(spark, sf_dir, SC.with_late_defects, quality="quarantine")
+    job.run_incremental(run_at=SC.RUN_TS)
+    return job.read_metrics()
+
+
+def q_quarantine_rejects(spark, sf_dir):
+    """Every reject once, though the job runs again over the same source."""
+    job = _job_after_v1(spark, sf_dir, SC.with_late_defects, quality="quarantine")
+    job.run_incremental(run_at=SC.RUN_TS)
+    job.run_incremental(run_at=SC.RUN_TS)
+    return spark.read.parquet(job.cfg.quarantine_path).select(*ORDER_COLS, "reject_reason")
+
+
+def q_dry_run_paged_preview(spark, sf_dir):
+    job = _job_after_v1(spark, sf_dir)
+    job.cfg.batch_size = SC.PAGE_SIZE
+    job.run_incremental(dry_run=True, run_at=SC.RUN_TS)
+    return job.last_preview
 
 
 # --- progress state --------------------------------------------------------
@@ -341,18 +375,13 @@ def q_ceil_millis(spark, sf_dir):
     return ev.select("event_id", "ts", ceil_millis("ts").alias("ceil_ts"))
 
 
-# --- streaming and generation ---------------------------------------------
+# --- streaming -------------------------------------------------------------
 
 
 def q_stream_foreachbatch(spark, sf_dir):
     from dailytally.streaming.changefeed import replay_two_snapshots
 
-    return replay_two_snapshots(spark, _orders(spark, sf_dir))
-
-
-def q_synth_orders(spark, sf_dir):
-    ids = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id"))
-    return synth_orders_from_ids(ids, "id")
+    return replay_two_snapshots(spark, _orders(spark, sf_dir), feed=SC.dirty_feed)
 
 
 QUERIES: dict[str, Query] = {
@@ -386,7 +415,12 @@ QUERIES: dict[str, Query] = {
     "apply_changes": q_apply_changes,
     "incremental_two_runs": q_incremental_two_runs,
     "job_two_runs": q_job_two_runs,
-    "job_two_runs_merge": q_job_two_runs_merge,
+    "job_two_runs_paged": q_job_two_runs_paged,
+    "job_backfill": q_job_backfill,
+    "job_full": q_job_full,
+    "quarantine_two_runs": q_quarantine_two_runs,
+    "quarantine_rejects": q_quarantine_rejects,
+    "dry_run_paged_preview": q_dry_run_paged_preview,
     "late_update_corrects_day": q_late_update_corrects_day,
     "late_cancellation": q_late_cancellation,
     "backfill_then_upsert": q_backfill_then_upsert,
@@ -399,5 +433,4 @@ QUERIES: dict[str, Query] = {
     "ceil_millis": q_ceil_millis,
     "orders_profile": q_orders_profile,
     "stream_foreachbatch": q_stream_foreachbatch,
-    "synth_orders": q_synth_orders,
 }

@@ -1,38 +1,43 @@
 """The metrics job: incremental, backfill and full runs, dry run (R1-R5, R7,
-W8, A9).
-
-One run is a handful of Spark jobs, not a loop over pages:
+W4, W8, A9).
 
 1. read the stored mark of this job id (tiny state log);
-2. changed rows = ``updated_at > mark`` (pushed to the scan); their distinct
-   group keys, with row count and max change time observed on the way;
-3. recompute: every group of the touched days (``replace_days``) or exactly
-   the touched groups (``merge``), from *all* their source rows;
-4. write the metrics;
+2. changed rows = ``updated_at > mark`` (pushed to the scan), good and bad
+   alike: their distinct group keys, row count and last change time;
+3. recompute every group of the touched days from *all* their source rows
+   (in quarantine mode from the valid ones);
+4. check the metrics, write them, write the rejects of the same changes;
 5. only then append the new mark. A crash before 5 leaves the old mark, and
-   the re-run redoes the same (idempotent) recompute.
+   the re-run redoes the same (idempotent) recompute; rejects go to a folder
+   named by the mark they follow, so a re-run replaces its own.
+
+A row that turned bad is a change like any other: it touches its group, whose
+recompute no longer counts it, and it moves the mark.
 
-``batch_size`` keeps the reference's paging (oldest changes first, mark
-saved after each page); pages are tie-complete, so no row sharing the
-boundary stamp is skipped, and each page is found without funnelling a
-top-k of every scan task into one task (``extract_page_bounded``).
+``batch_size`` keeps the reference's paging (oldest changes first, mark saved
+after each page). One pass numbers the changes and gives all page bounds;
+pages are ranges of ``updated_at`` and tie-complete, so no row sharing a
+boundary stamp is skipped.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import time
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailytally.config import DEFAULT_BROADCAST_KEY_LIMIT, DEFAULT_PIPELINE_ID, EPOCH, KEY_COLS
+from dailytally.config import DEFAULT_PIPELINE_ID, EPOCH, KEY_COLS
+from dailytally.functions.columns import ts_ntz
 from dailytally.operators import extract as X
 from dailytally.operators import quality as Q
 from dailytally.operators import state as S
 from dailytally.operators import transform as TR
+from dailytally.operators.ledger import page_bounds
 from dailytally.operators.load import upsert_counts
 from dailytally.sources import metrics_table as MT
 from dailytally.sources import state_log as SL
@@ -43,23 +48,35 @@ class JobConfig:
     metrics_path: str
     state_path: str
     pipeline_id: str = DEFAULT_PIPELINE_ID
-    write_mode: str = "replace_days"  # or "merge"
     quality: str = "strict"  # or "quarantine"
     quarantine_path: str | None = None
-    broadcast_key_limit: int = DEFAULT_BROADCAST_KEY_LIMIT
     lookback: _dt.timedelta | None = None
     batch_size: int | None = None  # None: all changes in one pass
     count_upserts: bool = True
 
     def __post_init__(self) -> None:
-        if self.write_mode not in ("replace_days", "merge"):
-            raise ValueError(f"unknown write_mode {self.write_mode!r}")
         if self.quality not in ("strict", "quarantine"):
             raise ValueError(f"unknown quality mode {self.quality!r}")
         if self.batch_size is not None and self.batch_size <= 0:
             raise ValueError("batch_size must be positive")
 
 
+@dataclass
+class Step:
+    """What one pass over changed rows did."""
+
+    rows: int = 0
+    groups: int = 0
+    upserts: int = 0
+    invalid: int = 0
+    inconsistent: int = 0
+    mark: _dt.datetime | None = None
+
+    def add(self, other: Step) -> None:
+        for k in ("rows", "groups", "upserts", "invalid", "inconsistent"):
+            setattr(self, k, getattr(self, k) + getattr(other, k))
+
+
 class MetricsJob:
     """Keeps ``daily_metrics`` up to date from a changing orders table."""
 
@@ -84,27 +101,31 @@ class MetricsJob:
 
     # --- inputs -------------------------------------------------------------
 
+    def _all_orders(self) -> DataFrame:
+        return Q.normalize_orders(self._source() if callable(self._source) else self._source)
+
     def orders(self) -> DataFrame:
-        """Source rows, normalised; in quarantine mode only the valid ones."""
-        df = self._source() if callable(self._source) else self._source
-        df = Q.normalize_orders(df)
-        if self.cfg.quality == "quarantine":
-            return Q.valid_orders(df)
-        return df
+        """Source rows that count: normalised, in quarantine mode only valid ones."""
+        df = self._all_orders()
+        return Q.valid_orders(df) if self.cfg.quality == "quarantine" else df
+
+    def _change_rows(self) -> DataFrame:
+        """Where changed rows are looked up: the change feed, or the table."""
+        if self._changes is None:
+            return self._all_orders()
+        return Q.normalize_orders(self._changes() if callable(self._changes) else self._changes)
 
     def _checked(self, rows: DataFrame) -> DataFrame:
-        """Extracted rows under the quality mode (strict: bad row fails)."""
-        if self.cfg.quality == "strict":
-            return Q.enforce_strict(rows)
-        return rows
+        """Extracted rows under the quality mode (strict: a bad row fails)."""
+        return Q.enforce_strict(rows) if self.cfg.quality == "strict" else rows
 
-    def _quarantine(self, raw_changed: DataFrame, run_id: int) -> None:
+    def _quarantine(self, rows: DataFrame, tag: str) -> None:
+        """The rejects of one pass, in a folder of its own: a re-run replaces it."""
         if self.cfg.quality == "quarantine" and self.cfg.quarantine_path:
-            rej = Q.rejected_orders(Q.normalize_orders(raw_changed))
-            rej.withColumn("run_seq", F.lit(run_id)).write.mode("append").parquet(self.cfg.quarantine_path)
+            Q.rejected_orders(rows).write.mode("overwrite").parquet(f"{self.cfg.quarantine_path.rstrip('/')}/pass={tag}")
 
-    def read_metrics(self) -> DataFrame:
-        return MT.read_metrics(self.spark, self.cfg.metrics_path)
+    def read_metrics(self, stamped: bool = False) -> DataFrame:
+        return MT.read_metrics(self.spark, self.cfg.metrics_path, stamped)
 
     def read_state(self) -> DataFrame:
         return SL.read_state(self.spark, self.cfg.state_path)
@@ -112,180 +133,127 @@ class MetricsJob:
     def watermark(self) -> _dt.datetime:
         return S.get_watermark(self.read_state(), self.cfg.pipeline_id)
 
-    # --- steps --------------------------------------------------------------
-
-    def recover(self) -> int:
-        """Finish staged merges cut short by a crash (merge mode)."""
-        if self.cfg.write_mode == "merge":
-            return MT.recover(self.spark, self.cfg.metrics_path)
-        return 0
+    def reset_mark(self, run_at: _dt.datetime | None = None) -> None:
+        """The stored mark back to the epoch; counters are kept."""
+        ids = self.spark.range(1).select(F.lit(self.cfg.pipeline_id).alias("pipeline_id"))
+        rows = S.reset_state(self.read_state(), ids, run_at or _now()).where(F.col("pipeline_id") == self.cfg.pipeline_id)
+        SL.append_state(rows, self.cfg.state_path, SL.next_seq(self.spark, self.cfg.state_path))
 
-    def _recompute(self, orders: DataFrame, keys: DataFrame) -> DataFrame:
-        if self.cfg.write_mode == "replace_days":
-            return TR.recompute_days_of(orders, TR.bounded_days(keys))
-        return TR.recompute_metrics(orders, keys, self.cfg.broadcast_key_limit)
+    # --- steps --------------------------------------------------------------
 
-    def _write(self, metrics: DataFrame) -> int:
-        """Write a recompute; returns inserted + modified groups.
+    def _load(self, metrics: DataFrame, touched: set[_dt.date], run_at: _dt.datetime, out: Step) -> None:
+        """Check a recompute and write it (days left without groups are dropped).
 
-        The recompute is used twice (counts, then the write; in merge mode
-        also for its days), so it is persisted once: metric rows are far
-        fewer than the orders they come from, and a lost block is recomputed
-        from the (deterministic) lineage.
+        It is used several times (checks, counts, write), so it is persisted:
+        metric rows are far fewer than the orders they come from, and a lost
+        block is recomputed from the (deterministic) lineage.
         """
-        reused = self.cfg.count_upserts or self.cfg.write_mode == "merge"
-        if reused:
-            metrics = metrics.persist()
+        metrics = metrics.persist()
         try:
-            upserts = 0
+            bad = Q.contract_violations()
+            row = metrics.agg(
+                F.count_if(bad).alias("invalid"), F.count_if(~Q.consistency_flag()).alias("inconsistent"),
+                F.collect_set("date").alias("days"),  # bounded by the calendar
+            ).first()
+            out.invalid, out.inconsistent = row["invalid"], row["inconsistent"]
+            if out.invalid and self.cfg.quality == "strict":
+                raise ValueError(f"{out.invalid} metrics violate their contract")
+            if out.inconsistent:
+                warnings.warn(f"{out.inconsistent} metrics have fewer orders than completed and cancelled ones", stacklevel=2)
+            days = set(row["days"])
             if self.cfg.count_upserts:
-                current = self.read_metrics()
-                days = metrics.select("date").distinct()
-                current = current.join(F.broadcast(days), "date", "left_semi")
-                upserts = int(upsert_counts(current, metrics).first()["upserted"])
-            if self.cfg.write_mode == "replace_days":
-                MT.replace_days(metrics, self.cfg.metrics_path)
-            else:
-                staging = f"{self.cfg.metrics_path.rstrip('/')}/_staging/{time.time_ns()}"
-                MT.merge_days(self.spark, metrics, self.cfg.metrics_path, staging, new_is_stored=True)
-            return upserts
+                current = self.read_metrics().where(F.col("date").isin(sorted(days)))
+                out.upserts = int(upsert_counts(current, metrics).first()["upserted"])
+            if days:
+                MT.replace_days(metrics, self.cfg.metrics_path, run_at)
+            MT.drop_days(self.spark, self.cfg.metrics_path, touched - days)
         finally:
-            if reused:
-                metrics.unpersist()
+            metrics.unpersist()
 
     def _save_mark(self, mark: _dt.datetime, rows: int, groups: int, run_at: _dt.datetime) -> None:
         row = S.save_row(self.spark, self.cfg.pipeline_id, mark, run_at, rows, groups)
         SL.append_state(row, self.cfg.state_path, SL.next_seq(self.spark, self.cfg.state_path))
 
-    def _step(
-        self, orders: DataFrame, changed: DataFrame, dry_run: bool, full: bool = False
-    ) -> tuple[int, int, _dt.datetime | None, int]:
-        """Affected keys -> recompute -> write. Returns rows, groups, max, upserts."""
-        checked = self._checked(changed)
-        if full:
-            # From the epoch every group is touched: one aggregation gives the
-            # metrics and the run totals together.
-            keyed = TR.aggregate_metrics(checked, [F.max("updated_at").alias("_max")]).withColumn(
-                "_rows", F.col("total_orders")
-            )
-        else:
-            keyed = _keys_with_stats(checked)
-        keyed = keyed.persist()
+    def _pass(self, changed: DataFrame, dry_run: bool, run_at: _dt.datetime) -> Step:
+        """Touched keys of the changed rows -> recompute of their days -> write."""
+        keyed = _keys_with_stats(self._checked(changed)).persist()
         try:
-            groups, rows, max_ts = _totals(keyed)  # one pass over the changed rows
-            if rows == 0:
-                return 0, 0, None, 0
-            if full:
-                metrics = keyed.drop("_max", "_rows")
-            else:
-                metrics = self._recompute(orders, keyed.select(*KEY_COLS))
+            out = _totals(keyed)  # one pass over the changed rows
+            if out.rows == 0:
+                return out
+            days = keyed.select("date").where(F.col("date").isNotNull()).distinct()
+            metrics = TR.recompute_days_of(self.orders(), days)
             if dry_run:
-                self.last_preview = metrics
-                return rows, groups, max_ts, 0
-            upserts = self._write(metrics)
-            return rows, groups, max_ts, upserts
+                # The preview outlives this pass: its days are written out.
+                self.last_preview = TR.recompute_days_of(self.orders(), self.spark.createDataFrame(
+                    [(d,) for d in sorted(MT.days_of(days))], "date date"))
+            else:
+                self._load(metrics, MT.days_of(days), run_at, out)
+            return out
         finally:
-            if not dry_run:
-                keyed.unpersist()
-
-    # --- runs ---------------------------------------------------------------
+            keyed.unpersist()
 
-    def run_incremental(self, dry_run: bool = False, run_at: _dt.datetime | None = None, mode: str = "incremental") -> dict:
-        t0 = time.time()
-        run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        if not dry_run:
-            self.recover()
-        orders = self.orders()
-        mark = EPOCH if mode == "full" else self.watermark()
-        batches = total_rows = total_groups = total_upserts = 0
-        while True:
-            where = orders if mode == "full" else self._change_rows(orders)
-            if self.cfg.batch_size:
-                changed = X.extract_page_bounded(where, mark, self.cfg.batch_size)
-            else:
-                changed = X.changed_since(where, mark, self.cfg.lookback)
-            if batches == 0:
-                raw = self._raw() if self._changes is None or mode == "full" else (
-                    self._changes() if callable(self._changes) else self._changes
-                )
-                self._quarantine(X.changed_since(raw, mark, self.cfg.lookback), int(run_at.timestamp()))
-            full = mode == "full" and mark == EPOCH and not self.cfg.batch_size
-            rows, groups, max_ts, upserts = self._step(orders, changed, dry_run, full=full)
-            if rows == 0:
-                break
-            # With a lookback window the rows may all be older than the mark:
-            # the mark never moves backwards.
-            max_ts = max(max_ts, mark) if mark is not None else max_ts
-            if not dry_run:
-                if self.after_write:
-                    self.after_write()
-                self._save_mark(max_ts, rows, groups, run_at)
-            batches += 1
-            total_rows += rows
-            total_groups += groups
-            total_upserts += upserts
-            mark = max_ts
-            if not self.cfg.batch_size:
-                break
+    def _summary(self, mode: str, total: Step, dry_run: bool, t0: float, **more) -> dict:  # noqa: ANN003
         return {
             "mode": mode,
             "dry_run": dry_run,
-            "batches": batches,
-            "total_rows": total_rows,
-            "total_groups": total_groups,
-            "total_upserts": total_upserts,
+            **more,
+            "total_rows": total.rows,
+            "total_groups": total.groups,
+            "total_upserts": total.upserts,
+            "invalid_metrics": total.invalid,
+            "inconsistent_metrics": total.inconsistent,
             "duration_seconds": round(time.time() - t0, 2),
         }
 
-    def _raw(self) -> DataFrame:
-        return self._source() if callable(self._source) else self._source
+    # --- runs ---------------------------------------------------------------
 
-    def _change_rows(self, orders: DataFrame) -> DataFrame:
-        """Where changed rows are looked up: the change feed, or the table."""
-        if self._changes is None:
-            return orders
-        feed = self._changes() if callable(self._changes) else self._changes
-        feed = Q.normalize_orders(feed)
-        return Q.valid_orders(feed) if self.cfg.quality == "quarantine" else feed
+    def run_incremental(self, dry_run: bool = False, run_at: _dt.datetime | None = None) -> dict:
+        t0, run_at, start = time.time(), run_at or _now(), self.watermark()
+        changed = X.changed_since(self._change_rows(), start, self.cfg.lookback)
+        total, batches, mark = Step(), 0, start
+        # Bounds of the pages: (from, to] ranges of updated_at; one open range without paging.
+        bounds = page_bounds(changed, self.cfg.batch_size) if self.cfg.batch_size else [None]
+        if dry_run:
+            total, batches = self._pass(changed, True, run_at), len(bounds)
+            return self._summary("incremental", total, True, t0, batches=batches if total.rows else 0)
+        for k, bound in enumerate(bounds):
+            own = changed if k == 0 else changed.where(F.col("updated_at") > ts_ntz(bounds[k - 1]))
+            if bound is not None:
+                own = own.where(F.col("updated_at") <= ts_ntz(bound))
+            step = self._pass(own, False, run_at)
+            if step.rows == 0:
+                break
+            # Rows that only the lookback window brings were rejected before.
+            self._quarantine(X.changed_since(own, mark), f"{mark:%Y%m%dT%H%M%S.%f}")
+            # With a lookback window all rows may be older than the mark: it never moves back.
+            top = max(step.mark or mark, mark)
+            if self.after_write:
+                self.after_write()
+            self._save_mark(top, step.rows, step.groups, run_at)
+            total.add(step)
+            batches, mark = batches + 1, top
+        return self._summary("incremental", total, False, t0, batches=batches)
 
     def run_backfill(
         self, start: _dt.date, end: _dt.date, dry_run: bool = False, run_at: _dt.datetime | None = None
     ) -> dict:
         """Recompute the days ``start``..``end``; the mark is not touched."""
-        t0 = time.time()
+        t0, run_at = time.time(), run_at or _now()
         if start > end:
             raise ValueError("start date must not be after end date")
-        if not dry_run:
-            self.recover()
-        orders = self.orders()
-        rows_df = X.extract_backfill(orders, start, end)
-        keyed = _keys_with_stats(self._checked(rows_df)).persist()
-        try:
-            groups, rows, _ = _totals(keyed)
-            if rows == 0:
-                return {"mode": "backfill", "total_rows": 0}
-            if self.cfg.write_mode == "replace_days":
-                metrics = TR.recompute_days(orders, start, end)
-            else:
-                metrics = TR.recompute_metrics(orders, keyed.select(*KEY_COLS), self.cfg.broadcast_key_limit)
-            upserts = 0
-            if dry_run:
-                self.last_preview = metrics
-            else:
-                upserts = self._write(metrics)
-        finally:
-            if not dry_run:
-                keyed.unpersist()
-        return {
-            "mode": "backfill",
-            "dry_run": dry_run,
-            "start_date": start.isoformat(),
-            "end_date": end.isoformat(),
-            "total_rows": rows,
-            "total_groups": groups,
-            "total_upserts": upserts,
-            "duration_seconds": round(time.time() - t0, 2),
-        }
+        own = X.extract_backfill(self._all_orders(), start, end)
+        total = _totals(_keys_with_stats(self._checked(own)))
+        if total.rows == 0:
+            return {"mode": "backfill", "total_rows": 0}
+        metrics = TR.recompute_days(self.orders(), start, end)
+        if dry_run:
+            self.last_preview = metrics
+        else:
+            days = {start + _dt.timedelta(days=i) for i in range((end - start).days + 1)}
+            self._load(metrics, days, run_at, total)
+            self._quarantine(own, f"backfill-{start.isoformat()}-{end.isoformat()}")
+        return self._summary("backfill", total, dry_run, t0, start_date=start.isoformat(), end_date=end.isoformat())
 
     def run_full(self, dry_run: bool = False, run_at: _dt.datetime | None = None) -> dict:
         """Rebuild every group from the epoch in one aggregation.
@@ -296,8 +264,26 @@ class MetricsJob:
         was (every day already rewritten is correct, being recomputed from
         the source). A dry run previews from the epoch, touching nothing.
         """
-        run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        return self.run_incremental(dry_run=dry_run, run_at=run_at, mode="full")
+        t0, run_at = time.time(), run_at or _now()
+        own = X.changed_since(self._all_orders(), EPOCH)
+        good = Q.valid_orders(own) if self.cfg.quality == "quarantine" else self._checked(own)
+        total = _totals(_keys_with_stats(own))
+        if total.rows == 0:
+            return self._summary("full", total, dry_run, t0, batches=0)
+        metrics = TR.daily_metrics_full(good)
+        if dry_run:
+            self.last_preview = metrics
+        else:
+            self._load(metrics, set(MT.stored_days(self.spark, self.cfg.metrics_path)), run_at, total)
+            self._quarantine(own, "full")
+            if self.after_write:
+                self.after_write()
+            self._save_mark(total.mark, total.rows, total.groups, run_at)
+        return self._summary("full", total, dry_run, t0, batches=1)
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
 def _keys_with_stats(rows: DataFrame) -> DataFrame:
@@ -310,10 +296,10 @@ def _keys_with_stats(rows: DataFrame) -> DataFrame:
     )
 
 
-def _totals(keyed: DataFrame) -> tuple[int, int, _dt.datetime | None]:
-    """(groups, rows, max change time) of a keyed-stats frame."""
+def _totals(keyed: DataFrame) -> Step:
+    """Groups, rows and last change time of a keyed-stats frame."""
     r = keyed.agg(F.count(F.lit(1)), F.sum("_rows"), F.max("_max")).first()
-    return int(r[0]), int(r[1] or 0), r[2]
+    return Step(rows=int(r[1] or 0), groups=int(r[0]), mark=r[2])
 
 
 __all__ = ["JobConfig", "MetricsJob"]

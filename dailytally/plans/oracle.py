@@ -8,8 +8,6 @@ the Spark operators, not a transcription of them.
 
 from __future__ import annotations
 
-from dailytally.operators.synth import PRIME, ROUND1, ROUND2, STREAM_STEP
-
 # Scenario parameters, as SQL literals (see dailytally.plans.scenarios).
 MARK = "TIMESTAMP '2024-04-01 00:00:00'"
 SPLIT = "TIMESTAMP '2024-02-15 00:00:00'"
@@ -59,7 +57,7 @@ def metrics_of(rel: str, where: str = "") -> str:
          count(*) AS total_orders,
          count(*) FILTER (WHERE status = 'completed') AS completed_orders,
          count(*) FILTER (WHERE status = 'cancelled') AS cancelled_orders,
-         CAST(COALESCE(sum(amount) FILTER (WHERE status = 'completed'), 0) AS DECIMAL(18,2)) AS gross_revenue
+         CAST(COALESCE(sum(amount) FILTER (WHERE status = 'completed'), 0) AS DECIMAL(22,2)) AS gross_revenue
   FROM {rel} {w}
   GROUP BY restaurant_id, CAST(created_at AS DATE), country"""
 
@@ -104,7 +102,7 @@ FROM new n LEFT JOIN m1 t USING (restaurant_id, date, country)""".format(
 )
 
 DEFECTS = f"""d AS (
-  SELECT order_id, restaurant_id, user_id,
+  SELECT order_id, restaurant_id, CASE WHEN CAST(order_id AS BIGINT) % 130 <> 0 THEN user_id END AS user_id,
          CASE WHEN CAST(order_id AS BIGINT) % 110 = 0 THEN 'refunded' ELSE status END AS status,
          CASE WHEN CAST(order_id AS BIGINT) % 50 = 0 THEN -amount ELSE amount END AS amount,
          CASE WHEN CAST(order_id AS BIGINT) % 70 = 0 THEN substring(country, 1, 1) ELSE country END AS country,
@@ -130,31 +128,30 @@ state AS (
 )"""
 
 
-def _u(stream: int, modulus: int) -> str:
-    """SQL form of dailytally.operators.synth.uniform for column ``id``."""
-    x1 = f"((((id + {stream * STREAM_STEP}) % {PRIME}) * {ROUND1}) % {PRIME})"
-    x2 = f"xor({x1}, {x1} >> 16)"
-    return f"((({x2}) * {ROUND2}) % {PRIME} % {modulus})"
+LATE = "created_at <= {s} AND updated_at > {s}".format(s=SPLIT)
 
+LATE_DEFECTS = f"""v2b AS (
+  SELECT order_id, restaurant_id, user_id, status,
+         CAST(CASE WHEN {LATE} AND CAST(order_id AS BIGINT) % 2 = 0 THEN -amount ELSE amount END AS DECIMAL(12,2)) AS amount,
+         country, created_at, updated_at
+  FROM rorders
+)"""
 
-SYNTH = f"""WITH ids AS (SELECT o_orderkey AS id FROM orders),
-g AS (
-  SELECT 'ord_' || CAST(id AS VARCHAR) AS order_id,
-         'rest_' || lpad(CAST({_u(1, 500)} AS VARCHAR), 4, '0') AS restaurant_id,
-         'user_' || CAST({_u(10, PRIME)} AS VARCHAR) AS user_id,
-         CASE WHEN {_u(2, 100)} < 20 THEN 'placed' WHEN {_u(2, 100)} < 90 THEN 'completed' ELSE 'cancelled' END AS status,
-         CAST(CAST({_u(3, 495001)} + 5000 AS DECIMAL(14,2)) * 0.01 AS DECIMAL(12,2)) AS amount,
-         CASE {_u(4, 6)} WHEN 0 THEN 'IN' WHEN 1 THEN 'US' WHEN 2 THEN 'UK' WHEN 3 THEN 'AE' WHEN 4 THEN 'SG' ELSE 'AU' END AS country,
-         TIMESTAMP '2024-01-01 00:00:00' + to_seconds({_u(5, 91)} * 86400 + {_u(6, 86400)}) AS created_at,
-         {_u(7, 100)} < 15 AS late,
-         to_days(CAST(1 + {_u(8, 5)} AS INT)) + to_hours(CAST({_u(9, 24)} AS INT)) AS shift
-  FROM ids
-)
-SELECT order_id, restaurant_id, user_id, status, amount, country, created_at,
-       CASE WHEN status <> 'placed' AND late THEN created_at + shift ELSE created_at END AS updated_at
-FROM g"""
+METRIC_DEFECTS = f"""good AS ({metrics_of('rorders')}),
+m AS (
+  SELECT restaurant_id, date, CASE WHEN day(date) = 19 THEN substring(country, 1, 1) ELSE country END AS country,
+         CASE WHEN day(date) = 13 THEN -total_orders ELSE total_orders END AS total_orders,
+         CASE WHEN day(date) = 23 THEN total_orders + 1 ELSE completed_orders END AS completed_orders, cancelled_orders,
+         CAST(CASE WHEN day(date) = 17 THEN -gross_revenue - 1 ELSE gross_revenue END AS DECIMAL(22,2)) AS gross_revenue
+  FROM good
+)"""
 
-LATE = "created_at <= {s} AND updated_at > {s}".format(s=SPLIT)
+# All groups of the days that the changes after v1 touch.
+TOUCHED_DAYS = with_(
+    RORDERS,
+    V1,
+    "days AS (SELECT DISTINCT CAST(created_at AS DATE) AS d FROM rorders WHERE updated_at > (SELECT max(updated_at) FROM v1))",
+) + metrics_of("rorders", "CAST(created_at AS DATE) IN (SELECT d FROM days)")
 
 
 def _late_before_after(extra: str) -> str:
@@ -177,7 +174,7 @@ ORACLE: dict[str, str] = {
     "scan_orders": BASE + f"SELECT {COLS} FROM rorders",
     "extract_incremental": BASE + f"SELECT {COLS} FROM rorders WHERE updated_at > {MARK}",
     "extract_incremental_batch": BASE
-    + f"SELECT {COLS} FROM rorders WHERE updated_at > {MARK} ORDER BY updated_at, order_id LIMIT 100",
+    + f"SELECT {COLS} FROM rorders WHERE updated_at > {SPLIT} ORDER BY updated_at, order_id LIMIT 100",
     "extract_batch_tie_safe": with_(
         RORDERS,
         "r AS (SELECT *, CAST(CAST(updated_at AS DATE) AS TIMESTAMP) AS change_day FROM rorders)",
@@ -186,8 +183,8 @@ ORACLE: dict[str, str] = {
     + f"SELECT {COLS} FROM r WHERE change_day > {EPOCH} AND change_day <= (SELECT max(change_day) FROM page)",
     "extract_backfill": BASE + f"SELECT {COLS} FROM rorders WHERE created_at >= {BF_LO} AND created_at < {BF_HI}",
     "extract_full": BASE + f"SELECT {COLS} FROM rorders WHERE updated_at > {EPOCH}",
-    "extract_after_hwm": BASE
-    + f"SELECT {COLS} FROM rorders WHERE updated_at > (SELECT max(updated_at) FROM rorders)",
+    "extract_after_hwm": with_(RORDERS, V1)
+    + f"SELECT {COLS} FROM rorders WHERE updated_at > (SELECT max(updated_at) FROM v1)",
     "batch_stats": BASE
     + f"SELECT max(updated_at) AS max_updated_at, count(*) AS row_count FROM rorders WHERE updated_at > {MARK}",
     "batch_ledger": with_(
@@ -221,14 +218,14 @@ FROM pk GROUP BY batch_no""",
     )
     + recompute_sql("rorders", "k"),
     "daily_metrics_full": BASE + metrics_of("rorders"),
-    "metrics_contract": with_(RORDERS, f"m AS ({metrics_of('rorders')})")
+    "metrics_contract": with_(RORDERS, METRIC_DEFECTS)
     + r"""SELECT count(*) AS metric_rows,
        count(*) FILTER (WHERE total_orders < 0 OR completed_orders < 0 OR cancelled_orders < 0) AS negative_counts,
        count(*) FILTER (WHERE gross_revenue < 0) AS negative_revenue,
        count(*) FILTER (WHERE NOT regexp_full_match(strftime(date, '%Y-%m-%d'), '\d{4}-\d{2}-\d{2}')) AS bad_dates,
        count(*) FILTER (WHERE length(country) <> 2) AS bad_countries
 FROM m""",
-    "metrics_consistency": with_(RORDERS, f"m AS ({metrics_of('rorders')})")
+    "metrics_consistency": with_(RORDERS, METRIC_DEFECTS)
     + "SELECT *, total_orders >= completed_orders + cancelled_orders AS is_consistent FROM m",
     "metrics_documents": with_(RORDERS, f"m AS ({metrics_of('rorders')})")
     + f"""SELECT restaurant_id, strftime(date, '%Y-%m-%d') AS date, country, total_orders, completed_orders,
@@ -236,7 +233,8 @@ FROM m""",
     "metrics_key_uniqueness": TWO
     + """SELECT CAST(sum(n) AS BIGINT) AS metric_rows, count(*) AS distinct_keys,
        count(*) FILTER (WHERE n > 1) AS duplicated_keys
-FROM (SELECT restaurant_id, date, country, count(*) AS n FROM merged GROUP BY ALL) AS per_key""",
+FROM (SELECT restaurant_id, date, country, sum(CASE WHEN day(date) = 7 THEN 2 ELSE 1 END) AS n
+      FROM merged GROUP BY restaurant_id, date, country) AS per_key""",
     "metric_lookup": with_(RORDERS, f"m AS ({metrics_of('rorders')})")
     + "SELECT * FROM m WHERE restaurant_id = 'rest_0001' AND date = DATE '2024-01-15' AND country = 'IN'",
     "orders_profile": BASE
@@ -260,8 +258,20 @@ SELECT {COLS} FROM rorders WHERE order_id NOT IN (SELECT order_id FROM v1)""",
     # After run 2 the table equals a plain GROUP BY of the current source.
     "incremental_two_runs": BASE + metrics_of("rorders"),
     # The job, run twice and written to tables, equals the GROUP BY as well.
-    "job_two_runs": BASE + metrics_of("rorders"),
-    "job_two_runs_merge": BASE + metrics_of("rorders"),
+    "job_two_runs": with_(RORDERS, f"m AS ({metrics_of('rorders')})") + f"SELECT *, {RUN_TS} AS last_updated_at FROM m",
+    "job_two_runs_paged": BASE + metrics_of("rorders"),
+    "job_full": BASE + metrics_of("rorders"),
+    "job_backfill": with_(
+        RORDERS,
+        V1,
+        f"m1 AS ({metrics_of('v1')})",
+        f"bf AS ({metrics_of('rorders', f'created_at >= {BF_LO} AND created_at < {BF_HI}')})",
+    )
+    + f"SELECT * FROM m1 WHERE date < {BF_LO} OR date >= {BF_HI} UNION ALL SELECT * FROM bf",
+    "quarantine_two_runs": with_(RORDERS, LATE_DEFECTS) + metrics_of("v2b", "amount >= 0"),
+    "quarantine_rejects": with_(RORDERS, LATE_DEFECTS)
+    + f"SELECT {COLS}, 'negative_amount' AS reject_reason FROM v2b WHERE amount < 0",
+    "dry_run_paged_preview": TOUCHED_DAYS,
     "late_update_corrects_day": _late_before_after(""),
     "late_cancellation": _late_before_after("status = 'cancelled'"),
     "backfill_then_upsert": with_(
@@ -273,12 +283,13 @@ SELECT {COLS} FROM rorders WHERE order_id NOT IN (SELECT order_id FROM v1)""",
     + f"SELECT * FROM m1 WHERE ({KEYS}) NOT IN (SELECT {KEYS} FROM bf) UNION ALL SELECT * FROM bf",
     # Applying run 2 twice equals the plain GROUP BY as well.
     "rerun_identity": BASE + metrics_of("rorders"),
-    "dry_run_preview": TWO + "SELECT * FROM new",
+    "dry_run_preview": TOUCHED_DAYS,
     "run_summary": TWO
     + f"""SELECT 'incremental' AS mode, false AS dry_run, CAST(1 AS BIGINT) AS batches,
        (SELECT count(*) FROM changed) AS total_rows,
        (SELECT count(*) FROM k2) AS total_groups,
-       (SELECT upserted FROM ({UPSERT_COUNTS}) AS c) AS total_upserts""",
+       (SELECT upserted FROM ({UPSERT_COUNTS}) AS c) AS total_upserts,
+       CAST(0 AS BIGINT) AS invalid_metrics, CAST(0 AS BIGINT) AS inconsistent_metrics""",
     "hwm_get": with_(RORDERS, V1, STATE_V1)
     + f"""SELECT ids.pipeline_id, COALESCE(s.last_watermark, {EPOCH}) AS last_watermark
 FROM (SELECT DISTINCT 'daily_metrics_' || lower(country) AS pipeline_id FROM rorders
@@ -313,6 +324,6 @@ UNION ALL
 SELECT i.pipeline_id, {EPOCH}, {RUN_TS}, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
 FROM ids i WHERE i.pipeline_id NOT IN (SELECT pipeline_id FROM state)""",
     "ceil_millis": "SELECT event_id, ts, ts + to_microseconds((1000 - epoch_us(ts) % 1000) % 1000) AS ceil_ts FROM events",
-    "stream_foreachbatch": BASE + metrics_of("rorders"),
-    "synth_orders": SYNTH,
+    # Orders whose last version broke a rule are gone; lower-case countries count.
+    "stream_foreachbatch": BASE + metrics_of("rorders", f"NOT (CAST(order_id AS BIGINT) % 17 = 0 AND updated_at > {SPLIT})"),
 }

@@ -44,6 +44,7 @@ def snapshot_v1(orders: DataFrame, split: _dt.datetime = SPLIT) -> DataFrame:
         "country",
         "created_at",
         F.when(later, F.col("created_at")).otherwise(F.col("updated_at")).alias("updated_at"),
+        *[c for c in orders.columns if c == "order_date"],  # the layout's day, for pruning
     )
 
 
@@ -61,12 +62,12 @@ def late_rows(orders: DataFrame, split: _dt.datetime = SPLIT) -> DataFrame:
 def with_defects(orders: DataFrame) -> DataFrame:
     """Deterministic bad rows for the quality rules: every 50th order gets a
     negative amount, every 70th a one-letter country, every 110th an unknown
-    status."""
+    status, every 130th no user."""
     k = F.col("order_id").cast("long")
     return orders.select(
         "order_id",
         "restaurant_id",
-        "user_id",
+        F.when(k % 130 != 0, F.col("user_id")).alias("user_id"),
         F.when(k % 110 == 0, F.lit("refunded")).otherwise(F.col("status")).alias("status"),
         F.when(k % 50 == 0, -F.col("amount")).otherwise(F.col("amount")).alias("amount"),
         F.when(k % 70 == 0, F.substring("country", 1, 1)).otherwise(F.col("country")).alias("country"),
@@ -75,6 +76,38 @@ def with_defects(orders: DataFrame) -> DataFrame:
     )
 
 
+def with_late_defects(orders: DataFrame, split: _dt.datetime = SPLIT) -> DataFrame:
+    """Late changes of even orders turn the row bad (negative amount)."""
+    t = ts_ntz(split)
+    bad = (F.col("created_at") <= t) & (F.col("updated_at") > t) & (F.col("order_id").cast("long") % 2 == 0)
+    return orders.withColumn("amount", F.when(bad, -F.col("amount")).otherwise(F.col("amount")).cast("decimal(12,2)"))
+
+
+def with_metric_defects(metrics: DataFrame) -> DataFrame:
+    """Bad metrics on some days of a month: a negative count on the 13th,
+    negative revenue on the 17th, a one-letter country on the 19th, more
+    completed orders than orders on the 23rd."""
+    day = F.dayofmonth("date")
+    return metrics.withColumns({
+        "total_orders": F.when(day == 13, -F.col("total_orders")).otherwise(F.col("total_orders")),
+        "completed_orders": F.when(day == 23, F.col("total_orders") + 1).otherwise(F.col("completed_orders")),
+        "country": F.when(day == 19, F.substring("country", 1, 1)).otherwise(F.col("country")),
+        "gross_revenue": F.when(day == 17, -F.col("gross_revenue") - 1).otherwise(F.col("gross_revenue")).cast("decimal(22,2)"),
+    })
+
+
+def dirty_feed(changes: DataFrame) -> DataFrame:
+    """What a careless producer sends: countries of every 11th order in lower
+    case, and for every 17th order a later version that breaks a row rule."""
+    k = F.col("order_id").cast("long")
+    own = with_lowercase_countries(changes)
+    later = (F.col("updated_at") + F.expr("INTERVAL 1 SECOND")).alias("updated_at")
+    bad = own.where(k % 17 == 0).select(
+        *[c for c in ORDER_COLS if c not in ("status", "amount", "updated_at")],
+        F.lit("bogus").alias("status"), F.lit(-5).cast("decimal(12,2)").alias("amount"), later)
+    return own.unionByName(bad)
+
+
 def with_lowercase_countries(orders: DataFrame) -> DataFrame:
     """Every 11th order stores its country in lower case."""
     k = F.col("order_id").cast("long")

@@ -25,23 +25,12 @@ METRICS = T.StructType(
         T.StructField("total_orders", T.LongType(), False),
         T.StructField("completed_orders", T.LongType(), False),
         T.StructField("cancelled_orders", T.LongType(), False),
-        T.StructField("gross_revenue", T.DecimalType(18, 2), False),
+        T.StructField("gross_revenue", T.DecimalType(22, 2), False),
     ]
 )
 
-# Metric row as stored for consumers (the document form).
-METRIC_DOCUMENTS = T.StructType(
-    [
-        T.StructField("restaurant_id", T.StringType(), False),
-        T.StructField("date", T.StringType(), False),
-        T.StructField("country", T.StringType(), False),
-        T.StructField("total_orders", T.LongType(), False),
-        T.StructField("completed_orders", T.LongType(), False),
-        T.StructField("cancelled_orders", T.LongType(), False),
-        T.StructField("gross_revenue", T.DoubleType(), False),
-        T.StructField("last_updated_at", T.TimestampNTZType(), False),
-    ]
-)
+# A metric row in the table: with the time of the run that wrote it.
+STORED_METRICS = T.StructType([*METRICS.fields, T.StructField("last_updated_at", T.TimestampNTZType(), True)])
 
 STATE = T.StructType(
     [
@@ -52,11 +41,3 @@ STATE = T.StructType(
         T.StructField("groups_affected", T.LongType(), True),
     ]
 )
-
-KEYS = T.StructType(
-    [
-        T.StructField("restaurant_id", T.StringType(), False),
-        T.StructField("date", T.DateType(), False),
-        T.StructField("country", T.StringType(), False),
-    ]
-)

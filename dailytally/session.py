@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 # depend on the zone, but pinning it keeps any LTZ value readable.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -64,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; set a scratch one only where unset."""
     d = checkpoint_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="dailytally-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

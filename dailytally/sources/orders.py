@@ -13,11 +13,14 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dailytally.config import ORDER_COLS
+from dailytally.config import ORDER_COLS, SYNTH_COUNTRIES
 from dailytally.functions.columns import order_date
 from dailytally.schemas import ORDERS
 
@@ -29,38 +32,38 @@ def read_orders(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.read.format(fmt).schema(ORDERS).load(path).select(*ORDER_COLS)
 
 
-def read_orders_jdbc(
-    spark: SparkSession,
+def jdbc_options(
     url: str,
-    table: str = "orders",
-    *,
-    partition_column: str,
-    lower_bound: int,
-    upper_bound: int,
+    table: str,
+    lower_bound: _dt.datetime,
+    upper_bound: _dt.datetime,
     num_partitions: int,
+    partition_column: str = "updated_at",
     fetch_size: int = 10_000,
-    properties: dict[str, str] | None = None,
-) -> DataFrame:
-    """S1/S5 on a database: ``num_partitions`` parallel range reads.
+) -> dict[str, str]:
+    """Options of a read in ``num_partitions`` ranges of a time column (the keys
+    of the orders table are text; its stamps are what can be split). Rows outside
+    the bounds are read as well, by the first and the last range."""
+    return {
+        "url": url,
+        "dbtable": table,
+        "partitionColumn": partition_column,
+        "lowerBound": lower_bound.isoformat(" ", "microseconds"),
+        "upperBound": upper_bound.isoformat(" ", "microseconds"),
+        "numPartitions": str(num_partitions),
+        "fetchsize": str(fetch_size),
+        "preferTimestampNTZ": "true",
+    }
+
+
+def read_orders_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """S1/S5 on a database, with ``jdbc_options`` and any further driver options.
 
     Memory stays bounded by the fetch size per task; filters on the result
     (``updated_at > mark``, the ``created_at`` range) are pushed to the
     database by the JDBC source.
     """
-    reader = (
-        spark.read.format("jdbc")
-        .option("url", url)
-        .option("dbtable", table)
-        .option("partitionColumn", partition_column)
-        .option("lowerBound", str(lower_bound))
-        .option("upperBound", str(upper_bound))
-        .option("numPartitions", str(num_partitions))
-        .option("fetchsize", str(fetch_size))
-        .option("preferTimestampNTZ", "true")
-    )
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    df = reader.load()
+    df = spark.read.format("jdbc").options(**options).load()
     return df.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in ORDERS.fields]
     )
@@ -69,7 +72,7 @@ def read_orders_jdbc(
 # --- driver tables adapter -------------------------------------------------
 
 # Fixed values of the adapter (FIXTURES.md section 2).
-_COUNTRY_BY_NATION_MOD6 = ("IN", "US", "UK", "AE", "SG", "AU")
+_COUNTRY_BY_NATION_MOD6 = SYNTH_COUNTRIES
 _ORDERDATE_ORIGIN = "1995-01-01"
 _CREATED_ORIGIN = "2024-01-01 00:00:00"
 
@@ -139,8 +142,19 @@ def adapt_tpch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- day-partitioned layout ------------------------------------------------
 
 
-def write_orders_by_day(orders: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write orders partitioned by reporting day, sorted by restaurant.
+def write_orders_by_day(orders: DataFrame, path: str) -> None:
+    """Write the whole orders table partitioned by reporting day, in place of
+    whatever the path held."""
+    _write_by_day(orders, path, "static")
+
+
+def replace_order_days(orders: DataFrame, path: str) -> None:
+    """Replace just the days that ``orders`` holds; other days stay."""
+    _write_by_day(orders, path, "dynamic")
+
+
+def _write_by_day(orders: DataFrame, path: str, overwrite: str) -> None:
+    """Partitioned by reporting day, sorted by restaurant.
 
     Rows are rebalanced by day: a task writes one day (few files per day),
     adaptive execution splits a day far larger than the rest over several
@@ -151,8 +165,8 @@ def write_orders_by_day(orders: DataFrame, path: str, mode: str = "overwrite") -
         orders.withColumn(ORDER_DATE_COL, order_date("created_at"))
         .hint("rebalance", ORDER_DATE_COL)
         .sortWithinPartitions(ORDER_DATE_COL, "restaurant_id", "order_id")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", overwrite)
         .partitionBy(ORDER_DATE_COL)
         .parquet(path)
     )
@@ -169,20 +183,12 @@ def read_orders_by_day(spark: SparkSession, path: str) -> DataFrame:
 _MATERIALISED: dict[tuple[str, str], str] = {}
 
 
-def _fingerprint(sf_dir: str) -> str:
-    """Identity of the driver tables the adapter reads (path, sizes, times)."""
-    import hashlib
-    import os
-
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    for name in ("orders", "customer", "nation"):
-        p = f"{sf_dir}/{name}.parquet"
-        try:
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
-        except OSError:
-            h.update(f"{name}:?".encode())
-    return h.hexdigest()[:16]
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the files behind the tables the adapter reads, as Spark lists
+    them (any file system): paths, sizes and times; no content is read."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in ("orders", "customer", "nation")]
+    files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+    return hashlib.sha1(repr(sorted(map(tuple, files.collect()))).encode()).hexdigest()[:16]
 
 
 def materialized_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +203,7 @@ def materialized_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dailytally.session import ensure_checkpoint_dir
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    key = (base, _fingerprint(sf_dir))
+    key = (base, _fingerprint(spark, sf_dir))
     path = _MATERIALISED.get(key)
     if path is None:
         path = f"{base}/dailytally/orders_{key[1]}"

@@ -13,20 +13,17 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from dailytally.operators.state import STATE_COLS
 from dailytally.schemas import STATE
+from dailytally.sources.metrics_table import read_or_empty
 
 LOG_SCHEMA = T.StructType([*STATE.fields, T.StructField("seq", T.LongType(), False)])
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """Current state: the latest logged row of every ``pipeline_id``."""
-    try:
-        log = spark.read.schema(LOG_SCHEMA).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], STATE)
+    log = read_or_empty(spark, path, LOG_SCHEMA)
     latest = log.groupBy("pipeline_id").agg(F.max_by(F.struct(*STATE_COLS), "seq").alias("s"))
     return latest.select("s.*")
 
@@ -44,9 +41,5 @@ def append_state(state_rows: DataFrame, path: str, seq: int) -> None:
 def next_seq(spark: SparkSession, path: str) -> int:
     """Sequence number of the next save: wall-clock microseconds, and always
     above every logged one (the log is tiny: one row per save and job id)."""
-    now = time.time_ns() // 1000
-    try:
-        top = spark.read.schema(LOG_SCHEMA).parquet(path).agg(F.max("seq")).first()[0]
-    except AnalysisException:
-        top = None
-    return max(now, (top or 0) + 1)
+    top = read_or_empty(spark, path, LOG_SCHEMA).agg(F.max("seq")).first()[0]
+    return max(time.time_ns() // 1000, (top or 0) + 1)

@@ -1,135 +1,120 @@
 """Incremental run on Structured Streaming (R1 as ``foreachBatch``).
 
-A change feed (files of order row versions) is read with ``readStream``.
-The job keeps its own copy of the current orders: one folder per version
-(written once, never rewritten; rows sorted by reporting day, so file and
-row-group statistics on ``order_date`` are selective), plus a small
-append-only manifest naming the current version of each day. Each
-micro-batch (epoch ``e``):
-
-1. finds its touched days (bounded by the calendar);
-2. current rows of those days = latest version per ``order_id`` over the
-   committed version of those days and the batch (``apply_changes``);
-3. writes them as version ``e`` of those days: a new folder, older
-   versions are never rewritten (a replayed epoch overwrites its own
-   version folder, nothing else);
-4. commits by appending ``(day, e)`` to the manifest (one small file);
-5. recomputes every group of those days and replaces their folders in the
-   metrics table (dynamic partition overwrite).
-
-Per batch the work is proportional to the touched days, not to the history
-of the stream. A crash anywhere is repaired by the replay of the epoch:
-before 4 the new folder is invisible and gets overwritten; after 4 the
-replay applies the same changes to the committed version (idempotent) and
-redoes 5. The stream checkpoint plays the role of the stored mark. No
+A change feed (files of order row versions) is read with ``readStream``. The
+job keeps every row version in an ordinary table partitioned by reporting day
+and epoch. Each micro-batch (epoch ``e``):
+
+1. writes its own rows to the partitions ``(day, e)`` by dynamic overwrite: a
+   replayed epoch replaces just what it wrote itself, from the batch alone;
+2. reads its days (a partition filter), takes the latest version of each order,
+   drops those that break a row rule, and replaces these days' metrics.
+
+A crash anywhere is repaired by the replay of the epoch, which never reads what
+it overwrites. The stream checkpoint plays the role of the stored mark. No
 event-time watermark is used: a change to any old day is applied.
 
+The latest version is picked before the row rules, so an order that turned bad
+leaves its group, as in a full rebuild. Versions without an order id or a
+creation time have no day; they go to the rejects with all other bad versions.
+
 Assumption (as in the reference): ``created_at`` of an order never changes,
 so all versions of an order live in the same day.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dailytally.config import ORDER_COLS
 from dailytally.functions.columns import order_date
-from dailytally.operators.load import apply_changes
+from dailytally.operators import quality as Q
 from dailytally.operators.transform import aggregate_metrics
 from dailytally.schemas import ORDERS
 from dailytally.session import work_path
 from dailytally.sources import metrics_table as MT
 from dailytally.sources.orders import ORDER_DATE_COL
 
-VERSION_COL = "_v"
-INITIAL_VERSION = -1  # stream epochs start at 0
-DAYS_SCHEMA = T.StructType(
-    [*ORDERS.fields, T.StructField(ORDER_DATE_COL, T.DateType(), False), T.StructField(VERSION_COL, T.LongType(), False)]
-)
-MANIFEST_SCHEMA = T.StructType(
-    [T.StructField(ORDER_DATE_COL, T.DateType(), False), T.StructField(VERSION_COL, T.LongType(), False)]
+EPOCH_COL = "epoch"
+INITIAL_EPOCH = -1  # stream epochs start at 0
+VERSIONS_SCHEMA = T.StructType(
+    [*ORDERS.fields, T.StructField(ORDER_DATE_COL, T.DateType(), False), T.StructField(EPOCH_COL, T.LongType(), False)]
 )
 
 
-class VersionedDays:
-    """Orders kept as immutable version folders plus a (day -> version)
-    manifest."""
+class ChangeFeedJob:
+    """Keeps a metrics table current from a stream of order versions."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, orders_path: str, metrics_path: str, rejects_path: str | None = None):
         self.spark = spark
-        self.path = path.rstrip("/")
-        self.manifest_path = f"{self.path}/_manifest"
-
-    def write(self, rows: DataFrame, version: int) -> None:
-        """Write ``rows`` as version ``version`` of their days, then commit."""
-        staged = rows.select(*ORDER_COLS).withColumn(ORDER_DATE_COL, order_date("created_at")).withColumn(
-            VERSION_COL, F.lit(version).cast("long")
-        )
+        self.orders_path = orders_path
+        self.metrics_path = metrics_path
+        self.rejects_path = rejects_path
+        # Test hook: called after each step of a batch with its name.
+        self.after: callable = lambda step: None
+
+    def write_versions(self, rows: DataFrame, epoch: int) -> None:
+        """The rows as versions of one epoch, in the partitions of their days."""
+        staged = rows.select(*ORDER_COLS).withColumns({
+            ORDER_DATE_COL: order_date("created_at"), EPOCH_COL: F.lit(epoch).cast("long")})
         (
             staged.hint("rebalance", ORDER_DATE_COL)
             .sortWithinPartitions(ORDER_DATE_COL, "restaurant_id", "order_id")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(VERSION_COL)
-            .parquet(self.path)
+            .partitionBy(ORDER_DATE_COL, EPOCH_COL)
+            .parquet(self.orders_path)
         )
-        days = staged.select(ORDER_DATE_COL, VERSION_COL).distinct()  # bounded by the calendar
-        days.coalesce(1).write.mode("append").parquet(self.manifest_path)
 
-    def _latest(self) -> DataFrame:
-        try:
-            m = self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        return m.groupBy(ORDER_DATE_COL).agg(F.max(VERSION_COL).alias(VERSION_COL))
-
-    def current(self, days: DataFrame | None = None) -> DataFrame:
-        """Committed current rows, optionally of some days only: the version
-        folders are pruned at run time (dynamic pruning on the version), the
-        days' range is pushed to the Parquet scan."""
-        latest = self._latest()
+    def versions(self, days: list[_dt.date] | None = None) -> DataFrame:
+        """Stored versions, of some days only by a partition filter."""
+        data = MT.read_or_empty(self.spark, self.orders_path, VERSIONS_SCHEMA)
+        return data if days is None else data.where(F.col(ORDER_DATE_COL).isin(days))
+
+    def current(self, days: list[_dt.date] | None = None) -> DataFrame:
+        """The latest version of each order; on equal stamps the later epoch's.
+        ``row_number() == 1`` is planned with a group limit per task before the
+        shuffle, so an order of very many versions sends one row per task."""
+        ties = [F.col(c) for c in ORDER_COLS if c not in ("order_id", "updated_at")]
+        w = Window.partitionBy("order_id").orderBy(F.col("updated_at").desc(), F.col(EPOCH_COL).desc(), *ties)
+        latest = self.versions(days).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+        return latest.select(*ORDER_COLS, ORDER_DATE_COL)
+
+    def _refresh(self, days: list[_dt.date] | None, run_at: _dt.datetime) -> None:
+        metrics = aggregate_metrics(Q.valid_orders(self.current(days)))
+        if days is None:
+            MT.replace_days(metrics, self.metrics_path, run_at)
+            return
+        metrics = metrics.persist()
         try:
-            data = self.spark.read.schema(DAYS_SCHEMA).parquet(self.path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], ORDERS)
-        if days is not None:
-            days = days.select(ORDER_DATE_COL).distinct()
-            latest = latest.join(F.broadcast(days), ORDER_DATE_COL, "left_semi")
-            lo, hi = days.agg(F.min(ORDER_DATE_COL), F.max(ORDER_DATE_COL)).first()
-            if lo is None:
-                return self.spark.createDataFrame([], ORDERS)
-            data = data.where(F.col(ORDER_DATE_COL).between(F.lit(lo), F.lit(hi)))
-        # One row per (day, version): bounded by the calendar.
-        current = data.join(F.broadcast(latest), [ORDER_DATE_COL, VERSION_COL], "left_semi")
-        return current.select(*ORDER_COLS)
-
-
-class ChangeFeedJob:
-    """Keeps a metrics table current from a stream of order versions."""
-
-    def __init__(self, spark: SparkSession, orders_path: str, metrics_path: str):
-        self.spark = spark
-        self.orders = VersionedDays(spark, orders_path)
-        self.metrics_path = metrics_path
+            found = MT.days_of(metrics)
+            if found:
+                MT.replace_days(metrics, self.metrics_path, run_at)
+            MT.drop_days(self.spark, self.metrics_path, set(days) - found)
+        finally:
+            metrics.unpersist()
 
-    def load_initial(self, orders: DataFrame) -> None:
+    def load_initial(self, orders: DataFrame, run_at: _dt.datetime | None = None) -> None:
         """Starting snapshot and its metrics (before the stream starts)."""
-        self.orders.write(orders, INITIAL_VERSION)
-        MT.replace_days(aggregate_metrics(self.orders.current()), self.metrics_path)
+        self.write_versions(_placed(Q.normalize_orders(orders)), INITIAL_EPOCH)
+        self._refresh(None, run_at or _now())
 
-    def process_batch(self, batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.select(*ORDER_COLS).persist()
+    def process_batch(self, batch: DataFrame, epoch_id: int, run_at: _dt.datetime | None = None) -> None:
+        batch = Q.normalize_orders(batch.select(*ORDER_COLS)).persist()
         try:
-            days = batch.select(order_date("created_at").alias(ORDER_DATE_COL)).distinct()
-            current = apply_changes(self.orders.current(days), batch).persist()
-            try:
-                self.orders.write(current, epoch_id)
-                MT.replace_days(aggregate_metrics(current), self.metrics_path)
-            finally:
-                current.unpersist()
+            placed = _placed(batch)
+            days = [r[0] for r in placed.select(order_date("created_at")).distinct().collect()]  # bounded by the calendar
+            if self.rejects_path:
+                Q.rejected_orders(batch).write.mode("overwrite").parquet(f"{self.rejects_path}/epoch={epoch_id}")
+                self.after("rejects")
+            if days:
+                self.write_versions(placed, epoch_id)
+                self.after("versions")
+                self._refresh(days, run_at or _now())
+                self.after("metrics")
         finally:
             batch.unpersist()
 
@@ -141,7 +126,7 @@ class ChangeFeedJob:
             .parquet(changes_dir)
         )
         q = (
-            stream.writeStream.foreachBatch(self.process_batch)
+            stream.writeStream.foreachBatch(lambda batch, epoch: self.process_batch(batch, epoch))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
@@ -151,6 +136,15 @@ class ChangeFeedJob:
             raise q.exception()
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """Versions that have an order and a day."""
+    return rows.where(F.col("order_id").isNotNull() & F.col("created_at").isNotNull() & F.col("updated_at").isNotNull())
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
 def write_change_files(changes: DataFrame, path: str, files: int = 16) -> None:
     """Lay a change feed out as files in change-time order (one range of
     change times per file), as a producer would append them."""
@@ -159,18 +153,17 @@ def write_change_files(changes: DataFrame, path: str, files: int = 16) -> None:
     ).write.mode("overwrite").parquet(path)
 
 
-def replay_two_snapshots(spark: SparkSession, orders: DataFrame, split=None, files: int = 4) -> DataFrame:
+def replay_two_snapshots(spark: SparkSession, orders: DataFrame, split=None, files: int = 4, feed=None) -> DataFrame:  # noqa: ANN001
     """Scenario of the registered query: snapshot v1 and its metrics are the
-    starting table; the changes from v1 to v2 arrive as a stream. Returns
-    the metrics table after the stream, which must equal a full GROUP BY of
-    v2 (the current source)."""
+    starting table; the changes from v1 to v2 (``feed`` turns them into what the
+    producer sends) arrive as a stream. Returns the metrics table after it."""
     from dailytally.plans import scenarios as SC
 
     split = split or SC.SPLIT
     root = work_path(spark, "stream")
-    job = ChangeFeedJob(spark, f"{root}/orders", f"{root}/metrics")
+    job = ChangeFeedJob(spark, f"{root}/orders", f"{root}/metrics", f"{root}/rejects")
     job.load_initial(SC.snapshot_v1(orders, split))
-    changes_dir = f"{root}/changes"
-    write_change_files(SC.changes_after(orders, split), changes_dir, files)
-    job.run(changes_dir, f"{root}/checkpoint", max_files_per_trigger=max(1, files // 2))
+    changes = SC.changes_after(orders, split)
+    write_change_files(feed(changes) if feed else changes, f"{root}/changes", files)
+    job.run(f"{root}/changes", f"{root}/checkpoint", max_files_per_trigger=max(1, files // 2))
     return MT.read_metrics(spark, f"{root}/metrics")

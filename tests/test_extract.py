@@ -4,6 +4,7 @@ from conftest import order
 
 from dailytally.config import EPOCH
 from dailytally.operators import extract as X
+from dailytally.operators.ledger import extract_page_bounded, page_bounds
 from dailytally.operators.load import apply_changes
 
 D = dt.datetime
@@ -111,12 +112,28 @@ def test_bounded_page_equals_tie_safe_page(orders_df):
         rows.append(order(order_id=f"{i:04d}", created_at=c, updated_at=u))
     df = orders_df(rows)
     for n in (1, 7, 50, 150, 399, 400, 1000):
-        a = X.extract_page_bounded(df, EPOCH, n)
+        a = extract_page_bounded(df, EPOCH, n)
         b = X.extract_page_tie_safe(df, EPOCH, n)
         assert a.count() == b.count() >= min(n, 400)
         assert a.exceptAll(b).count() == 0
 
 
+def test_page_bounds_of_one_pass(orders_df):
+    t = D(2024, 1, 15)
+    rows = [order(order_id=f"{i}", created_at=t, updated_at=t + dt.timedelta(hours=i // 4)) for i in range(10)]
+    assert page_bounds(orders_df(rows), 3) == [t, t + dt.timedelta(hours=1), t + dt.timedelta(hours=2)]
+    assert page_bounds(orders_df(rows).where("false"), 3) == []
+
+
+def test_ordered_extract_is_oldest_first(orders_df):
+    t = D(2024, 1, 15)
+    rows = [order(order_id=f"{i:02d}", created_at=t, updated_at=t + dt.timedelta(minutes=(i * 7) % 20)) for i in range(40)]
+    got = [(r.updated_at, r.order_id) for r in X.extract_incremental(orders_df(rows), EPOCH, ordered=True).collect()]
+    assert got == sorted(got) and len(got) == 40
+    got = [(r.created_at, r.order_id) for r in X.extract_backfill(orders_df(rows), t.date(), t.date(), ordered=True).collect()]
+    assert got == sorted(got) and len(got) == 40
+
+
 def test_ntz_micros(spark):
     from dailytally.functions.columns import ntz_micros
 

@@ -29,10 +29,13 @@ def one(job, rest="rest_001", day=dt.date(2024, 1, 15), country="IN"):
     return r.total_orders, r.completed_orders, r.cancelled_orders, r.gross_revenue
 
 
-@pytest.mark.parametrize("mode", ["replace_days", "merge"])
-def test_late_completion_corrects_original_day(orders_df, workdir, spark, mode):
+def same(got, exp):
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_late_completion_corrects_original_day(orders_df, workdir, spark):
     o = order(order_id="1", status="placed", amount="500.00", created_at=T(2024, 1, 15, 10))
-    c = cfg(workdir, write_mode=mode)
+    c = cfg(workdir)
     job1 = MetricsJob(spark, orders_df([o]), c)
     job1.run_incremental(run_at=RUN)
     assert one(job1) == (1, 0, 0, Decimal("0.00"))
@@ -122,15 +125,14 @@ def test_crash_between_write_and_state_save_is_repaired(orders_df, workdir, spar
     assert one(j) == (1, 1, 0, Decimal("100.00"))
 
 
-@pytest.mark.parametrize("mode", ["replace_days", "merge"])
-def test_incremental_equals_full_on_two_snapshots(spark, workdir, mode):
+def test_incremental_equals_full_on_two_snapshots(spark, workdir):
     from conftest import SF001
 
     from dailytally.plans import scenarios as SC
 
     v2 = SC.source(spark, SF001).cache()
     v1 = SC.snapshot_v1(v2)
-    c = cfg(workdir, write_mode=mode)
+    c = cfg(workdir)
     MetricsJob(spark, v1, c).run_incremental(run_at=RUN)
     s = MetricsJob(spark, v2, c).run_incremental(run_at=RUN)
     assert s["total_rows"] == 763
@@ -162,6 +164,130 @@ def test_quarantine_mode(orders_df, workdir, spark):
     assert [(r.order_id, r.reject_reason) for r in rej] == [("2", "negative_amount")]
 
 
+def test_an_order_that_turned_bad_leaves_its_group(orders_df, workdir, spark):
+    """The quarantine run equals a full rebuild, the mark passes the bad row, and
+    a day left without valid orders goes."""
+    a, b = (order(order_id=i, status="completed", amount="500.00", created_at=T(2024, 1, 15, 9)) for i in "ab")
+    alone = order(order_id="c", status="completed", amount="1.00", created_at=T(2024, 1, 17))
+    c = cfg(workdir, quality="quarantine", quarantine_path=f"{workdir}/rejects")
+    MetricsJob(spark, orders_df([a, b, alone]), c).run_incremental(run_at=RUN)
+    turned = [x[:4] + (-x[4],) + x[5:7] + (T(2024, 1, 20),) for x in (b, alone)]
+    j = MetricsJob(spark, orders_df([a, *turned]), c)
+    assert j.run_incremental(run_at=RUN)["total_rows"] == 2
+    assert one(j) == (1, 1, 0, Decimal("500.00"))
+    assert j.watermark() == T(2024, 1, 20) and j.run_incremental(run_at=RUN)["total_rows"] == 0
+    got = j.read_metrics().collect()
+    assert len(got) == 1
+    j.run_full(run_at=RUN)
+    assert j.read_metrics().collect() == got
+    # the incremental passes wrote each reject once
+    rej = spark.read.parquet(f"{workdir}/rejects").where("pass <> 'full'").collect()
+    assert sorted(r.order_id for r in rej) == ["b", "c"]
+
+
+def test_backfill_keeps_its_rejects_once(orders_df, workdir, spark):
+    rows = [order(order_id="1", status="completed"), order(order_id="2", amount="-3.00")]
+    j = MetricsJob(spark, orders_df(rows), cfg(workdir, quality="quarantine", quarantine_path=f"{workdir}/rejects"))
+    for _ in range(2):
+        j.run_backfill(dt.date(2024, 1, 15), dt.date(2024, 1, 15), run_at=RUN)
+    assert [r.order_id for r in spark.read.parquet(f"{workdir}/rejects").collect()] == ["2"]
+
+
+def test_dry_runs_write_no_file(orders_df, workdir, spark):
+    import os
+
+    rows = [order(order_id=f"{i}", created_at=T(2024, 1, 10 + i), amount="-1.00" if i == 0 else "1.00") for i in range(6)]
+    c = cfg(workdir, quality="quarantine", quarantine_path=f"{workdir}/rejects", batch_size=2)
+    j = MetricsJob(spark, orders_df(rows), c)
+    s = j.run_incremental(dry_run=True, run_at=RUN)
+    assert s["batches"] == 3 and s["total_rows"] == 6
+    same(j.last_preview, daily_metrics_full(orders_df(rows[1:])))
+    j.run_full(dry_run=True, run_at=RUN)
+    j.run_backfill(dt.date(2024, 1, 10), dt.date(2024, 1, 12), dry_run=True, run_at=RUN)
+    assert os.listdir(workdir) == []
+
+
+def test_lookback_also_holds_for_the_first_page(orders_df, workdir, spark):
+    rows = [order(order_id=f"{i}", created_at=T(2024, 1, 15, 9 + i)) for i in range(4)]
+    c = cfg(workdir, lookback=dt.timedelta(days=2))
+    MetricsJob(spark, orders_df(rows), c).run_incremental(run_at=RUN)
+    c.batch_size = 3
+    assert MetricsJob(spark, orders_df(rows), c).run_incremental(run_at=RUN)["total_rows"] == 4
+
+
+def test_inconsistent_metrics_are_counted(orders_df, workdir, spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from dailytally.operators import quality as Q
+
+    j = MetricsJob(spark, orders_df([order(status="completed")]), cfg(workdir))
+    assert j.run_incremental(run_at=RUN)["inconsistent_metrics"] == 0
+    monkeypatch.setattr(Q, "consistency_flag", lambda: F.col("total_orders") > F.col("completed_orders"))
+    with pytest.warns(UserWarning):
+        assert j.run_full(run_at=RUN)["inconsistent_metrics"] == 1
+    monkeypatch.setattr(Q, "contract_violations", lambda: F.col("total_orders") > 0)
+    with pytest.raises(ValueError):
+        j.run_full(run_at=RUN)
+
+
+def test_reset_mark(orders_df, workdir, spark):
+    j = MetricsJob(spark, orders_df([order()]), cfg(workdir))
+    j.run_incremental(run_at=RUN)
+    j.reset_mark(RUN)
+    assert j.watermark() == EPOCH and j.run_incremental(run_at=RUN)["total_rows"] == 1
+
+
+def test_overwrite_replaces_the_orders_table(orders_df, workdir, spark):
+    from dailytally.sources.orders import read_orders_by_day, replace_order_days, write_orders_by_day
+
+    days = [order(order_id=f"{i}", created_at=T(2024, 1, 15 + i)) for i in range(3)]
+    path = f"{workdir}/o"
+    write_orders_by_day(orders_df(days), path)
+    replace_order_days(orders_df([order(order_id="x", created_at=T(2024, 1, 15))]), path)
+    assert sorted(r.order_id for r in read_orders_by_day(spark, path).collect()) == ["1", "2", "x"]
+    write_orders_by_day(orders_df(days[:1]), path)
+    assert [r.order_id for r in read_orders_by_day(spark, path).collect()] == ["0"]
+
+
+def test_only_a_missing_path_counts_as_empty(spark, workdir):
+    import os
+
+    from dailytally.sources import metrics_table as MT
+
+    assert MT.read_metrics(spark, f"{workdir}/none").count() == 0
+    os.makedirs(f"{workdir}/odd/date=2024-01-01/x=1")
+    open(f"{workdir}/odd/date=2024-01-01/x=1/a.parquet", "w").write("no parquet")
+    with pytest.raises(Exception):
+        MT.read_metrics(spark, f"{workdir}/odd").collect()
+
+
+def test_command_line_reads_touched_days_only(spark, workdir, orders_df):
+    """The day layout, a change feed and the lookback, as the command line builds them."""
+    from dailytally.__main__ import build_job, parse_args
+    from dailytally.operators.transform import recompute_days_of
+    from dailytally.sources.orders import write_orders_by_day
+
+    rows = [order(order_id=f"{i}", created_at=T(2024, 1, 1 + i)) for i in range(10)]
+    write_orders_by_day(orders_df(rows), f"{workdir}/o")
+    orders_df(rows[:1]).write.parquet(f"{workdir}/feed")
+    j = build_job(spark, parse_args(["--orders", f"{workdir}/o", "--orders-layout", "day", "--changes", f"{workdir}/feed",
+                                     "--metrics", f"{workdir}/m", "--state", f"{workdir}/s", "--lookback-hours", "12"]))
+    assert j.cfg.lookback == dt.timedelta(hours=12)
+    days = orders_df(rows[:1]).selectExpr("to_date(created_at) AS date")
+    plan = recompute_days_of(j.orders(), days)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower() and "PartitionFilters: [isnotnull(order_date" in plan
+    assert j.run_incremental(run_at=RUN)["total_rows"] == 1
+    assert j.read_metrics().count() == 1
+
+
+def test_jdbc_ranges_are_times():
+    from dailytally.sources.orders import jdbc_options
+
+    got = jdbc_options("jdbc:x", "orders", T(2024, 1, 1), T(2024, 4, 1, 12), 8)
+    assert got["partitionColumn"] == "updated_at" and got["numPartitions"] == "8"
+    assert (got["lowerBound"], got["upperBound"]) == ("2024-01-01 00:00:00.000000", "2024-04-01 12:00:00.000000")
+
+
 def test_strict_mode_keeps_mark_on_bad_row(orders_df, workdir, spark):
     j = MetricsJob(spark, orders_df([order(amount="-3.00")]), cfg(workdir))
     with pytest.raises(Exception):
@@ -206,32 +332,6 @@ def test_command_line_runs(spark, workdir, capsys):
     assert bf["mode"] == "backfill" and bf["total_rows"] > 0
 
 
-def test_merge_mode_recovers_a_copy_cut_short(orders_df, workdir, spark, monkeypatch):
-    from dailytally.sources import metrics_table as MT
-
-    a = order(order_id="a", restaurant_id="rest_001", status="completed", amount="10.00", created_at=T(2024, 1, 15, 9))
-    b = order(order_id="b", restaurant_id="rest_002", status="completed", amount="20.00", created_at=T(2024, 1, 15, 9))
-    c = cfg(workdir, write_mode="merge")
-    MetricsJob(spark, orders_df([a, b]), c).run_incremental(run_at=RUN)
-    # rest_001 changes; the copy of the staged day fails half-way
-    a2 = a[:3] + ("cancelled",) + a[4:7] + (T(2024, 1, 20),)
-    real = MT.apply_staged
-
-    def broken(spark_, staging, path):
-        raise RuntimeError("lost during copy")
-
-    monkeypatch.setattr(MT, "apply_staged", broken)
-    j = MetricsJob(spark, orders_df([a2, b]), c)
-    with pytest.raises(RuntimeError):
-        j.run_incremental(run_at=RUN)
-    monkeypatch.setattr(MT, "apply_staged", real)
-    assert len(MT.pending_staged(spark, c.metrics_path)) == 1
-    j.run_incremental(run_at=RUN)  # recovers the staged copy, then runs
-    assert MT.pending_staged(spark, c.metrics_path) == []
-    assert one(j, rest="rest_001") == (1, 0, 1, Decimal("0.00"))
-    assert one(j, rest="rest_002") == (1, 1, 0, Decimal("20.00"))  # carried-over group kept
-
-
 def test_changes_from_a_change_feed(spark, workdir):
     from conftest import SF001
 

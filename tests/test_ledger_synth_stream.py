@@ -2,6 +2,7 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import pytest
 from conftest import SF001, order
 
 from dailytally.config import EPOCH
@@ -105,21 +106,35 @@ def test_hot_group_holding_a_third_of_all_rows(spark, workdir):
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
 
 
-def test_stream_batch_replay_is_idempotent(spark, orders_df, workdir):
+@pytest.mark.parametrize("step", ["rejects", "versions", "metrics"])
+def test_stream_batch_killed_after_a_step_is_repaired_by_its_replay(spark, orders_df, workdir, step):
+    from dailytally.sources.metrics_table import read_metrics
     from dailytally.streaming.changefeed import ChangeFeedJob
 
     t = T(2024, 1, 15, 10)
     a = order(order_id="a", status="placed", amount="10.00", created_at=t)
     b = order(order_id="b", status="completed", amount="5.00", created_at=T(2024, 1, 16, 9))
-    job = ChangeFeedJob(spark, f"{workdir}/orders", f"{workdir}/metrics")
-    job.load_initial(orders_df([a, b]))
-    batch = orders_df([a[:3] + ("completed",) + a[4:7] + (T(2024, 1, 20),), order(order_id="c", created_at=t)])
-    job.process_batch(batch, 0)
-    first = job.orders.current().collect()
-    job.process_batch(batch, 0)  # replay after a crash
-    assert sorted(map(tuple, job.orders.current().collect())) == sorted(map(tuple, first))
-    from dailytally.sources.metrics_table import read_metrics
-
-    got = {(r.restaurant_id, r.date.day): (r.total_orders, r.completed_orders, r.gross_revenue)
+    gone = order(order_id="d", status="completed", amount="7.00", created_at=T(2024, 1, 18))
+    job = ChangeFeedJob(spark, f"{workdir}/orders", f"{workdir}/metrics", f"{workdir}/rejects")
+    job.load_initial(orders_df([a, b, gone]))
+    batch = orders_df([
+        a[:3] + ("completed",) + a[4:7] + (T(2024, 1, 20),),
+        order(order_id="c", created_at=t, country="in"),
+        gone[:3] + ("bogus",) + gone[4:7] + (T(2024, 1, 21),),  # turned bad: its day is left empty
+    ])
+
+    def die(at):
+        if at == step:
+            raise RuntimeError("lost")
+
+    job.after = die
+    with pytest.raises(RuntimeError):
+        job.process_batch(batch, 0)
+    job.after = lambda at: None
+    job.process_batch(batch, 0)  # the replay
+    got = {(r.restaurant_id, r.date.day, r.country): (r.total_orders, r.completed_orders, r.gross_revenue)
            for r in read_metrics(spark, f"{workdir}/metrics").collect()}
-    assert got == {("rest_001", 15): (2, 1, Decimal("10.00")), ("rest_001", 16): (1, 1, Decimal("5.00"))}
+    assert got == {("rest_001", 15, "IN"): (2, 1, Decimal("10.00")), ("rest_001", 16, "IN"): (1, 1, Decimal("5.00"))}
+    assert [r.order_id for r in spark.read.parquet(f"{workdir}/rejects").collect()] == ["d"]
+    plan = job.current([dt.date(2024, 1, 15), dt.date(2024, 3, 1)])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [order_date" in plan and "IN (2024-01-15,2024-03-01)" in plan

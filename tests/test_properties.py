@@ -48,12 +48,11 @@ def _apply(source: dict, batch, clock: dt.datetime) -> dt.datetime:
     return clock
 
 
-@pytest.mark.parametrize("mode", ["replace_days", "merge"])
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(seq=batches, crash=crashes)
-def test_incremental_equals_full_idempotent_crash_safe(spark, workdir, mode, seq, crash):
+def test_incremental_equals_full_idempotent_crash_safe(spark, workdir, seq, crash):
     root = f"{workdir}/{next(_counter)}"
-    cfg = JobConfig(metrics_path=f"{root}/m", state_path=f"{root}/s", write_mode=mode)
+    cfg = JobConfig(metrics_path=f"{root}/m", state_path=f"{root}/s")
     source: dict = {}
     clock = BASE + dt.timedelta(days=10)
     for batch, fail in zip(seq, crash):
