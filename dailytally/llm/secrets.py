@@ -98,11 +98,13 @@ def span_cost(value: str, low: str, leet: str, i: int, j: int) -> float:
     return best
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, enough: float = math.inf) -> float:
     """Least log10 guesses over all ways to cut the value into spans.
 
     Each span past the first doubles the guesses, for the order of spans;
-    neighbouring brute-force characters form one span.
+    neighbouring brute-force characters form one span. Costs only add up, so once
+    all that a later step can look back to costs ``enough``, the whole value does:
+    that bound is then returned, however long the value is.
     """
     low = value.lower()
     if len(low) != len(value):  # a few letters change length
@@ -120,6 +122,8 @@ def guess_cost(value: str) -> float:
                 best = min(best, done[i] + (cut if i else 0) + c)
         done.append(best)
         open_.append(tail)
+        if best >= enough and (least := min(tail, *done[-LOOK_BACK:])) >= enough:
+            return least
     return done[-1]
 
 
@@ -136,7 +140,7 @@ def scan(text: str) -> list[tuple[int, int, int]]:
         base = sorted(found)
         for m in CONTEXT.finditer(text):
             a, b = m.span(1)
-            if b - a >= MIN_VALUE and not any(x <= a and b <= y for x, _, y in base) and guess_cost(m[1]) >= MIN_COST:
+            if b - a >= MIN_VALUE and not any(x <= a and b <= y for x, _, y in base) and guess_cost(m[1], MIN_COST) >= MIN_COST:
                 found.append((a, 3, b))
     return sorted(found)
 
