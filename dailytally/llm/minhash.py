@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailytally.llm.common import runs, stored, texts, utf8
+from dailytally.llm.common import runs, stored, text_key, texts, utf8
 from dailytally.llm.components import components
 
 BANDS, ROWS = 32, 5
@@ -156,7 +156,7 @@ def band_keys(least: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, node (a digest of the set, null if empty), keys (of its bands), sig."""
+    """doc_id, tk (of the text), n_shingles, node (a digest of the set, null if empty), keys (of its bands), sig."""
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = _family(HASHES)
         for b in it:
@@ -168,10 +168,11 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 keys.append(band_keys(least) if len(s) else None)
                 sig.append(least.astype(np.uint8).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                names=["doc_id", "n_shingles", "node", "keys", "sig"])
+                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
+                names=["doc_id", "tk", "n_shingles", "node", "keys", "sig"])
 
-    return texts(docs).mapInArrow(batches, "doc_id long, n_shingles long, node binary, keys array<long>, sig binary")
+    own = texts(docs).withColumn("tk", text_key(F.col("text")))
+    return own.mapInArrow(batches, "doc_id long, tk long, n_shingles long, node binary, keys array<long>, sig binary")
 
 
 def _near_size(a: str, b: str) -> Column:
@@ -318,7 +319,7 @@ def confirmed(pairs: DataFrame, own: DataFrame, k: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, node."""
+    """doc_id, n_shingles, component_id, kept, node, and tk, which tells rows of one doc_id apart."""
     sketch = stored(sketches(docs, k), "sketches")
     nodes = stored(
         sketch.filter("node IS NOT NULL").groupBy("node")
@@ -335,8 +336,8 @@ def near_duplicates(docs: DataFrame, k: int) -> DataFrame:
     groups = nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     ids = groups.join(least, "component").select("node", "component_id")
-    out = sketch.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
+    out = sketch.select("doc_id", "tk", "n_shingles", "node").join(ids, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), "node")
+        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), "node", "tk")

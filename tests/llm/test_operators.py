@@ -102,6 +102,9 @@ def test_guess_cost_orders_values():
     assert cost("password") < cost("password2019") < cost("pa55w0rdqwerty19991231") < cost("xK9#vQ2!mZ7@pL4$")
     assert cost("aaaaaaaaaaaaaaaaaaaa") < 6 and cost("abcabcabcabcabc") < 8 and cost("qwertyuiop") < 6 and cost("") == 0
     assert cost("zq" * 5000) < 10 ** 5  # linear in the value
+    for v in ("password2019", "aaaaaaaaaaaaaaaaaaaaaaaa", "qwerty123", "xK9#vQ2!mZ7@pL4$", "password" * 60, "2019-01-012019", "abc" * 30):
+        assert (cost(v, 10.0) >= 10.0) == (cost(v) >= 10.0)
+    assert cost("Zq3" * 1_000_000, 10.0) >= 10.0  # stops early
 
 
 def test_redaction(docs):
@@ -279,6 +282,15 @@ def test_near_duplicates(docs, rows, empty):
     assert minhash.near_duplicates(empty, 4).count() == 0
 
 
+def test_stage_judges_rows_of_one_id_by_their_text(spark):
+    import corpus_pipeline
+
+    copy = "a text which two documents hold and that has more than five words"
+    own = [(1, copy), (2, copy), (2, "quite another text under the id of a copy, to be kept"), (None, copy), (None, "a text without an id, unlike all of the others here")]
+    df = spark.createDataFrame(own, "doc_id long, text string")
+    same(corpus_pipeline.near_duplicates(spark, df, SF).collect(), [own[0], own[2], own[4]])
+
+
 def test_chains_in_crowded_buckets(spark, monkeypatch):
     """Texts that slide along a word sequence: neighbours are linked, far ones are not."""
     monkeypatch.setattr(minhash, "BLOCK_ROWS", 3)
