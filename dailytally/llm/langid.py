@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailytally.llm.common import runs, utf8
+from dailytally.llm.common import runs, stored, utf8
 
 #: Labelled rows of each language, at most, in the fitted sample.
 SAMPLE = 300
@@ -147,10 +147,11 @@ def train(docs: DataFrame) -> Model | None:
             x = [vector(data[off[i] : off[i + 1]]).astype(np.float32).tobytes() for i in range(len(off) - 1)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.binary())], names=["lang", "draw", "x"])
 
-    got = drawn.select("lang", "draw", "text").mapInArrow(vectors, "lang string, draw long, x binary")
+    # Written once, so that the texts aren't read again for each language.
+    got = stored(drawn.select("lang", "draw", "text").mapInArrow(vectors, "lang string, draw long, x binary"), "langid-sample")
     rows = []
     for lang in langs:
-        rows += got.filter(F.col("lang") == lang).orderBy("draw").limit(SAMPLE).collect()
+        rows += got.filter(F.col("lang") == lang).orderBy("draw", "x").limit(SAMPLE).collect()
     number = {v: i for i, v in enumerate(langs)}
     x = np.stack([np.frombuffer(r.x, np.float32) for r in rows])
     return fit(langs, np.array([number[r.lang] for r in rows]), x)
