@@ -6,6 +6,9 @@ same place in them. The strings that share a trigger occurrence form a phrase: t
 bytes from the first of these strings to the end of the last. A document's phrases
 are its parse; each of its strings of ``LENGTH`` bytes lies in exactly one phrase.
 
+0. Hot triggers. Triggers with more than ``HOT`` different phrases are counted out. A
+   phrase of theirs is taken apart into its strings: each is a phrase of its own, known
+   by its own hash, so that no task meets all phrases of a hot trigger.
 1. Parse. Each task takes blocks of texts and tells phrases by their trigger's
    hash and a hash of their bytes. Of phrases repeated within a block only those of
    the smallest doc_id go on; the others are decided there.
@@ -17,7 +20,8 @@ are its parse; each of its strings of ``LENGTH`` bytes lies in exactly one phras
 4. The repeated strings of each document are put together and its bytes removed.
 
 What one task holds follows from ``PART`` and ``SUFFIX_PART``: the number of parts
-grows with the input. Texts travel compressed and once: both joins use one shuffle.
+grows with the input, and a trigger has at most about ``HOT`` phrases in a part, besides
+equal ones: those are one document's for each block. Texts travel compressed and once: both joins use one shuffle.
 
 Null or empty text: no bytes. Null doc_id: neither removed from nor a source. Rows
 that share a doc_id are told apart by their text and don't repeat one another.
@@ -46,6 +50,9 @@ RUN_BYTES = 1 << 19
 BLOCK_BYTES = 12 << 20
 PART = 1_000_000
 SUFFIX_PART = 100_000
+#: Different phrases from which a trigger is hot; at most so many triggers are (twice this number, for the driver).
+HOT = 20_000
+HOT_TRIGGERS = 10_000_000
 
 #: Odd factors of the hashes.
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -97,9 +104,14 @@ def stretch_hashes(total: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarra
     return _mixed((total[b] - total[a]) * _INV[a])
 
 
-def parse(x: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+NO_HOT = np.zeros(0, np.uint64)
+
+
+def parse(x: np.ndarray, ends: np.ndarray, hot: np.ndarray = NO_HOT) -> tuple[np.ndarray, ...]:
     """Phrases of texts that lie one after the other in x, up to ``ends``: first string's
-    place, strings, place of the trigger from there, trigger's hash, bytes' hash."""
+    place, strings, place of the trigger from there, trigger's hash, bytes' hash.
+
+    Phrases of the (sorted) hot triggers come as single strings, whose hash stands for both."""
     if len(x) < LENGTH:
         none = np.zeros(0, np.int64)
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
@@ -112,22 +124,31 @@ def parse(x: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     at = p[s]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(s) else np.zeros(0, np.int64)
     lo, count = s[first], np.diff(np.concatenate([first, [len(s)]]))
-    return lo, count, at[first] - lo, h[at[first]], stretch_hashes(prefix_sums(x), lo, lo + count + LENGTH - 1)
-
-
-def parsed(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    total, place, h = prefix_sums(x), at[first] - lo, h[at[first]]
+    hc = stretch_hashes(total, lo, lo + count + LENGTH - 1)
+    if len(hot) and (own := hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h).any():
+        n = count[own]
+        each = np.repeat(lo[own], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        sh = stretch_hashes(total, each, each + LENGTH)
+        lo, count, place, h, hc = (
+            np.concatenate([v[~own], w])
+            for v, w in ((lo, each), (count, np.ones_like(each)), (place, np.zeros_like(each)), (h, sh), (hc, sh)))
+    return lo, count, place, h, hc
+
+
+def parsed(data: np.ndarray, off: np.ndarray, hot: np.ndarray = NO_HOT) -> Iterator[tuple[np.ndarray, ...]]:
     """(row, lo, count, trigger, h, hc) for runs of texts; long texts in overlapping stretches,
     which at most cuts a phrase in two."""
     for at, to in runs(off, RUN_BYTES):
         n = int(off[to] - off[at])
         if n <= RUN_BYTES:
-            lo, count, place, h, hc = parse(data[off[at] : off[to]], off[at + 1 : to + 1] - off[at])
+            lo, count, place, h, hc = parse(data[off[at] : off[to]], off[at + 1 : to + 1] - off[at], hot)
             row = np.searchsorted(off[at : to + 1] - off[at], lo, "right") - 1
             yield row + at, lo - (off[at : to] - off[at])[row] if len(row) else lo, count, place, h, hc
             continue
         for a in range(0, n - LENGTH + 1, RUN_BYTES):
             x = data[off[at] + a : min(off[to], off[at] + a + RUN_BYTES + LENGTH - 1)]
-            lo, count, place, h, hc = parse(x, np.array([len(x)]))
+            lo, count, place, h, hc = parse(x, np.array([len(x)]), hot)
             yield np.full(len(lo), at), lo + a, count, place, h, hc
 
 
@@ -198,7 +219,56 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["part", "kind", "n", "blob"])
 
 
-def _parse_batches(parts: int):  # noqa: ANN202
+def _blocks(it: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(doc_id, key, lo, count, place, h, hc) of the phrases of a block of texts."""
+    held: list[tuple] = []
+    size = 0
+    for b in it:
+        ids = b.column(0).to_numpy(zero_copy_only=False)
+        data, off = utf8(b.column(1))
+        keys = np.array([zlib.crc32(data[off[i] : off[i + 1]]) for i in range(len(ids))], np.int64)
+        for row, lo, count, place, h, hc in parsed(data, off, hot):
+            held.append((ids[row], keys[row], lo, count, place, h, hc))
+            size += RUN_BYTES
+            if size >= BLOCK_BYTES:
+                yield tuple(map(np.concatenate, zip(*held, strict=True)))
+                held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
+def _crowded_batches(share: float):  # noqa: ANN202
+    """Triggers with at least this share of a block's phrases, and two, and how many different ones they have."""
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for *_, h, hc in _blocks(it, NO_HOT):
+            o = np.lexsort((hc, h))
+            h, hc = h[o], hc[o]
+            new = np.ones(len(o), bool)
+            new[1:] = (h[1:] != h[:-1]) | (hc[1:] != hc[:-1])
+            trigger, n = np.unique(h[new], return_counts=True)
+            most = n >= max(2.0, share * len(o))
+            yield pa.RecordBatch.from_arrays([pa.array(trigger[most].view(np.int64)), pa.array(n[most], pa.int64())], names=["h", "n"])
+
+    return batches
+
+
+def hot_triggers(own: DataFrame, phrases: int) -> tuple[np.ndarray, int]:
+    """The sorted triggers of more than ``HOT`` different phrases (of some with half as many
+    or more, too), and the number of their phrases that was counted.
+
+    Of a trigger's phrases those are missed that lie in blocks where it has less than half the
+    share that ``HOT`` is of all phrases, in all less than half of ``HOT``, or that are the only
+    one in their block, so that half of ``HOT`` is asked of the others.
+    """
+    at = max(HOT, phrases // HOT_TRIGGERS)
+    if phrases <= at:
+        return NO_HOT, 0
+    counted = own.mapInArrow(_crowded_batches(at / phrases / 2), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    rows = counted.filter(F.col("n") >= at / 2).collect()
+    return np.sort(np.array([r.h for r in rows], np.int64).view(np.uint64)), sum(r.n for r in rows)
+
+
+def _parse_batches(parts: int, hot: np.ndarray = NO_HOT):  # noqa: ANN202
     def block(doc, tk, lo, count, place, h, hc) -> pa.RecordBatch:  # noqa: ANN001
         o = np.lexsort((doc, hc, h))
         first = np.ones(len(o), bool)
@@ -224,20 +294,8 @@ def _parse_batches(parts: int):  # noqa: ANN202
         return _table(rows)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-        for b in it:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            data, off = utf8(b.column(1))
-            keys = np.array([zlib.crc32(data[off[i] : off[i + 1]]) for i in range(len(ids))], np.int64)
-            for row, lo, count, place, h, hc in parsed(data, off):
-                held.append((ids[row], keys[row], lo, count, place, h, hc))
-                size += RUN_BYTES
-                if size >= BLOCK_BYTES:
-                    yield block(*map(np.concatenate, zip(*held, strict=True)))
-                    held, size = [], 0
-        if held:
-            yield block(*map(np.concatenate, zip(*held, strict=True)))
+        for own in _blocks(it, hot):
+            yield block(*own)
 
     return batches
 
@@ -375,8 +433,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     own = texts(docs)
     size = own.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    parts = max(1, -(-size // (17 * PART)))  # a phrase to about 17 bytes
-    phrases = own.filter("doc_id IS NOT NULL").mapInArrow(_parse_batches(parts), PARSED)
+    named = own.filter("doc_id IS NOT NULL")
+    hot, crowded = hot_triggers(named, size // 17)  # a phrase to about 17 bytes
+    parts = max(1, -(-(size // 17 + 17 * crowded) // PART))
+    phrases = named.mapInArrow(_parse_batches(parts, hot), PARSED)
     found = stored(phrases.groupBy("part").applyInPandas(_dictionary(parts), FOUND), "phrases")
 
     def by_document(rows: DataFrame) -> DataFrame:

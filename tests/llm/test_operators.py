@@ -79,6 +79,30 @@ def test_repeats_across_stretches_and_blocks(spark, monkeypatch):
     same(repeats.remove_repeats(df).drop("kept").collect(), brute.repeats(own))
 
 
+def test_repeats_of_a_hot_trigger_do_not_meet_in_one_part(spark, monkeypatch):
+    """A third of the documents share a passage, between bytes of their own."""
+    import random
+
+    monkeypatch.setattr(repeats, "HOT", 20, raising=False)
+    rng = random.Random(2)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage = noise(120)
+    own = [(i, noise(80) + (passage if i % 3 == 0 else "") + noise(80)) for i in range(600)]
+    own += [(None, own[0][1]), (3, own[0][1]), (3, own[3][1]), (9, noise(10) + passage)]
+    df = spark.createDataFrame(own, "doc_id long, text string").repartition(5)
+    kept, write = {}, repeats.stored
+
+    def stored(frame, name):
+        kept[name] = write(frame, name)
+        return kept[name]
+
+    monkeypatch.setattr(repeats, "stored", stored)
+    same(repeats.remove_repeats(df).drop("kept").collect(), brute.repeats(own))
+    # The edges differ by document, and would all be candidates of their triggers.
+    left = kept["phrases"].filter(F.col("kind") == repeats.CANDIDATE).agg(F.sum("n")).first()[0] or 0
+    assert left < 200
+
+
 def test_long_texts_are_parsed_in_stretches():
     import numpy as np
 
