@@ -7,6 +7,11 @@ spans so that the product of their guess counts is least (dynamic programming
 over the value, in log10); a value that costs at least ``MIN_COST`` is a secret.
 Guess spans that a base span already covers are left out.
 
+The dictionary is the corpus's own: words of at least ``WORD_DOCS`` documents, by the
+number of documents that hold them outside the values themselves, the ``WORDS`` most
+frequent (fewer, where that would part words of equal number); and a short list of
+words common in passwords. A word's guess count is its place.
+
 Spans are in code points, end exclusive, ordered by start and then by kind in the
 order assign, access, hex, guess. Null or empty text: no spans. Repeated rows:
 each gets its own row. Empty table: no rows. Texts are scanned whole; the
@@ -19,13 +24,17 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dailytally.llm.common import stored
+
 KINDS = ("assign", "access", "hex", "guess")
 
 #: The patterns of the base kinds, and the least lengths of what counts.
@@ -55,6 +64,11 @@ COMMON = (
     "server client service system public private access key value data base mail web site home work office company "
     "database dev prod stage demo temp none null true false your here placeholder insert redacted hidden the and for"
 ).split()
+#: Words of the corpus: letters, how many at most, in how many documents at least; words counted at a time in a task.
+WORD = re.compile(r"[^\W\d_]{3,}")
+WORDS = 100_000
+WORD_DOCS = 3
+COUNTED = 200_000
 KEY_ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "qazwsxedcrfvtgbyhnujm")
 DATE = re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d|(?:19|20)\d\d")
 #: Guesses of a date: days of about a hundred years; of a year alone: a hundred.
@@ -73,6 +87,47 @@ def words() -> dict[str, int]:
     return {w: i + 1 for i, w in enumerate(COMMON)}
 
 
+def words_of(text: str) -> set[str]:
+    """The words of a text outside the values that follow credential words."""
+    if CONTEXT_HINT.search(text):
+        text = CONTEXT.sub(" ", text)
+    return {m[0] for m in WORD.finditer(text.lower()) if m.end() - m.start() <= LOOK_BACK}
+
+
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: Counter[str] = Counter()
+
+    def told_counts() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+    for batch in batches:
+        for text in batch.column(0):
+            counts.update(words_of(text.as_py()))
+            if len(counts) >= COUNTED:
+                yield told_counts()
+                counts.clear()
+    yield told_counts()
+
+
+def word_ranks(docs: DataFrame) -> Broadcast:
+    """The guess count of each word, for the tasks; at most ``WORDS`` words of the corpus reach the driver."""
+    rows = docs.select(F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
+    counts = rows.mapInArrow(_count_batches, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = stored(counts.filter(F.col("n") >= WORD_DOCS), "words")
+    least, held = None, 0
+    for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect():
+        if (held := held + r.words) > WORDS:
+            break
+        least = r.n
+    ranks: dict[str, int] = {}
+    if least is not None:
+        for r in sorted(counts.filter(F.col("n") >= least).collect(), key=lambda r: (-r.n, r.word)):
+            ranks[r.word] = len(ranks) + 1
+    for w, rank in words().items():
+        ranks[w] = min(rank, ranks.get(w, rank))
+    return docs.sparkSession.sparkContext.broadcast(ranks)
+
+
 @lru_cache(maxsize=1)
 def walks() -> frozenset[str]:
     """Steps of two neighbours along a row of keys or an alphabet, either way."""
@@ -80,10 +135,10 @@ def walks() -> frozenset[str]:
     return frozenset(s for r in rows for x in (r, r[::-1]) for s in (x[i : i + 2] for i in range(len(x) - 1)))
 
 
-def span_cost(value: str, low: str, leet: str, i: int, j: int) -> float:
+def span_cost(value: str, low: str, leet: str, i: int, j: int, ranks: Mapping[str, int]) -> float:
     """Least log10 guesses of value[i:j] as one span that isn't brute force."""
     n, best = j - i, math.inf
-    rank = words().get(low[i:j]) or words().get(leet[i:j])
+    rank = ranks.get(low[i:j]) or ranks.get(leet[i:j])
     if rank:
         best = math.log10(rank) + (0.5 if low[i:j] != value[i:j] else 0) + (0.5 if leet[i:j] != low[i:j] else 0)
     if n >= 3 and low[i:j] == low[i] * n:
@@ -98,7 +153,7 @@ def span_cost(value: str, low: str, leet: str, i: int, j: int) -> float:
     return best
 
 
-def guess_cost(value: str, enough: float = math.inf) -> float:
+def guess_cost(value: str, enough: float = math.inf, ranks: Mapping[str, int] | None = None) -> float:
     """Least log10 guesses over all ways to cut the value into spans.
 
     Each span past the first doubles the guesses, for the order of spans;
@@ -106,6 +161,7 @@ def guess_cost(value: str, enough: float = math.inf) -> float:
     all that a later step can look back to costs ``enough``, the whole value does:
     that bound is then returned, however long the value is.
     """
+    ranks = words() if ranks is None else ranks
     low = value.lower()
     if len(low) != len(value):  # a few letters change length
         low = value
@@ -117,7 +173,7 @@ def guess_cost(value: str, enough: float = math.inf) -> float:
         tail = min(open_[j - 1] + step, done[j - 1] + (cut if j > 1 else 0) + step)
         best = tail
         for i in range(max(0, j - LOOK_BACK), j - 1):
-            c = span_cost(value, low, leet, i, j)
+            c = span_cost(value, low, leet, i, j, ranks)
             if c < math.inf:
                 best = min(best, done[i] + (cut if i else 0) + c)
         done.append(best)
@@ -127,7 +183,7 @@ def guess_cost(value: str, enough: float = math.inf) -> float:
     return done[-1]
 
 
-def scan(text: str) -> list[tuple[int, int, int]]:
+def scan(text: str, ranks: Mapping[str, int] | None = None) -> list[tuple[int, int, int]]:
     """(start, kind's number, end) of every span, in order."""
     found = []
     if ASSIGN_HINT.search(text):
@@ -140,7 +196,7 @@ def scan(text: str) -> list[tuple[int, int, int]]:
         base = sorted(found)
         for m in CONTEXT.finditer(text):
             a, b = m.span(1)
-            if b - a >= MIN_VALUE and not any(x <= a and b <= y for x, _, y in base) and guess_cost(m[1], MIN_COST) >= MIN_COST:
+            if b - a >= MIN_VALUE and not any(x <= a and b <= y for x, _, y in base) and guess_cost(m[1], MIN_COST, ranks) >= MIN_COST:
                 found.append((a, 3, b))
     return sorted(found)
 
@@ -149,28 +205,31 @@ def told(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out: dict[str, list] = {k: [] for k in ("n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans")}
-        for text in batch.column(1):
-            spans = scan(text.as_py() or "")
-            for kind, name in enumerate(("n_assign", "n_access", "n_hex", "n_guess")):
-                out[name].append(sum(k == kind for _, k, _ in spans))
-            out["base_sha256"].append(hashlib.sha256(told([x for x in spans if x[1] < 3]).encode()).hexdigest())
-            out["spans"].append(told(spans))
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), **out})
+def _scan_batches(ranks: Broadcast):  # noqa: ANN202
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            out: dict[str, list] = {k: [] for k in ("n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans")}
+            for text in batch.column(1):
+                spans = scan(text.as_py() or "", ranks.value)
+                for kind, name in enumerate(("n_assign", "n_access", "n_hex", "n_guess")):
+                    out[name].append(sum(k == kind for _, k, _ in spans))
+                out["base_sha256"].append(hashlib.sha256(told([x for x in spans if x[1] < 3]).encode()).hexdigest())
+                out["spans"].append(told(spans))
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), **out})
+
+    return batches
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(
-        _scan_batches, "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string")
+        _scan_batches(word_ranks(docs)), "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string")
 
 
-def redact(text: str) -> str:
+def redact(text: str, ranks: Mapping[str, int] | None = None) -> str:
     """The text with every stretch of spans replaced by the name of its first kind."""
-    out, at, spans = [], 0, scan(text)
+    out, at, spans = [], 0, scan(text, ranks)
     k = 0
     while k < len(spans):
         a, kind, b = spans[k]
@@ -184,10 +243,12 @@ def redact(text: str) -> str:
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """The same rows with their secrets replaced; null stays null."""
+    ranks = word_ranks(docs)
+
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             k = b.schema.get_field_index("text")
-            new = pa.array([None if t is None else redact(t) for t in b.column(k).to_pylist()], b.schema.field(k).type)
+            new = pa.array([None if t is None else redact(t, ranks.value) for t in b.column(k).to_pylist()], b.schema.field(k).type)
             yield pa.RecordBatch.from_arrays([new if i == k else c for i, c in enumerate(b.columns)], schema=b.schema)
 
     return docs.mapInArrow(batches, docs.schema)

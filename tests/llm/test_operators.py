@@ -137,6 +137,17 @@ def test_redaction(docs):
     assert "AKIA" not in got[100_012] and "Tr0ub" not in got[100_012] and "token=short" in got[100_012]
 
 
+def test_ordinary_words_are_no_secrets(spark):
+    plain = "the patience of a sentence may continue"
+    own = [(i, plain) for i in range(4)] + [
+        (10, "secret: patience"), (11, "password: continue"), (12, "token: sentence"), (13, "password: Patience19")]
+    own += [(20 + i, "token: qzjxkvwpt") for i in range(4)]  # a value doesn't teach itself
+    df = spark.createDataFrame(own, "doc_id long, text string")
+    assert {r.doc_id for r in secrets.scan_secrets(df).collect() if r.n_guess} == {20, 21, 22, 23}
+    got = {r.doc_id: r.text for r in secrets.redact_secrets(df).collect()}
+    assert all(got[d] == t for d, t in own if d < 20) and got[20] == "token: <guess>"
+
+
 URLS = [
     (1, "http://a.NET/x"), (2, "https://example.net/en/1"), (3, "http://Sub.Example.Net/en/?q"), (4, "ftp://example.com/de/"),
     (5, "http://badexample.com/de/"), (6, "http://x.org/fr/a#b"), (7, "http://x.org/frx"), (8, None), (9, "no scheme"), (10, "http://net"),
