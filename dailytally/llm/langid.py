@@ -157,11 +157,15 @@ def train(docs: DataFrame) -> Model | None:
     return fit(langs, np.array([number[r.lang] for r in rows]), x)
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of docs, and lang_pred, score, ambiguous. Only the text is read."""
+ADDED = ("lang_pred", "score", "ambiguous")
+
+
+def predict(docs: DataFrame, model: Model | None, added: tuple[str, ...] = ADDED) -> DataFrame:
+    """All columns of docs, and lang_pred, score, ambiguous (or the names given; a fourth
+    tells whether the text has a letter, with a model or without). Only the text is read."""
     schema = docs.schema
     names = [f.name for f in schema.fields]
-    for n in ("lang_pred", "score", "ambiguous"):
+    for n in added:
         if n in names:
             raise ValueError(f"column {n} exists already")
 
@@ -180,11 +184,12 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     lang[rows] = np.array(model.langs, object)[near[known[at:to]]]
                     score[rows], unclear[rows] = s[known[at:to]], s[known[at:to]] < CLEAR
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(lang.tolist(), pa.string()), pa.array(score), pa.array(unclear)],
-                names=[*names, "lang_pred", "score", "ambiguous"])
+                [*b.columns, *[pa.array(lang.tolist(), pa.string()), pa.array(score), pa.array(unclear), pa.array(known)][: len(added)]],
+                names=[*names, *added])
 
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return docs.mapInArrow(batches, f"{out}, lang_pred string, score double, ambiguous boolean")
+    kinds = ("string", "double", "boolean", "boolean")
+    return docs.mapInArrow(batches, ", ".join([out, *[f"`{n}` {k}" for n, k in zip(added, kinds, strict=False)]]))
 
 
 def _outputs(data: np.ndarray, off: np.ndarray, weights: np.ndarray, bits: int) -> np.ndarray:

@@ -326,6 +326,17 @@ def test_stage_judges_rows_of_one_id_by_their_text(spark):
     same(corpus_pipeline.near_duplicates(spark, df, SF).collect(), [own[0], own[2], own[4]])
 
 
+def test_language_stage_keeps_texts_with_letters(spark):
+    import corpus_pipeline
+
+    own = [(1, "words of some language", None), (2, "12 34 !!", "en"), (3, None, "en"), (4, "more of the words", None), (None, "é", None)]
+    want = [own[0], own[3], own[4]]
+    df = spark.createDataFrame(own, "doc_id long, text string, lang string")
+    same(corpus_pipeline.language(spark, df.withColumn("lang", F.lit(None).cast("string")), SF).collect(), [(*r[:2], None) for r in want])
+    labelled = df.withColumn("lang", F.lit("und"))  # a label of the corpus
+    same(corpus_pipeline.language(spark, labelled, SF).collect(), [(*r[:2], "und") for r in want])
+
+
 def test_chains_in_crowded_buckets(spark, monkeypatch):
     """Texts that slide along a word sequence: neighbours are linked, far ones are not."""
     monkeypatch.setattr(minhash, "BLOCK_ROWS", 3)
