@@ -7,7 +7,7 @@ how often its classifier was right on that language in training (left-one-out).
 A text whose two nearest codewords lie close together is flagged as ambiguous.
 
 The classifiers are fitted on a bounded sample: at most ``SAMPLE`` labelled rows
-of each language, those of the smallest hashed ids. Everything else reads whole
+of each language, those of the smallest hashes of id and text, equal rows once. Everything else reads whole
 texts. Null text, or one without a letter: ``und``, score 0. No labelled row at
 all: every prediction is ``und``. A single learned language: all texts with
 letters are of it, score 1. Null doc_id: hashed like an empty id, not held out.
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from dailytally.llm.common import runs, stored, utf8
 
 #: Labelled rows of each language, at most, in the fitted sample.
-SAMPLE = 300
+SAMPLE = 400
 #: Buckets of hashed n-grams.
-FEATURES = 1 << 12
+FEATURES = 1 << 13
 #: Ridge of the binary classifiers.
 RIDGE = 0.02
 #: Scores below this are flagged as ambiguous.
@@ -124,7 +124,8 @@ def fit(langs: list[str], labels: np.ndarray, x: np.ndarray) -> Model:
     left_out = y - alpha / np.diag(inv)[:, None]
     right = (left_out * y > 0).astype(float)
     acc = np.array([right[labels == i].mean(0) if size[i] else np.ones(code.shape[1]) for i in range(len(langs))]) + 1e-3
-    weights = np.vstack([x.T @ alpha, alpha.sum(0, keepdims=True)]) / 2
+    fitted = sum(x[a : a + 256].T @ alpha[a : a + 256] for a in range(0, len(x), 256))  # no copy of x in doubles
+    weights = np.vstack([fitted, alpha.sum(0, keepdims=True)]) / 2
     return Model(langs, code, acc / acc.sum(1, keepdims=True), weights)
 
 
@@ -132,14 +133,16 @@ def train(docs: DataFrame) -> Model | None:
     """Fits on the sample; only its vectors, of fixed size, reach the driver."""
     own = docs.select(F.col("doc_id").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     own = own.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r.lang: r["count"] for r in own.groupBy("lang").count().collect()}
+    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text"), F.lit("langid")), F.lit(1 << 40))
+    own = own.withColumn("draw", draw)
+    counts = own.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect()
     if not counts:
         return None
-    langs = sorted(counts)
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("langid")), F.lit(1 << 40))
-    # A quarter more than needed by hash, and then the smallest of them.
-    share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, 1.25 * SAMPLE / n + 8 / n))])
-    drawn = own.withColumn("draw", draw).filter(F.col("draw") < F.element_at(share, F.col("lang")) * (1 << 40))
+    langs = sorted(r.lang for r in counts)
+    # A quarter more than needed by hash, one at least, and then the smallest of them.
+    share = [(r.lang, max(r.least + 1, int(min(1.0, (1.25 * SAMPLE + 8) / r.n) * (1 << 40)))) for r in counts]
+    below = F.create_map(*[F.lit(v) for pair in share for v in pair])
+    drawn = own.filter(F.col("draw") < F.element_at(below, F.col("lang"))).dropDuplicates(["lang", "draw"])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -245,6 +245,18 @@ def test_language(spark, docs, empty):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit("xx"))).collect()} == {"und", "xx"}
 
 
+def test_language_sample_of_rows_that_share_an_id(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 5)
+    own = [(None, f"words of the text {i} without an id", "en") for i in range(300)]
+    kept, write = [], langid.stored
+    monkeypatch.setattr(langid, "stored", lambda df, name: kept.append(write(df, name)) or kept[-1])
+    assert langid.train(spark.createDataFrame(own, "doc_id long, text string, lang string")).langs == ["en"]
+    assert 0 < kept[0].count() < 60  # neither all of them nor none
+    one = spark.createDataFrame([(None, "the same words", "en")] * 300, "doc_id long, text string, lang string")
+    assert langid.train(one).langs == ["en"] and kept[1].count() == 1
+    assert (langid.SAMPLE, langid.FEATURES) == (5, 1 << 13)
+
+
 def test_codewords_lie_apart():
     import numpy as np
 
