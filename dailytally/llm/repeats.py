@@ -1,4 +1,8 @@
-"""Removal of repeated 50-byte strings by prefix-free parsing.
+"""Removal of repeated 50-byte strings by phrases of a content-defined parse and their hashes.
+
+This is not prefix-free parsing with suffix arrays: phrases come from window minima, the
+dictionary is a grouping by hashes, and strings are ordered and held equal by their 64-bit
+hashes, not by their bytes. There is no suffix array of the parse and no corpus order.
 
 A rolling hash of ``K`` bytes triggers: in every string of ``LENGTH`` bytes the
 (leftmost) least hash is its trigger, so equal strings have the same trigger at the
@@ -14,9 +18,9 @@ are its parse; each of its strings of ``LENGTH`` bytes lies in exactly one phras
    the smallest doc_id go on; the others are decided there.
 2. Dictionary. Phrases meet by trigger. Equal ones in larger doc_ids are repeated in
    full. A trigger with several different phrases leaves candidates.
-3. Suffixes. The candidates' bytes are fetched, and the suffixes of phrases, cut to
-   ``LENGTH`` bytes, are ordered by their hashes in a suffix array for each part of
-   the dictionary: equal ones are neighbours, and the smallest doc_id keeps its own.
+3. Suffixes. The candidates' bytes are fetched, and their strings of ``LENGTH``
+   bytes are ordered by their hashes in each part of the dictionary: equal ones are
+   neighbours, and the smallest doc_id keeps its own.
 4. The repeated strings of each document are put together and its bytes removed.
 
 What one task holds follows from ``PART`` and ``SUFFIX_PART``: the number of parts
@@ -375,7 +379,7 @@ def _suffixes(buckets: int):  # noqa: ANN202
 
 
 def _earlier(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    """The suffix array of one part's candidates, cut to LENGTH bytes: strings with an earlier document."""
+    """The strings of one part's candidates, ordered by their hashes: those with an earlier document."""
     got = [unpacked(x, *CANDIDATES) for x in pdf["blob"]]
     doc, tk, lo, count, body = (np.concatenate([g[k] for g in got]) for k in range(5))
     del got
