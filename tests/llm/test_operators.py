@@ -349,6 +349,23 @@ def test_language_stage_keeps_texts_with_letters(spark):
     same(corpus_pipeline.language(spark, labelled, SF).collect(), [(*r[:2], "und") for r in want])
 
 
+def test_stages_with_clashing_names_nulls_and_no_rows(spark):
+    import corpus_pipeline
+
+    leak = table(spark, SF, "benchmark").select("text").filter("length(text) > 100").first().text
+    clash = ("score", "ambiguous", "Lang_Pred", "has_letter", "_id", "_tk", "__id")
+    own = [(1, "words of some language", "en"), (2, leak, "en"), (None, leak, "en"), (3, None, "en"), (4, "password: Zq9#vK2!mX7$", None)]
+    df = spark.createDataFrame(own, "doc_id long, text string, lang string").withColumn("n_chars", F.lit(0).cast("long"))
+    df = df.withColumns({c: F.lit("clash") for c in clash})
+    heard = corpus_pipeline.language(spark, df, SF)
+    free = corpus_pipeline.benchmark_free(spark, heard, SF)
+    assert heard.columns == free.columns == df.columns
+    assert {r.doc_id for r in heard.collect()} == {1, 2, None, 4} and {r.doc_id for r in free.collect()} == {1, 4}
+    assert {r.text for r in corpus_pipeline.secret_free(spark, free, SF).collect()} == {own[0][1], "password: <guess>"}
+    for stage in (corpus_pipeline.language, corpus_pipeline.benchmark_free, corpus_pipeline.secret_free):
+        assert stage(spark, df.filter("false"), SF).count() == 0
+
+
 def test_chains_in_crowded_buckets(spark, monkeypatch):
     """Texts that slide along a word sequence: neighbours are linked, far ones are not."""
     monkeypatch.setattr(minhash, "BLOCK_ROWS", 3)
