@@ -285,15 +285,16 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def node_texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """(node, z): the compressed text of a document of each wanted node."""
-    rows = wanted.distinct().join(nodes.select("node", "doc_id"), "node")
-    own = texts(docs).join(rows.select(F.col("doc_id").alias("d"), "node"), F.col("doc_id").eqNullSafe(F.col("d"))).select("node", "text")
+    rows = wanted.distinct().join(nodes.select("node", F.col("source.doc_id").alias("d"), F.col("source.tk").alias("t")), "node")
+    same_text = F.col("doc_id").eqNullSafe(F.col("d")) & (text_key(F.col("text")) == F.col("t"))
+    own = texts(docs).join(rows, same_text).select("node", "text")
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zipper = zstandard.ZstdCompressor(level=3)
         for b in it:
             data, off = utf8(b.column(1))
             node = b.column(0).to_pylist()
-            # Rows that share a doc_id but not the set are not the node's text.
+            # Rows that share a doc_id and a hash but not the set are not the node's text.
             keep = [i for i, s in enumerate(shingle_sets(data, off, k)) if digest(s) == node[i]]
             z = [zipper.compress(data[off[i] : off[i + 1]].tobytes()) for i in keep]
             yield pa.RecordBatch.from_arrays([pa.array([node[i] for i in keep], pa.binary()), pa.array(z, pa.binary())], names=["node", "z"])
@@ -319,11 +320,11 @@ def confirmed(pairs: DataFrame, own: DataFrame, k: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, node, and tk, which tells rows of one doc_id apart."""
+    """doc_id, n_shingles, component_id, kept, node, tk, which tells rows of one doc_id apart, and component (null if the set is empty)."""
     sketch = stored(sketches(docs, k), "sketches")
     nodes = stored(
         sketch.filter("node IS NOT NULL").groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")), "nodes")
+        .agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "tk")).alias("source"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")), "nodes")
     buckets = stored(shared_buckets(nodes), "buckets")
     own = stored(node_texts(buckets.select("node"), nodes, docs, k), "texts")
     links = stored(confirmed(likely(star_pairs(buckets), nodes), own, k), "links")
@@ -335,9 +336,9 @@ def near_duplicates(docs: DataFrame, k: int) -> DataFrame:
         comp = stored(components(links.unionByName(more)), "components")
     groups = nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    ids = groups.join(least, "component").select("node", "component_id")
+    ids = groups.join(least, "component").select("node", "component_id", "component")
     out = sketch.select("doc_id", "tk", "n_shingles", "node").join(ids, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), "node", "tk")
+        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), "node", "tk", "component")

@@ -51,7 +51,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE).drop("node", "tk")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE).drop("node", "tk", "component")
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

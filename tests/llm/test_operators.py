@@ -349,6 +349,20 @@ def test_language_stage_keeps_texts_with_letters(spark):
     same(corpus_pipeline.language(spark, labelled, SF).collect(), [(*r[:2], "und") for r in want])
 
 
+def test_one_row_of_each_group_stays_without_ids(spark):
+    import corpus_pipeline
+
+    copy = "a text which many documents hold and that has more than five words"
+    own = [(None, copy)] * 4 + [(7, "a row which is there twice, with the same id and text")] * 2 + [(None, "12"), (None, "12")]
+    own += [(None, f"text {i} that shares its missing id with all of the others but {i * i} no words {i ** 3}") for i in range(30)]
+    df = spark.createDataFrame(own, "doc_id long, text string")
+    same(corpus_pipeline.near_duplicates(spark, df, SF).collect(), set(own))
+    # A node meets the rows of its own text only.
+    nodes = minhash.sketches(df, 5).groupBy("node").agg(F.min(F.struct("doc_id", "tk")).alias("source"), F.min("doc_id").alias("doc_id"))
+    plan = minhash.node_texts(nodes.select("node"), nodes, df, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan.split("Join Inner", 1)[1].split("\n")[0]
+
+
 def test_stages_with_clashing_names_nulls_and_no_rows(spark):
     import corpus_pipeline
 
