@@ -111,6 +111,69 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN ids ON ids.doc_id = d.doc_id
 """
 
+OP11 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS c, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, c)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 10
+"""
+
+# The cheapest edits forward: of each conversation, row and state the least (cost, initials).
+# The key's CRC-32 bit by bit; more than one inserted row before a row is never cheapest.
+OP12 = rf"""
+WITH RECURSIVE k AS (
+  SELECT *, string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS k FROM conversations),
+h AS (
+  SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(k, lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)))) % 20 AS h FROM k),
+d AS (
+  SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN translate(coalesce(text, ' '), '.!?', '') ELSE coalesce(text, ' ') END AS text,
+         unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE h <> 0),
+o AS (SELECT conv_id, turn, role, text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text))::INT AS i FROM d),
+f AS (
+  SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
+    CASE WHEN NOT regexp_matches(text, '[^ 	
+]') THEN 'b'
+         WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+         WHEN regexp_extract(text, '([^ 	
+]){_SPACES}*$', 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM o),
+one(s, e, c, t, cost) AS (VALUES (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (3, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0),
+  (0, 'R', NULL, 2, 2), (1, 'R', NULL, 2, 2), (2, 'R', NULL, 3, 2), (3, 'R', NULL, 2, 2),
+  (0, 'D', NULL, 0, 3), (1, 'D', NULL, 1, 3), (2, 'D', NULL, 2, 3), (3, 'D', NULL, 3, 3)),
+ins(s, t, x) AS (VALUES (0, 2, 'user:'), (1, 2, 'user:'), (2, 3, 'assistant:'), (3, 2, 'user:')),
+moves AS (SELECT s, e, e AS last, c, t, cost, []::VARCHAR[] AS x FROM one
+  UNION ALL SELECT ins.s, 'I' || e, e, c, one.t, 2 + cost, [x] FROM ins JOIN one ON one.s = ins.t),
+walk(conv_id, i, s, best) AS (
+  SELECT DISTINCT conv_id, 0, 0, {{'cost': 0, 'audit': '', 'x': []::VARCHAR[]}} FROM f
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, m.t, min({{'cost': w.best.cost + m.cost + (fault = 't' AND last <> 'D')::INT, 'audit': w.best.audit || e,
+    'x': list_concat(w.best.x, m.x, CASE last WHEN 'D' THEN [] WHEN 'K' THEN [f.role || ':' || f.text]
+                                    ELSE [CASE m.t WHEN 2 THEN 'user:' ELSE 'assistant:' END || f.text] END)}})
+  FROM walk w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+  JOIN moves m ON m.s = w.s AND (m.c IS NULL OR m.c = f.c) AND (last = 'D' OR fault NOT IN ('b', 'd'))
+  GROUP BY ALL),
+tail(s, cost, e, x) AS (VALUES (0, 0, '', []::VARCHAR[]), (1, 4, 'II', ['user:', 'assistant:']), (2, 2, 'I', ['assistant:']), (3, 0, '', [])),
+n AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+done AS (
+  SELECT w.conv_id, min({{'cost': w.best.cost + tail.cost, 'audit': w.best.audit || e, 'x': list_concat(w.best.x, tail.x)}}) AS best
+  FROM walk w JOIN n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.n = w.i JOIN tail USING (s) GROUP BY w.conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.x, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
 ORACLE = {
     "op1_repeats": OP1,
     "op3_url_filter": OP3,
@@ -118,4 +181,6 @@ ORACLE = {
     "op5_warc": OP5,
     "op8_near_duplicates": OP8,
     "op10_decontaminate": OP10,
+    "op11_top_k": OP11,
+    "op12_conversation_repair": OP12,
 }

@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailytally.llm import decontaminate, langid, minhash, packing, quality, repeats, secrets, sharding, urlfilter, warc
+from dailytally.llm import (
+    convrepair, crosstoken, decontaminate, langid, minhash, packing, quality, repeats, secrets, sharding, topk, urlfilter, warc,
+)
 from dailytally.llm.common import table
 
 
 #: Words of a shingle in the near-duplicate query.
 SHINGLE = 4
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -62,6 +65,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tk")
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_embeddings(table(spark, sf_dir, "embeddings")).select("query_id", "rank", "vec_id", "score")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return convrepair.repair_digests(conversations, convrepair.damaged(conversations))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstoken.align_digests(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_secrets": op2_secrets,
@@ -73,4 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_sharding": op9_sharding,
     "op10_decontaminate": op10_decontaminate,
+    "op11_top_k": op11_top_k,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_alignment": op13_token_alignment,
 }
