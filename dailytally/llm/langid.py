@@ -3,15 +3,21 @@
 Each language has a codeword of +1 and -1; for each of its bits a binary
 classifier over hashed byte n-grams tells the languages of one sign from those
 of the other. Decoding takes the codeword of least loss, each bit weighted by
-how often its classifier was right on that language in training (left-one-out).
+how often its classifier is right on that language's labelled rows.
 A text whose two nearest codewords lie close together is flagged as ambiguous.
 
-The classifiers are fitted on a bounded sample: at most ``SAMPLE`` labelled rows
-of each language, those of the smallest hashes of id and text, equal rows once. Everything else reads whole
-texts. Null text, or one without a letter: ``und``, score 0. No labelled row at
+The classifiers are fitted on all labelled rows, off the driver: tasks sum the n-gram
+vectors and their squares by the signs of the codewords, each language counting alike, and
+these sums give for each bit the means and variances of its two sides, hence a Fisher
+discriminant with a variance of its own for each feature. A second pass counts how often
+each bit is right on each language. What reaches the driver are four vectors of ``FEATURES``
+numbers a bit (some 10 log2 k bits for k languages) and one count per language and bit;
+neither grows with the corpus. Very long texts: hashed in runs.
+
+Null text, or one without a letter: ``und``, score 0. No labelled row at
 all: every prediction is ``und``. A single learned language: all texts with
 letters are of it, score 1. Null doc_id: hashed like an empty id, not held out.
-Repeated rows: each gets its own prediction. Empty table: no rows.
+Repeated rows: each counts, and gets its own prediction. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -26,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailytally.llm.common import runs, stored, utf8
+from dailytally.llm.common import runs, utf8
 
-#: Labelled rows of each language, at most, in the fitted sample.
-SAMPLE = 400
 #: Buckets of hashed n-grams.
 FEATURES = 1 << 13
-#: Ridge of the binary classifiers.
-RIDGE = 0.02
+#: Added to each feature's variance, as a share of the mean variance.
+RIDGE = 0.1
+#: Rows whose vectors a task holds at a time, and features in a row of sums.
+HELD, SLICE = 128, 1 << 10
 #: Scores below this are flagged as ambiguous.
 CLEAR = 0.6
 #: Bytes of text that are hashed at a time.
@@ -111,53 +117,82 @@ class Model:
         return near, 1 / share.sum(1)
 
 
-def fit(langs: list[str], labels: np.ndarray, x: np.ndarray) -> Model:
-    """Ridge classifiers for all bits at once; left-one-out outputs weight the bits."""
-    code = codewords(len(langs))
-    y = code[labels]
-    size = np.bincount(labels, minlength=len(langs)).astype(float)
-    k = ((x @ x.T).astype(float) + 1) / 2  # with a constant as one more feature
-    # Languages count alike, however many rows they have in the sample.
-    ridge = RIDGE * size[labels] / size.mean()
-    inv = np.linalg.inv(k + np.diag(ridge))
-    alpha = inv @ y
-    left_out = y - alpha / np.diag(inv)[:, None]
-    right = (left_out * y > 0).astype(float)
-    acc = np.array([right[labels == i].mean(0) if size[i] else np.ones(code.shape[1]) for i in range(len(langs))]) + 1e-3
-    fitted = sum(x[a : a + 256].T @ alpha[a : a + 256] for a in range(0, len(x), 256))  # no copy of x in doubles
-    weights = np.vstack([fitted, alpha.sum(0, keepdims=True)]) / 2
-    return Model(langs, code, acc / acc.sum(1, keepdims=True), weights)
+def sums(x: np.ndarray, sign: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Vectors (rows) and their squares, summed by the bits' signs and in all: 2 (bits + 1) rows."""
+    by = np.column_stack([sign, np.ones(len(sign))]) * share[:, None]
+    return np.vstack([by.T @ x, by.T @ (x * x)])
+
+
+def fit(total: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """The bits' weights and bias, from sums in which each language has the weight 1."""
+    k, bits = code.shape
+    first, square = total[: bits + 1], total[bits + 1 :]
+    weights = np.zeros((FEATURES + 1, bits))
+    for j in range(bits):
+        n = [(code[:, j] == s).sum() for s in (1, -1)]
+        if not min(n):  # a single language
+            weights[-1, j] = 1 if n[0] else -1
+            continue
+        mean = [(first[-1] + s * first[j]) / 2 / m for s, m in zip((1, -1), n, strict=True)]
+        spread = [(square[-1] + s * square[j]) / 2 / m - v**2 for s, m, v in zip((1, -1), n, mean, strict=True)]
+        spread = np.maximum(0, (spread[0] + spread[1]) / 2)
+        w = (mean[0] - mean[1]) / (spread + RIDGE * spread.mean() + 1e-12)
+        # The output is 1 at the mean of one side and -1 at that of the other.
+        w *= 2 / max(float(w @ (mean[0] - mean[1])), 1e-12)
+        weights[:-1, j], weights[-1, j] = w, -float(w @ (mean[0] + mean[1])) / 2
+    return weights
+
+
+def _vectors(batches: Iterator[pa.RecordBatch], number: dict[str, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Label numbers and vectors of labelled rows (lang, text), some at a time."""
+    for b in batches:
+        data, off = utf8(b.column(1))
+        labels = np.array([number[v] for v in b.column(0).to_pylist()])
+        for a in range(0, b.num_rows, HELD):
+            rows = range(a, min(a + HELD, b.num_rows))
+            yield labels[rows], np.stack([vector(data[off[i] : off[i + 1]]) for i in rows])
 
 
 def train(docs: DataFrame) -> Model | None:
-    """Fits on the sample; only its vectors, of fixed size, reach the driver."""
-    own = docs.select(F.col("doc_id").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    own = own.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text"), F.lit("langid")), F.lit(1 << 40))
-    own = own.withColumn("draw", draw)
-    counts = own.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect()
+    """Fits on all labelled rows that aren't held out, from sums made in tasks."""
+    own = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    own = own.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    counts = {r.lang: r.n for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
-    langs = sorted(r.lang for r in counts)
-    # A quarter more than needed by hash, one at least, and then the smallest of them.
-    share = [(r.lang, max(r.least + 1, int(min(1.0, (1.25 * SAMPLE + 8) / r.n) * (1 << 40)))) for r in counts]
-    below = F.create_map(*[F.lit(v) for pair in share for v in pair])
-    drawn = own.filter(F.col("draw") < F.element_at(below, F.col("lang"))).dropDuplicates(["lang", "draw"])
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, off = utf8(b.column(2))
-            x = [vector(data[off[i] : off[i + 1]]).astype(np.float32).tobytes() for i in range(len(off) - 1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.binary())], names=["lang", "draw", "x"])
-
-    # Written once, so that the texts aren't read again for each language.
-    got = stored(drawn.select("lang", "draw", "text").mapInArrow(vectors, "lang string, draw long, x binary"), "langid-sample")
-    rows = []
-    for lang in langs:
-        rows += got.filter(F.col("lang") == lang).orderBy("draw", "x").limit(SAMPLE).collect()
-    number = {v: i for i, v in enumerate(langs)}
-    x = np.stack([np.frombuffer(r.x, np.float32) for r in rows])
-    return fit(langs, np.array([number[r.lang] for r in rows]), x)
+    langs = sorted(counts)
+    number, code = {v: i for i, v in enumerate(langs)}, codewords(len(langs))
+    share = np.array([1 / counts[v] for v in langs])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2 * code.shape[1] + 2, FEATURES))
+        for labels, x in _vectors(batches, number):
+            total += sums(x, code[labels], share[labels])
+        if total.any():
+            parts = total.reshape(-1, SLICE)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "v"])
+
+    def merge(key: tuple, found: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(v.as_py()) for v in found.column("v"))
+        return pa.table({"part": [key[0].as_py()], "v": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "part long, v binary"
+    parts = own.mapInArrow(add, schema).groupBy("part").applyInArrow(merge, schema).collect()
+    total = np.vstack([np.frombuffer(r.v) for r in sorted(parts, key=lambda r: r.part)]).reshape(-1, FEATURES)
+    weights = fit(total, code)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        right = np.zeros(code.shape, np.int64)
+        for labels, x in _vectors(batches, number):
+            np.add.at(right, labels, (x @ weights[:-1] + weights[-1]) * code[labels] > 0)
+        lang, bit = np.nonzero(right)
+        yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bit), pa.array(right[lang, bit])], names=["lang", "bit", "n"])
+
+    right = np.zeros(code.shape)
+    for r in own.mapInArrow(judge, "lang long, bit long, n long").groupBy("lang", "bit").agg(F.sum("n").alias("n")).collect():
+        right[r.lang, r.bit] = r.n
+    acc = right * share[:, None] + 1e-3
+    return Model(langs, code, acc / acc.sum(1, keepdims=True), weights)
 
 
 ADDED = ("lang_pred", "score", "ambiguous")

@@ -56,9 +56,13 @@ counts AS (
   FROM w LEFT JOIN hit ON w.doc_id = hit.doc_id),
 f AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM counts),
 h AS (SELECT source, count(*) AS docs, count(*) FILTER (WHERE base_failed) AS failed, count(*) FILTER (WHERE base_failed) / count(*) AS rate FROM f GROUP BY source),
-m AS (SELECT avg(rate) AS m, coalesce(var_pop(rate), 0) AS v FROM h),
-prior AS (SELECT m, CASE WHEN v = 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0, m * (1 - m) / v - 1)) END AS k FROM m),
-s AS (SELECT source, (failed + m * k) / (docs + k) AS shrunk_rate FROM h, prior)
+p AS (SELECT sum(failed) / sum(docs) AS p, sum(docs) AS n, count(*) AS k FROM h),
+-- What the hosts' rates vary by, and what sampling alone and full correlation within hosts would give.
+q AS (SELECT any_value(p) AS p, any_value(n) AS n, sum(docs * (rate - p) ^ 2) / nullif(any_value(p * (1 - p)), 0) AS seen,
+             sum(1 - docs / n) AS alone, sum(docs - docs * docs / n) AS full_, sum((docs / n) ^ 2) AS same FROM h, p),
+e AS (SELECT p, seen * (1 - 1 / n) - alone AS more, full_ - alone + seen * (same - 1 / n) AS room FROM q),
+r AS (SELECT p, CASE WHEN room > 1e-9 THEN least(1.0, greatest(0.0, more / room)) ELSE 0.0 END AS r FROM e),
+s AS (SELECT source, (failed * r + p * (1 - r)) / (docs * r + 1 - r) AS shrunk_rate FROM h, r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        (NOT base_failed AND shrunk_rate <= 0.5) AS kept, round(shrunk_rate, 9) AS shrunk_rate
 FROM f JOIN s ON f.source IS NOT DISTINCT FROM s.source
@@ -140,10 +144,12 @@ o AS (SELECT conv_id, turn, role, text, row_number() OVER (
 f AS (
   SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
     CASE WHEN NOT regexp_matches(text, '[^ 	
-]') THEN 'b'
+
+]') THEN 'b'
          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
          WHEN regexp_extract(text, '([^ 	
-]){_SPACES}*$', 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM o),
+
+]){_SPACES}*$', 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM o),
 one(s, e, c, t, cost) AS (VALUES (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (3, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0),
   (0, 'R', NULL, 2, 2), (1, 'R', NULL, 2, 2), (2, 'R', NULL, 3, 2), (3, 'R', NULL, 2, 2),
   (0, 'D', NULL, 0, 3), (1, 'D', NULL, 1, 3), (2, 'D', NULL, 2, 3), (3, 'D', NULL, 3, 3)),

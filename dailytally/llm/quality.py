@@ -1,12 +1,14 @@
 """Quality rules on documents, with verdicts on whole hosts.
 
 Counts per text come from column functions alone. A host's failure rate is
-shrunk with a beta prior fitted to all hosts (moments of their rates), so a host
-of few documents stays near the common rate; a host whose shrunk rate is above
-``host_limit`` is rejected, and its verdict joined back to its documents.
+shrunk with a beta prior fitted to all hosts by moments, the noise of few documents
+taken out, so a host of few documents stays near the common rate; a host whose
+shrunk rate is above ``host_limit`` is rejected, and its verdict joined back to its
+documents.
 
 Null or empty text: no words, so the base rules fail. Null source: a host of its
-own. Repeated rows: each gets its own row. Empty table: no rows.
+own. Repeated rows: each gets its own row. Very long texts: like others. Extra columns
+are never read, whatever their names. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -66,17 +68,29 @@ def text_counts(docs: DataFrame) -> DataFrame:
 
 
 def host_verdicts(counts: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
-    """source, docs, failed, shrunk_rate, host_kept: one row per host."""
+    """source, docs, failed, shrunk_rate, host_kept: one row per host.
+
+    Failures of a host are taken as beta-binomial: with mean p and correlation r of two
+    documents of one host, E sum n (rate - p)^2 = p (1 - p) ((k - 1) + r (N - sum n^2 / N - (k - 1)))
+    for k hosts of n documents, N in all, and the observed p (1 - p) falls short of the true one by
+    the share (1 - r) / N + r sum n^2 / N^2. So r is what the rates vary by beyond sampling noise;
+    the prior's strength is (1 - r) / r documents, and r = 0 leaves every host at p.
+    """
     hosts = counts.groupBy("source").agg(
         F.count("*").alias("docs"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
-    rates = hosts.withColumn("rate", F.col("failed") / F.col("docs"))
-    moments = rates.agg(F.avg("rate").alias("m"), F.coalesce(F.var_pop("rate"), F.lit(0.0)).alias("v"))
-    # Beta prior by moments: strength m(1-m)/v - 1, at least 1 and at most 1000 documents.
-    strength = F.least(F.lit(1000.0), F.greatest(F.lit(1.0), F.try_divide(F.col("m") * (1 - F.col("m")), "v") - 1))
-    prior = moments.select("m", F.coalesce(strength, F.lit(1000.0)).alias("k"))
-    one = rates.withColumn("one", F.lit(1)).join(F.broadcast(prior.withColumn("one", F.lit(1))), "one")
-    shrunk = (F.col("failed") + F.col("m") * F.col("k")) / (F.col("docs") + F.col("k"))
-    return one.select("source", "docs", "failed", shrunk.alias("shrunk_rate"), (shrunk <= host_limit).alias("host_kept"))
+    hosts = stored(hosts, "quality-hosts")
+    n, x = F.col("docs").cast("double"), F.col("failed").cast("double")
+    # A handful of numbers, whatever the number of hosts.
+    m = hosts.agg(F.count("*").alias("k"), F.sum(n).alias("n"), F.sum(x).alias("x"), F.sum(x * x / n).alias("xx"), F.sum(n * n).alias("nn")).first()
+    p, r = 0.0, 0.0
+    if m.k:
+        p = m.x / m.n
+        if 0 < p < 1:
+            seen = (m.xx - m.x * m.x / m.n) / (p * (1 - p))
+            room = m.n - m.nn / m.n - (m.k - 1) + seen * (m.nn / m.n - 1) / m.n
+            r = min(1.0, max(0.0, (seen * (1 - 1 / m.n) - (m.k - 1)) / room)) if room > 1e-9 else 0.0
+    shrunk = (x * r + p * (1 - r)) / (n * r + (1 - r))
+    return hosts.select("source", "docs", "failed", shrunk.alias("shrunk_rate"), (shrunk <= host_limit).alias("host_kept"))
 
 
 def judge_quality(docs: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:

@@ -195,6 +195,52 @@ def test_bad_hosts_fall_and_small_ones_are_shrunk(spark):
     assert got["tiny"].shrunk_rate < 1
 
 
+def hosts(spark, kinds):
+    """Host verdicts of (name, docs, failed)."""
+    rows = [(h, i < bad) for h, n, bad in kinds for i in range(n)]
+    got = quality.host_verdicts(spark.createDataFrame(rows, "source string, base_failed boolean")).collect()
+    assert len(got) == len({k[0] for k in kinds})
+    return {r.source: r for r in got}
+
+
+def test_small_hosts_of_one_true_rate_all_stay(spark):
+    """10,000 hosts of 3 documents that fail with the same chance 0.3: the rates differ by sampling alone."""
+    import random
+
+    rng = random.Random(4)
+    got = hosts(spark, [(f"h{i}", 3, sum(rng.random() < 0.3 for _ in range(3))) for i in range(10_000)])
+    assert all(r.host_kept for r in got.values())
+
+
+def test_truly_bad_hosts_fall_small_and_large(spark):
+    import random
+
+    rng = random.Random(5)
+
+    def host(name, n, rate):
+        return name, n, sum(rng.random() < rate for _ in range(n))
+
+    # Small good hosts have one failed document at most: two of two is what a bad host looks like.
+    good = [(f"g{i}", n, min(1, i % 7) if n < 10 else host("", n, 0.05)[2]) for i in range(400) for n in (rng.choice((2, 5, 40, 400)),)]
+    bad = [host(f"b{i}", n, 0.97) for i, n in enumerate([10, 12, 30, 300, 500] * 4)]
+    got = hosts(spark, good + bad)
+    assert {h for h, r in got.items() if not r.host_kept} == {h for h, _, _ in bad}
+
+
+def test_prior_where_nothing_can_be_learned(spark):
+    assert hosts(spark, [("a", 3, 0), ("b", 2, 0)])["a"].shrunk_rate == 0
+    assert hosts(spark, [("a", 3, 3)])["a"].shrunk_rate == 1
+    assert all(r.shrunk_rate == 0.5 for r in hosts(spark, [("a", 1, 1), ("b", 1, 0)]).values())
+
+
+def test_a_fallen_host_takes_its_documents_along(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, words, "fine") for i in range(50)] + [(100 + i, "few words" if i < 45 else words, "bad") for i in range(50)]
+    got = {r.doc_id: r for r in quality.judge_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i].kept for i in range(50)) and not any(got[100 + i].kept for i in range(50))
+    assert not got[149].base_failed
+
+
 def test_warc(spark):
     pages = table(spark, SF, "pages").select("page_id", "url", "html", F.lit(1).alias("run"))
     more = [(1000, "http://a/b", None), (1001, "http://a/b", ""), (1002, None, "WARC/1.1\r\n\r\nx\r\n\r\n"), (1003, "bad\r\nurl://x", "é\0"),
@@ -245,16 +291,49 @@ def test_language(spark, docs, empty):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit("xx"))).collect()} == {"und", "xx"}
 
 
-def test_language_sample_of_rows_that_share_an_id(spark, monkeypatch):
-    monkeypatch.setattr(langid, "SAMPLE", 5)
-    own = [(None, f"words of the text {i} without an id", "en") for i in range(300)]
-    kept, write = [], langid.stored
-    monkeypatch.setattr(langid, "stored", lambda df, name: kept.append(write(df, name)) or kept[-1])
-    assert langid.train(spark.createDataFrame(own, "doc_id long, text string, lang string")).langs == ["en"]
-    assert 0 < kept[0].count() < 60  # neither all of them nor none
-    one = spark.createDataFrame([(None, "the same words", "en")] * 300, "doc_id long, text string, lang string")
-    assert langid.train(one).langs == ["en"] and kept[1].count() == 1
-    assert (langid.SAMPLE, langid.FEATURES) == (5, 1 << 13)
+def test_language_fit_from_sums_equals_one_from_all_vectors(spark):
+    import numpy as np
+
+    own = [r for r in table(spark, SF, "documents").select("doc_id", "text", "lang").collect() if r.lang and r.text]
+    model = langid.train(table(spark, SF, "documents").repartition(7))
+    import zlib
+    own = [r for r in own if zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    langs = sorted({r.lang for r in own})
+    assert model.langs == langs
+    x = np.stack([langid.vector(np.frombuffer(r.text.encode(), np.uint8)) for r in own])
+    label = np.array([langs.index(r.lang) for r in own])
+    code = langid.codewords(len(langs))
+    right = np.zeros(code.shape)
+    for j in range(code.shape[1]):
+        mean, spread = [], []
+        for s in (1, -1):
+            each = [x[label == i] for i in range(len(langs)) if code[i, j] == s]  # languages count alike
+            mean.append(np.mean([e.mean(0) for e in each], 0))
+            spread.append(np.mean([(e**2).mean(0) for e in each], 0) - mean[-1] ** 2)
+        v = (spread[0] + spread[1]) / 2
+        w = (mean[0] - mean[1]) / (v + langid.RIDGE * v.mean() + 1e-12)
+        w *= 2 / (w @ (mean[0] - mean[1]))
+        want = x @ w - w @ (mean[0] + mean[1]) / 2
+        assert np.allclose(x @ model.weights[:-1, j] + model.weights[-1, j], want, atol=1e-6)
+        right[:, j] = [np.mean(want[label == i] * code[i, j] > 0) for i in range(len(langs))]
+    acc = right + 1e-3
+    assert np.allclose(model.bit_weight, acc / acc.sum(1, keepdims=True), atol=0.01)
+
+
+def test_sixty_languages(spark):
+    """Made languages of their own syllables; what reaches the driver doesn't grow with their number."""
+    import random
+
+    rng = random.Random(9)
+    rows = []
+    for k in range(60):
+        syllables = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 3))) for _ in range(25)]
+        for i in range(24):
+            rows.append((len(rows), " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(60)), f"l{k:02d}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    got = langid.identify(df).filter("held_out").collect()
+    want = {r[0]: r[2] for r in rows}
+    assert sum(want[r.doc_id] == r.lang_pred for r in got) / len(got) > 0.97
 
 
 def test_codewords_lie_apart():
@@ -349,6 +428,48 @@ def test_language_stage_keeps_texts_with_letters(spark):
     same(corpus_pipeline.language(spark, labelled, SF).collect(), [(*r[:2], "und") for r in want])
 
 
+def test_language_stage_acts_on_its_predictions(spark):
+    import corpus_pipeline
+
+    en = "the quick brown fox and the other words of this tongue are here with the rest of them"
+    de = "der schnelle braune Fuchs und die anderen Wörter dieser Sprache sind hier mit dem Rest davon"
+    rows = [(i, f"{t} {i}", None if i % 5 == 4 else lang) for i, (t, lang) in enumerate([(en, "en"), (de, "de")] * 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, df, SF).collect()}
+    assert got == {i: ("en", "de")[i % 2] for i in range(120)}  # also where no label was
+    only = {r.doc_id for r in corpus_pipeline.language(spark, df, SF, keep=["de"]).collect()}
+    assert only == {i for i in range(120) if i % 2}
+
+
+def test_the_whole_pipeline_against_plain_stages(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    import zlib
+
+    import numpy as np
+
+    own = [r for r in EDGE if r[0] is not None and r[0] not in (100_003, 100_016)]
+    bench = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").select("item_id", "text").collect()]
+    rows = [tuple(r) for r in table(spark, SF, "documents").select("doc_id", "text", "lang", "source").collect()] + own
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    table(spark, SF, "benchmark").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    docs = [(r[0], r[1]) for r in rows if langid.has_letter(r[1])]
+    first = {d: c for d, _, c in brute.near(docs, corpus_pipeline.SHINGLE)}
+    docs = [(d, t) for d, t in docs if first[d] in (None, d)]
+    leaks = {r[0] for r in brute.decontaminate(docs, bench) if r[5]}
+    docs = [(d, t) for d, t in docs if d not in leaks]
+    ranks = secrets.word_ranks(spark.createDataFrame(docs, "doc_id long, text string")).value
+    tokenizer, want = Tokenizer.from_file(queries.tokenizer_path()), []
+    for d, text in docs:
+        ids = np.array([*tokenizer.encode(secrets.redact(text, ranks), add_special_tokens=False).ids, 0], "<u4")
+        at = [0, *range(len(ids) % 2048 or 2048, len(ids), 2048), len(ids)]
+        want += [(d, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(at, at[1:], strict=False))]
+    same([tuple(r)[:5] for r in got], want)
+
+
 def test_one_row_of_each_group_stays_without_ids(spark):
     import corpus_pipeline
 
