@@ -6,6 +6,8 @@ result as Parquet into the shared work folder and reads it again for the next.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,12 +29,16 @@ def fresh(docs: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language (no letter, or null) go, whatever is predicted for the others, if anything is."""
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: Collection[str] | None = None) -> DataFrame:
+    """Texts without a language (no letter, or null) go, and with ``keep`` those of other languages,
+    unless ambiguous. Where lang is null, a clear prediction takes its place."""
     ship(spark)
-    model = langid.train(docs)
-    added = fresh(docs, *langid.ADDED, "has_letter")
-    return langid.predict(docs, model, tuple(added)).filter(F.col(added[-1])).select(*[f"`{c}`" for c in docs.columns])
+    pred, score, unclear, letter = fresh(docs, *langid.ADDED, "has_letter")
+    found = langid.predict(docs, langid.train(docs), (pred, score, unclear, letter)).filter(F.col(letter))
+    if keep is not None:
+        found = found.filter(F.col(unclear) | F.col(pred).isin(*keep))
+    clear = F.when(~F.col(unclear), F.col(pred)).cast(docs.schema["lang"].dataType)
+    return found.withColumn("lang", F.coalesce("lang", clear)).select(*[f"`{c}`" for c in docs.columns])
 
 
 def without(docs: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
@@ -67,7 +73,7 @@ def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by the name of their kind, and n_chars counted anew."""
     ship(spark)
     out = secrets.redact_secrets(docs)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
