@@ -44,7 +44,7 @@ FAN = 8
 #: Different pairs whose counts are broadcast, at most.
 PAIRS = 1 << 22
 #: Bytes of text encoded at a time.
-RUN = 1 << 20
+RUN = 1 << 18
 #: The space sign of B's pieces; the printable bytes that A's vocabulary writes as themselves.
 SPACE_SIGN = "▁"
 FAR = 1 << 62
