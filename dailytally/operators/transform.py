@@ -59,17 +59,21 @@ def affected_groups(changed: DataFrame) -> DataFrame:
     return with_group_key(changed).select(*KEY_COLS).distinct()
 
 
-def aggregate_metrics(orders: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
+def aggregate_metrics(orders: DataFrame, extra: Sequence[Column] = (), counted: Column | None = None) -> DataFrame:
     """A1-A4: one metric row per group of the given rows (``extra``: more
-    aggregates computed in the same pass)."""
+    aggregates computed in the same pass; ``counted``: only rows of which it
+    holds enter the metrics, the others just their group and ``extra``)."""
+    done, off = is_completed(), is_cancelled()
+    if counted is not None:
+        done, off = done & counted, off & counted
     return (
         with_group_key(orders)
         .groupBy(*KEY_COLS)
         .agg(
-            F.count(F.lit(1)).alias("total_orders"),
-            F.count_if(is_completed()).alias("completed_orders"),
-            F.count_if(is_cancelled()).alias("cancelled_orders"),
-            F.coalesce(F.sum(F.when(is_completed(), F.col("amount"))), F.lit(0))
+            (F.count(F.lit(1)) if counted is None else F.count_if(counted)).alias("total_orders"),
+            F.count_if(done).alias("completed_orders"),
+            F.count_if(off).alias("cancelled_orders"),
+            F.coalesce(F.sum(F.when(done, F.col("amount"))), F.lit(0))
             .cast(REVENUE_TYPE)
             .alias("gross_revenue"),
             *extra,
@@ -107,8 +111,19 @@ def recompute_metrics(
     # The key set is used twice (its profile, then the join): written once so
     # the changed-row scan behind it runs once.
     keys = materialize(keys.select(*KEY_COLS).distinct())
-    n, first, last = key_profile(keys)
-    if n == 0:
+    return recompute_known(orders, keys, *key_profile(keys), broadcast_key_limit)
+
+
+def recompute_known(
+    orders: DataFrame,
+    keys: DataFrame,
+    n: int,
+    first: _dt.date | None,
+    last: _dt.date | None,
+    broadcast_key_limit: int = DEFAULT_BROADCAST_KEY_LIMIT,
+) -> DataFrame:
+    """J1 for distinct keys that were measured already: ``n`` of them on the days ``first``..``last``."""
+    if n == 0 or first is None:
         return aggregate_metrics(orders.where(F.lit(False)))
     scoped = with_group_key(restrict_to_days(orders, first, last))
     if n <= broadcast_key_limit:
@@ -168,15 +183,9 @@ def keys_from_arrays(
     return rows.select("restaurant_id", parse_iso_date("date_text").alias("date"), "country")
 
 
-def bounded_days(keys: DataFrame) -> DataFrame:
-    """Days of a key set."""
-    return keys.select("date").distinct()
-
-
 __all__ = [
     "affected_groups",
     "aggregate_metrics",
-    "bounded_days",
     "daily_metrics_full",
     "group_keys",
     "key_profile",
@@ -184,6 +193,7 @@ __all__ = [
     "recompute_affected",
     "recompute_days",
     "recompute_days_of",
+    "recompute_known",
     "recompute_metrics",
     "restrict_to_days",
     "with_group_key",

@@ -4,12 +4,15 @@ W4, W8, A9).
 1. read the stored mark of this job id (tiny state log);
 2. changed rows = ``updated_at > mark`` (pushed to the scan), good and bad
    alike: their distinct group keys, row count and last change time;
-3. recompute every group of the touched days from *all* their source rows
-   (in quarantine mode from the valid ones);
-4. check the metrics, write them, write the rejects of the same changes;
-5. only then append the new mark. A crash before 5 leaves the old mark, and
-   the re-run redoes the same (idempotent) recompute; rejects go to a folder
-   named by the mark they follow, so a re-run replaces its own.
+3. recompute just these groups from *all* their source rows (in quarantine
+   mode from the valid ones); the other groups of their days are carried over
+   from the metrics table;
+4. write the days as a new version of the table; the write's own job counts
+   rows, upserts, and metrics that break their contract (observed metrics);
+   commit it; replace the rejects of the same days;
+5. only then append the new mark. A crash before the commit leaves the table as
+   it was, one before 5 the old mark; the re-run redoes the same (idempotent)
+   recompute.
 
 A row that turned bad is a change like any other: it touches its group, whose
 recompute no longer counts it, and it moves the mark.
@@ -28,18 +31,19 @@ import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dailytally.config import DEFAULT_PIPELINE_ID, EPOCH, KEY_COLS
+from dailytally.config import DEFAULT_PIPELINE_ID, EPOCH, KEY_COLS, METRIC_VALUE_COLS
 from dailytally.functions.columns import ts_ntz
 from dailytally.operators import extract as X
 from dailytally.operators import quality as Q
 from dailytally.operators import state as S
 from dailytally.operators import transform as TR
 from dailytally.operators.ledger import page_bounds
-from dailytally.operators.load import upsert_counts
+from dailytally.session import materialize
 from dailytally.sources import metrics_table as MT
+from dailytally.sources import rejects_table as RT
 from dailytally.sources import state_log as SL
 
 
@@ -96,8 +100,9 @@ class MetricsJob:
         self._changes = changes
         self.cfg = config
         self.last_preview: DataFrame | None = None
-        # Test hook: called between the metrics write and the state save.
+        # Test hooks: called between the metrics write and the state save, and after each step with its name.
         self.after_write: Callable[[], None] | None = None
+        self.after: Callable[[str], None] = lambda step: None
 
     # --- inputs -------------------------------------------------------------
 
@@ -119,10 +124,12 @@ class MetricsJob:
         """Extracted rows under the quality mode (strict: a bad row fails)."""
         return Q.enforce_strict(rows) if self.cfg.quality == "strict" else rows
 
-    def _quarantine(self, rows: DataFrame, tag: str) -> None:
-        """The rejects of one pass, in a folder of its own: a re-run replaces it."""
+    def _quarantine(self, days: set | None) -> None:
+        """The rejects of the days (None: of all), as their orders give them now."""
         if self.cfg.quality == "quarantine" and self.cfg.quarantine_path:
-            Q.rejected_orders(rows).write.mode("overwrite").parquet(f"{self.cfg.quarantine_path.rstrip('/')}/pass={tag}")
+            rows = RT.all_rejects(self._all_orders()) if days is None else RT.rejects_of_days(self._all_orders(), days)
+            RT.replace_rejects(rows, self.cfg.quarantine_path, days)
+            self.after("rejects")
 
     def read_metrics(self, stamped: bool = False) -> DataFrame:
         return MT.read_metrics(self.spark, self.cfg.metrics_path, stamped)
@@ -141,58 +148,78 @@ class MetricsJob:
 
     # --- steps --------------------------------------------------------------
 
-    def _load(self, metrics: DataFrame, touched: set[_dt.date], run_at: _dt.datetime, out: Step) -> None:
-        """Check a recompute and write it (days left without groups are dropped).
-
-        It is used several times (checks, counts, write), so it is persisted:
-        metric rows are far fewer than the orders they come from, and a lost
-        block is recomputed from the (deterministic) lineage.
-        """
-        metrics = metrics.persist()
-        try:
-            bad = Q.contract_violations()
-            row = metrics.agg(
-                F.count_if(bad).alias("invalid"), F.count_if(~Q.consistency_flag()).alias("inconsistent"),
-                F.collect_set("date").alias("days"),  # bounded by the calendar
-            ).first()
-            out.invalid, out.inconsistent = row["invalid"], row["inconsistent"]
-            if out.invalid and self.cfg.quality == "strict":
-                raise ValueError(f"{out.invalid} metrics violate their contract")
-            if out.inconsistent:
-                warnings.warn(f"{out.inconsistent} metrics have fewer orders than completed and cancelled ones", stacklevel=2)
-            days = set(row["days"])
-            if self.cfg.count_upserts:
-                current = self.read_metrics().where(F.col("date").isin(sorted(days)))
-                out.upserts = int(upsert_counts(current, metrics).first()["upserted"])
-            if days:
-                MT.replace_days(metrics, self.cfg.metrics_path, run_at)
-            MT.drop_days(self.spark, self.cfg.metrics_path, touched - days)
-        finally:
-            metrics.unpersist()
+    def _load(self, rows: DataFrame, days: set[_dt.date] | None, carry: bool, run_at: _dt.datetime) -> Step:
+        """Writes a recompute: a row per touched group, its metrics (null or zero orders: the group is
+        gone), and ``_rows`` and ``_max`` of the rows behind it. ``days``: those that it replaces (None: all);
+        with ``carry`` their other groups stay. One Spark job writes, checks and counts."""
+        path, values = self.cfg.metrics_path, [c for c in METRIC_VALUE_COLS]
+        old = MT.read_metrics(self.spark, path, stamped=True, days=days).select(
+            *KEY_COLS, F.struct(*values).alias("_old"), F.col("last_updated_at").alias("_stamp"))
+        new = rows.select(*KEY_COLS, F.struct(*values).alias("_new"), "_rows", "_max", F.lit(True).alias("_touched"))
+        # Metrics that aren't carried over are needed for the count of changed ones only.
+        how = "full_outer" if carry else "left" if self.cfg.count_upserts else None
+        both = new.join(old, list(KEY_COLS), how) if how else new.withColumns({"_old": F.lit(None), "_stamp": F.lit(None)})
+        touched = F.coalesce("_touched", F.lit(False))
+        kept = touched & (F.coalesce(F.col("_new.total_orders"), F.lit(0)) > 0)
+        table = both.select(
+            *KEY_COLS, "_rows", "_max", touched.alias("_touched"), (kept | ~touched).alias("_keep"),
+            *[F.when(touched, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}") if how else None).alias(c) for c in values],
+            F.when(touched, ts_ntz(run_at)).otherwise(F.col("_stamp")).alias("last_updated_at"),
+            (kept & (~F.col("_new").eqNullSafe(F.col("_old")) if how else F.lit(True))).alias("_changed"),
+        )
+        seen, own = Observation(), F.col("_touched") & F.col("_keep")
+        version = MT.begin(self.spark, path)
+        MT.write_version(table, path, version, seen, [
+            F.count_if("_touched").alias("groups"), F.sum("_rows").alias("rows"), F.max("_max").alias("mark"),
+            F.count_if(own & Q.contract_violations()).alias("invalid"), F.count_if(own & ~Q.consistency_flag()).alias("inconsistent"),
+            F.count_if("_changed").alias("upserts"),
+        ])
+        got = seen.get
+        out = Step(rows=int(got["rows"] or 0), groups=got["groups"], upserts=got["upserts"] if self.cfg.count_upserts else 0,
+                   invalid=got["invalid"], inconsistent=got["inconsistent"], mark=got["mark"])
+        self.after("written")
+        if out.invalid and self.cfg.quality == "strict":
+            raise ValueError(f"{out.invalid} metrics violate their contract")
+        if out.inconsistent:
+            warnings.warn(f"{out.inconsistent} metrics have fewer orders than completed and cancelled ones", stacklevel=2)
+        MT.commit(self.spark, path, version, days)
+        self.after("committed")
+        return out
 
     def _save_mark(self, mark: _dt.datetime, rows: int, groups: int, run_at: _dt.datetime) -> None:
         row = S.save_row(self.spark, self.cfg.pipeline_id, mark, run_at, rows, groups)
         SL.append_state(row, self.cfg.state_path, SL.next_seq(self.spark, self.cfg.state_path))
 
+    def _changed_keys(self, changed: DataFrame) -> DataFrame:
+        """Key and change time of the changed rows; in strict mode a bad one fails whoever reads it."""
+        return TR.with_group_key(self._checked(changed)).select(*KEY_COLS, "updated_at", "order_id")
+
     def _pass(self, changed: DataFrame, dry_run: bool, run_at: _dt.datetime) -> Step:
-        """Touched keys of the changed rows -> recompute of their days -> write."""
-        keyed = _keys_with_stats(self._checked(changed)).persist()
+        """Touched keys of the changed rows -> recompute of these groups -> write."""
+        keyed = _keys_with_stats(changed).persist()
         try:
-            out = _totals(keyed)  # one pass over the changed rows
-            if out.rows == 0:
-                return out
-            days = keyed.select("date").where(F.col("date").isNotNull()).distinct()
-            metrics = TR.recompute_days_of(self.orders(), days)
+            r = keyed.agg(F.count("*").alias("n"), F.sum("_rows").alias("rows"), F.max("_max").alias("mark"), F.min("date").alias("first"),
+                          F.max("date").alias("last"), F.collect_set("date").alias("days"),  # bounded by the calendar
+                          F.count_if(F.col("date").isNull()).alias("dayless")).first()
+            if not r.n:
+                return Step()
+            days = set(r.days)
             if dry_run:
                 # The preview outlives this pass: its days are written out.
-                self.last_preview = TR.recompute_days_of(self.orders(), self.spark.createDataFrame(
-                    [(d,) for d in sorted(MT.days_of(days))], "date date"))
-            else:
-                self._load(metrics, MT.days_of(days), run_at, out)
+                self.last_preview = TR.recompute_days_of(self.orders(), self.spark.createDataFrame([(d,) for d in sorted(days)], "date date"))
+                return Step(rows=int(r.rows), groups=r.n, mark=r.mark)
+            metrics = TR.recompute_known(self.orders(), keyed.select(*KEY_COLS), r.n, r.first, r.last)
+            out = self._load(keyed.join(metrics, list(KEY_COLS), "left"), days, True, run_at)
+            self._quarantine(days | {None} if r.dayless else days)
             return out
         finally:
             keyed.unpersist()
 
+    def _groups(self, own: DataFrame) -> DataFrame:
+        """Metrics of every group of the rows, with ``_rows`` and ``_max`` of all of them; bad ones count in these alone."""
+        good = Q.reject_reason().isNull() if self.cfg.quality == "quarantine" else None
+        return TR.aggregate_metrics(self._checked(own), [F.count("*").alias("_rows"), F.max("updated_at").alias("_max")], good)
+
     def _summary(self, mode: str, total: Step, dry_run: bool, t0: float, **more) -> dict:  # noqa: ANN003
         return {
             "mode": mode,
@@ -210,10 +237,12 @@ class MetricsJob:
 
     def run_incremental(self, dry_run: bool = False, run_at: _dt.datetime | None = None) -> dict:
         t0, run_at, start = time.time(), run_at or _now(), self.watermark()
-        changed = X.changed_since(self._change_rows(), start, self.cfg.lookback)
-        total, batches, mark = Step(), 0, start
-        # Bounds of the pages: (from, to] ranges of updated_at; one open range without paging.
-        bounds = page_bounds(changed, self.cfg.batch_size) if self.cfg.batch_size else [None]
+        changed = self._changed_keys(X.changed_since(self._change_rows(), start, self.cfg.lookback))
+        total, batches, mark, bounds = Step(), 0, start, [None]
+        if self.cfg.batch_size:
+            # Changes are looked up, checked and stored once; pages are ranges (from, to] of them.
+            changed = materialize(changed)
+            bounds = page_bounds(changed, self.cfg.batch_size)
         if dry_run:
             total, batches = self._pass(changed, True, run_at), len(bounds)
             return self._summary("incremental", total, True, t0, batches=batches if total.rows else 0)
@@ -224,8 +253,6 @@ class MetricsJob:
             step = self._pass(own, False, run_at)
             if step.rows == 0:
                 break
-            # Rows that only the lookback window brings were rejected before.
-            self._quarantine(X.changed_since(own, mark), f"{mark:%Y%m%dT%H%M%S.%f}")
             # With a lookback window all rows may be older than the mark: it never moves back.
             top = max(step.mark or mark, mark)
             if self.after_write:
@@ -243,16 +270,15 @@ class MetricsJob:
         if start > end:
             raise ValueError("start date must not be after end date")
         own = X.extract_backfill(self._all_orders(), start, end)
-        total = _totals(_keys_with_stats(self._checked(own)))
-        if total.rows == 0:
+        if not own.take(1):
             return {"mode": "backfill", "total_rows": 0}
-        metrics = TR.recompute_days(self.orders(), start, end)
         if dry_run:
-            self.last_preview = metrics
+            total = _totals(_keys_with_stats(TR.with_group_key(self._checked(own))))
+            self.last_preview = TR.recompute_days(self.orders(), start, end)
         else:
             days = {start + _dt.timedelta(days=i) for i in range((end - start).days + 1)}
-            self._load(metrics, days, run_at, total)
-            self._quarantine(own, f"backfill-{start.isoformat()}-{end.isoformat()}")
+            total = self._load(self._groups(own), days, False, run_at)
+            self._quarantine(days)
         return self._summary("backfill", total, dry_run, t0, start_date=start.isoformat(), end_date=end.isoformat())
 
     def run_full(self, dry_run: bool = False, run_at: _dt.datetime | None = None) -> dict:
@@ -266,16 +292,14 @@ class MetricsJob:
         """
         t0, run_at = time.time(), run_at or _now()
         own = X.changed_since(self._all_orders(), EPOCH)
-        good = Q.valid_orders(own) if self.cfg.quality == "quarantine" else self._checked(own)
-        total = _totals(_keys_with_stats(own))
-        if total.rows == 0:
-            return self._summary("full", total, dry_run, t0, batches=0)
-        metrics = TR.daily_metrics_full(good)
+        if not own.take(1):
+            return self._summary("full", Step(), dry_run, t0, batches=0)
         if dry_run:
-            self.last_preview = metrics
+            total = _totals(_keys_with_stats(TR.with_group_key(self._checked(own))))
+            self.last_preview = TR.daily_metrics_full(Q.valid_orders(own) if self.cfg.quality == "quarantine" else own)
         else:
-            self._load(metrics, set(MT.stored_days(self.spark, self.cfg.metrics_path)), run_at, total)
-            self._quarantine(own, "full")
+            total = self._load(self._groups(own), None, False, run_at)
+            self._quarantine(None)
             if self.after_write:
                 self.after_write()
             self._save_mark(total.mark, total.rows, total.groups, run_at)
@@ -289,11 +313,7 @@ def _now() -> _dt.datetime:
 def _keys_with_stats(rows: DataFrame) -> DataFrame:
     """Distinct group keys of ``rows`` with their row count and last change
     (partial aggregation: a hot group costs one row per task)."""
-    return (
-        TR.with_group_key(rows)
-        .groupBy(*KEY_COLS)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.max("updated_at").alias("_max"))
-    )
+    return rows.groupBy(*KEY_COLS).agg(F.count(F.lit(1)).alias("_rows"), F.max("updated_at").alias("_max"))
 
 
 def _totals(keyed: DataFrame) -> Step:

@@ -88,14 +88,7 @@ class ChangeFeedJob:
         if days is None:
             MT.replace_days(metrics, self.metrics_path, run_at)
             return
-        metrics = metrics.persist()
-        try:
-            found = MT.days_of(metrics)
-            if found:
-                MT.replace_days(metrics, self.metrics_path, run_at)
-            MT.drop_days(self.spark, self.metrics_path, set(days) - found)
-        finally:
-            metrics.unpersist()
+        MT.replace_days(metrics, self.metrics_path, run_at, touched=days)
 
     def load_initial(self, orders: DataFrame, run_at: _dt.datetime | None = None) -> None:
         """Starting snapshot and its metrics (before the stream starts)."""

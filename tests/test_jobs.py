@@ -180,9 +180,83 @@ def test_an_order_that_turned_bad_leaves_its_group(orders_df, workdir, spark):
     assert len(got) == 1
     j.run_full(run_at=RUN)
     assert j.read_metrics().collect() == got
-    # the incremental passes wrote each reject once
-    rej = spark.read.parquet(f"{workdir}/rejects").where("pass <> 'full'").collect()
+    # each reject is there once, whatever runs saw it
+    j.run_backfill(dt.date(2024, 1, 15), dt.date(2024, 1, 17), run_at=RUN)
+    rej = spark.read.parquet(f"{workdir}/rejects").collect()
     assert sorted(r.order_id for r in rej) == ["b", "c"]
+    # a row that is good again is no reject any more; its group is back
+    j = MetricsJob(spark, orders_df([a, b[:7] + (T(2024, 1, 21),), turned[1]]), c)
+    j.run_incremental(run_at=RUN)
+    assert one(j)[0] == 2
+    assert [r.order_id for r in spark.read.parquet(f"{workdir}/rejects").collect()] == ["c"]
+
+
+@pytest.mark.parametrize("step", ["written", "committed", "rejects", "state"])
+def test_a_crash_after_any_step_is_repaired_by_the_next_run(orders_df, workdir, spark, step):
+    """Other groups of a touched day are carried over whatever dies when."""
+    day = T(2024, 1, 15, 9)
+    rows = [order(order_id=f"{i}", restaurant_id=f"r{i}", status="completed", amount="1.00", created_at=day) for i in range(5)]
+    c = cfg(workdir, quality="quarantine", quarantine_path=f"{workdir}/rejects")
+    MetricsJob(spark, orders_df(rows), c).run_incremental(run_at=RUN)
+    later = [rows[0][:4] + (Decimal("7.00"),) + rows[0][5:7] + (T(2024, 1, 20),), rows[1][:4] + (Decimal("-1"),) + rows[1][5:7] + (T(2024, 1, 21),)]
+    j = MetricsJob(spark, orders_df(later + rows[2:]), c)
+
+    def die(at="state"):
+        if at == step:
+            raise RuntimeError("lost")
+
+    j.after, j.after_write = die, die
+    before = j.read_metrics().collect()
+    with pytest.raises(RuntimeError):
+        j.run_incremental(run_at=T(2024, 6, 2))
+    if step == "written":  # not committed: nobody sees it
+        assert sorted(j.read_metrics().collect()) == sorted(before)
+    assert j.watermark() == day
+    j.after, j.after_write = lambda at: None, None
+    s = j.run_incremental(run_at=T(2024, 6, 3))
+    assert s["total_rows"] == 2 and s["total_groups"] == 2
+    got = {r.restaurant_id: (r.gross_revenue, r.last_updated_at) for r in j.read_metrics(stamped=True).collect()}
+    assert got == {"r0": (Decimal("7.00"), T(2024, 6, 3)), **{f"r{i}": (Decimal("1.00"), RUN) for i in (2, 3, 4)}}
+    assert [r.order_id for r in spark.read.parquet(f"{workdir}/rejects").collect()] == ["1"]
+
+
+def test_only_touched_groups_are_recomputed(orders_df, workdir, spark):
+    """A group that no change touches keeps what the table says, even if its orders say otherwise now."""
+    a, b = (order(order_id=i, restaurant_id=i, status="completed", amount="1.00") for i in "ab")
+    c = cfg(workdir)
+    MetricsJob(spark, orders_df([a, b]), c).run_incremental(run_at=RUN)
+    a2 = a[:4] + (Decimal("2.00"),) + a[5:7] + (T(2024, 1, 20),)
+    silent = b[:4] + (Decimal("9.00"),) + b[5:]
+    j = MetricsJob(spark, orders_df([a2, silent]), c)
+    s = j.run_incremental(run_at=T(2024, 6, 2))
+    assert (s["total_rows"], s["total_groups"], s["total_upserts"]) == (1, 1, 1)
+    got = {r.restaurant_id: (r.gross_revenue, r.last_updated_at) for r in j.read_metrics(stamped=True).collect()}
+    assert got == {"a": (Decimal("2.00"), T(2024, 6, 2)), "b": (Decimal("1.00"), RUN)}
+
+
+def test_versions_of_a_day_do_not_pile_up(orders_df, workdir, spark):
+    import glob
+
+    a = order(order_id="a", status="completed", amount="1.00")
+    other = order(order_id="o", created_at=T(2024, 1, 10))
+    c = cfg(workdir)
+    for i in range(5):
+        MetricsJob(spark, orders_df([other, a[:7] + (T(2024, 1, 20 + i),)]), c).run_incremental(run_at=RUN)
+    assert len(glob.glob(f"{workdir}/metrics/date=2024-01-15/v=*")) == 2
+    assert len(glob.glob(f"{workdir}/metrics/date=2024-01-10/v=*")) == 1
+    assert len(glob.glob(f"{workdir}/metrics/_commits/[0-9]*")) == 1
+
+
+def test_a_table_of_plain_day_folders_is_taken_over(orders_df, workdir, spark):
+    from dailytally.functions.columns import ts_ntz
+
+    a, b = order(order_id="a", restaurant_id="a"), order(order_id="b", restaurant_id="b", created_at=T(2024, 1, 10))
+    old = daily_metrics_full(orders_df([a, b])).withColumn("last_updated_at", ts_ntz(RUN))
+    old.write.partitionBy("date").parquet(f"{workdir}/metrics")
+    j = MetricsJob(spark, orders_df([a, b]), cfg(workdir))
+    assert j.read_metrics().count() == 2
+    j.run_backfill(dt.date(2024, 1, 15), dt.date(2024, 1, 15), run_at=RUN)
+    same(j.read_metrics(), daily_metrics_full(orders_df([a, b])))
 
 
 def test_backfill_keeps_its_rejects_once(orders_df, workdir, spark):
