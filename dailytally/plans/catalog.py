@@ -22,7 +22,8 @@ from dailytally.operators import profile as P
 from dailytally.operators import quality as Q
 from dailytally.operators import state as S
 from dailytally.operators import transform as TR
-from dailytally.operators.ledger import batch_ledger, extract_page_bounded
+from dailytally.operators.ledger import batch_ledger, extract_page_bounded, number_changes
+from dailytally.operators.snapshot import snapshot_diff
 from dailytally.plans import scenarios as SC
 from dailytally.sources.orders import materialized_orders
 
@@ -86,6 +87,12 @@ def q_extract_batch_tie_safe(spark, sf_dir):
     return extract_page_bounded(o, EPOCH, SC.PAGE_SIZE, column="change_day").select(*ORDER_COLS)
 
 
+def q_extract_ordered(spark, sf_dir):
+    """L1: the changes after the mark with their place in (updated_at, order_id) order."""
+    rows = X.changed_since(_orders(spark, sf_dir), SC.SPLIT)
+    return number_changes(rows.select(*ORDER_COLS)).select(*ORDER_COLS, F.col("change_seq").cast("long").alias("change_seq"))
+
+
 def q_extract_backfill(spark, sf_dir):
     return _rows(X.extract_backfill(_orders(spark, sf_dir), SC.BACKFILL_START, SC.BACKFILL_END))
 
@@ -174,6 +181,19 @@ def q_metric_lookup(spark, sf_dir):
     return P.metric_lookup(TR.daily_metrics_full(_orders(spark, sf_dir)), *LOOKUP_KEY)
 
 
+def q_profile_from_sketches(spark, sf_dir):
+    """The profile of the backfilled days from the sketches that the job keeps: after run 2, no order is read."""
+    job = _job_after_v1(spark, sf_dir, sketches=True)
+    job.run_incremental(run_at=SC.RUN_TS)
+    return job.profile(SC.BACKFILL_START, SC.BACKFILL_END).unionAll(job.profile())
+
+
+def q_snapshot_diff(spark, sf_dir):
+    """What became of v1 by v2, of which some orders are gone: found without a change stamp."""
+    v2 = _orders(spark, sf_dir)
+    return snapshot_diff(SC.snapshot_v1(v2), SC.with_deletes(v2))
+
+
 def q_orders_profile(spark, sf_dir):
     return P.orders_profile(_orders(spark, sf_dir))
 
@@ -269,14 +289,15 @@ def q_run_summary(spark, sf_dir):
     return spark.createDataFrame([tuple(s.values())], ", ".join(f"{k} {kinds[type(v)]}" for k, v in s.items()))
 
 
-def _job_after_v1(spark, sf_dir, change=lambda v2: v2, **config):
+def _job_after_v1(spark, sf_dir, change=lambda v2: v2, sketches=False, **config):
     """The real job, already run on v1; its source is now v2 (as ``change``
     leaves it). Tables and state log are in the shared work folder."""
     from dailytally.plans.jobs import JobConfig, MetricsJob
     from dailytally.session import work_path
 
     root = work_path(spark, "job")
-    cfg = JobConfig(metrics_path=f"{root}/metrics", state_path=f"{root}/state", quarantine_path=f"{root}/rejects", **config)
+    cfg = JobConfig(metrics_path=f"{root}/metrics", state_path=f"{root}/state", quarantine_path=f"{root}/rejects",
+                    sketch_path=f"{root}/sketches" if sketches else None, **config)
     v2 = _orders(spark, sf_dir)
     MetricsJob(spark, SC.snapshot_v1(v2), cfg).run_incremental(run_at=SC.RUN_TS)
     return MetricsJob(spark, change(v2), cfg)
@@ -288,6 +309,25 @@ def q_job_two_runs(spark, sf_dir):
     return job.read_metrics(stamped=True)
 
 
+def q_job_crash_replay(spark, sf_dir):
+    """The second run dies after its write and before its mark is saved; the next one repeats it."""
+    job = _job_after_v1(spark, sf_dir)
+
+    class Died(Exception):
+        pass
+
+    def die():
+        raise Died
+
+    job.after_write = die
+    try:
+        job.run_incremental(run_at=SC.RUN_TS)
+    except Died:
+        job.after_write = None
+    job.run_incremental(run_at=SC.RUN_TS)
+    return job.read_metrics()
+
+
 def q_job_two_runs_paged(spark, sf_dir):
     """The second run in about five pages, whatever the size of the table."""
     size = SC.changes_after(_orders(spark, sf_dir)).count() // 5 + 1
@@ -384,6 +424,13 @@ def q_stream_foreachbatch(spark, sf_dir):
     return replay_two_snapshots(spark, _orders(spark, sf_dir), feed=SC.dirty_feed)
 
 
+def q_stream_compacted(spark, sf_dir):
+    """The same in small epochs, with every day's versions compacted after each few."""
+    from dailytally.streaming.changefeed import replay_two_snapshots
+
+    return replay_two_snapshots(spark, _orders(spark, sf_dir), feed=SC.dirty_feed, compact_epochs=2)
+
+
 QUERIES: dict[str, Query] = {
     "scan_orders": q_scan_orders,
     "extract_incremental": q_extract_incremental,
@@ -433,4 +480,9 @@ QUERIES: dict[str, Query] = {
     "ceil_millis": q_ceil_millis,
     "orders_profile": q_orders_profile,
     "stream_foreachbatch": q_stream_foreachbatch,
+    "stream_compacted": q_stream_compacted,
+    "extract_ordered": q_extract_ordered,
+    "snapshot_diff": q_snapshot_diff,
+    "profile_from_sketches": q_profile_from_sketches,
+    "job_crash_replay": q_job_crash_replay,
 }

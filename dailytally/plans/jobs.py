@@ -38,6 +38,7 @@ from dailytally.config import DEFAULT_PIPELINE_ID, EPOCH, KEY_COLS, METRIC_VALUE
 from dailytally.functions.columns import ts_ntz
 from dailytally.operators import extract as X
 from dailytally.operators import quality as Q
+from dailytally.operators import sketches as SK
 from dailytally.operators import state as S
 from dailytally.operators import transform as TR
 from dailytally.operators.ledger import page_bounds
@@ -54,6 +55,7 @@ class JobConfig:
     pipeline_id: str = DEFAULT_PIPELINE_ID
     quality: str = "strict"  # or "quarantine"
     quarantine_path: str | None = None
+    sketch_path: str | None = None  # where given, a profile sketch per day is kept there
     lookback: _dt.timedelta | None = None
     batch_size: int | None = None  # None: all changes in one pass
     count_upserts: bool = True
@@ -131,6 +133,16 @@ class MetricsJob:
             RT.replace_rejects(rows, self.cfg.quarantine_path, days)
             self.after("rejects")
 
+    def _sketch(self, days: set[_dt.date] | None) -> None:
+        """The profile sketches of the days (None: of all), from all of their orders."""
+        if self.cfg.sketch_path:
+            SK.replace_sketches(self._all_orders().where(F.col("created_at").isNotNull()), self.cfg.sketch_path, days)
+            self.after("sketches")
+
+    def profile(self, first: _dt.date | None = None, last: _dt.date | None = None) -> DataFrame:
+        """A8 of some days from the stored sketches; no order is read."""
+        return SK.profile_of(SK.read_sketches(self.spark, self.cfg.sketch_path), first, last)
+
     def read_metrics(self, stamped: bool = False) -> DataFrame:
         return MT.read_metrics(self.spark, self.cfg.metrics_path, stamped)
 
@@ -140,11 +152,22 @@ class MetricsJob:
     def watermark(self) -> _dt.datetime:
         return S.get_watermark(self.read_state(), self.cfg.pipeline_id)
 
+    def _open(self) -> None:
+        """Notes the last save of this id, which the next one must follow."""
+        self._seq = SL.last_seq(self.spark, self.cfg.state_path, self.cfg.pipeline_id)
+
+    def _append(self, rows: DataFrame) -> None:
+        """Saves state rows as the next save of this id; fails if another run has saved since ``_open``."""
+        SL.claim_seq(self.spark, self.cfg.state_path, self.cfg.pipeline_id, self._seq + 1)
+        self._seq += 1
+        SL.append_state(rows, self.cfg.state_path, self._seq)
+
     def reset_mark(self, run_at: _dt.datetime | None = None) -> None:
         """The stored mark back to the epoch; counters are kept."""
         ids = self.spark.range(1).select(F.lit(self.cfg.pipeline_id).alias("pipeline_id"))
         rows = S.reset_state(self.read_state(), ids, run_at or _now()).where(F.col("pipeline_id") == self.cfg.pipeline_id)
-        SL.append_state(rows, self.cfg.state_path, SL.next_seq(self.spark, self.cfg.state_path))
+        self._open()
+        self._append(rows)
 
     # --- steps --------------------------------------------------------------
 
@@ -152,23 +175,28 @@ class MetricsJob:
         """Writes a recompute: a row per touched group, its metrics (null or zero orders: the group is
         gone), and ``_rows`` and ``_max`` of the rows behind it. ``days``: those that it replaces (None: all);
         with ``carry`` their other groups stay. One Spark job writes, checks and counts."""
-        path, values = self.cfg.metrics_path, [c for c in METRIC_VALUE_COLS]
-        old = MT.read_metrics(self.spark, path, stamped=True, days=days).select(
-            *KEY_COLS, F.struct(*values).alias("_old"), F.col("last_updated_at").alias("_stamp"))
+        path, values = self.cfg.metrics_path, list(METRIC_VALUE_COLS)
+        version = MT.begin(self.spark, path)
+        # One exchange, by day: groups meet their stored row in the task that writes their day.
+        none = {"_rows": F.lit(None).cast("long"), "_max": F.lit(None).cast("timestamp_ntz")}
         new = rows.select(*KEY_COLS, F.struct(*values).alias("_new"), "_rows", "_max", F.lit(True).alias("_touched"))
-        # Metrics that aren't carried over are needed for the count of changed ones only.
-        how = "full_outer" if carry else "left" if self.cfg.count_upserts else None
-        both = new.join(old, list(KEY_COLS), how) if how else new.withColumns({"_old": F.lit(None), "_stamp": F.lit(None)})
-        touched = F.coalesce("_touched", F.lit(False))
-        kept = touched & (F.coalesce(F.col("_new.total_orders"), F.lit(0)) > 0)
-        table = both.select(
-            *KEY_COLS, "_rows", "_max", touched.alias("_touched"), (kept | ~touched).alias("_keep"),
-            *[F.when(touched, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}") if how else None).alias(c) for c in values],
-            F.when(touched, ts_ntz(run_at)).otherwise(F.col("_stamp")).alias("last_updated_at"),
-            (kept & (~F.col("_new").eqNullSafe(F.col("_old")) if how else F.lit(True))).alias("_changed"),
+        both = new.withColumns({"_old": F.lit(None).cast(new.schema["_new"].dataType), "_stamp": none["_max"]})
+        if carry or self.cfg.count_upserts:  # else what is replaced need not be read
+            old = MT.read_metrics(self.spark, path, stamped=True, days=days).select(
+                *KEY_COLS, F.lit(None).cast(new.schema["_new"].dataType).alias("_new"), *[c.alias(n) for n, c in none.items()],
+                F.lit(False).alias("_touched"), F.struct(*values).alias("_old"), F.col("last_updated_at").alias("_stamp"))
+            both = both.unionByName(old)
+        met = MT.by_day(both).groupBy(*KEY_COLS).agg(
+            F.bool_or("_touched").alias("_touched"), F.sum("_rows").alias("_rows"), F.max("_max").alias("_max"),
+            F.first("_new", ignorenulls=True).alias("_new"), F.first("_old", ignorenulls=True).alias("_old"), F.max("_stamp").alias("_stamp"))
+        kept = F.col("_touched") & (F.coalesce(F.col("_new.total_orders"), F.lit(0)) > 0)
+        table = met.select(
+            *KEY_COLS, "_rows", "_max", "_touched", (kept | (~F.col("_touched") & F.lit(carry))).alias("_keep"),
+            *[F.when(F.col("_touched"), F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c) for c in values],
+            F.when(F.col("_touched"), ts_ntz(run_at)).otherwise(F.col("_stamp")).alias("last_updated_at"),
+            (kept & ~F.col("_new").eqNullSafe(F.col("_old"))).alias("_changed"),
         )
         seen, own = Observation(), F.col("_touched") & F.col("_keep")
-        version = MT.begin(self.spark, path)
         MT.write_version(table, path, version, seen, [
             F.count_if("_touched").alias("groups"), F.sum("_rows").alias("rows"), F.max("_max").alias("mark"),
             F.count_if(own & Q.contract_violations()).alias("invalid"), F.count_if(own & ~Q.consistency_flag()).alias("inconsistent"),
@@ -188,7 +216,7 @@ class MetricsJob:
 
     def _save_mark(self, mark: _dt.datetime, rows: int, groups: int, run_at: _dt.datetime) -> None:
         row = S.save_row(self.spark, self.cfg.pipeline_id, mark, run_at, rows, groups)
-        SL.append_state(row, self.cfg.state_path, SL.next_seq(self.spark, self.cfg.state_path))
+        self._append(row)
 
     def _changed_keys(self, changed: DataFrame) -> DataFrame:
         """Key and change time of the changed rows; in strict mode a bad one fails whoever reads it."""
@@ -211,6 +239,7 @@ class MetricsJob:
             metrics = TR.recompute_known(self.orders(), keyed.select(*KEY_COLS), r.n, r.first, r.last)
             out = self._load(keyed.join(metrics, list(KEY_COLS), "left"), days, True, run_at)
             self._quarantine(days | {None} if r.dayless else days)
+            self._sketch(days)
             return out
         finally:
             keyed.unpersist()
@@ -236,7 +265,9 @@ class MetricsJob:
     # --- runs ---------------------------------------------------------------
 
     def run_incremental(self, dry_run: bool = False, run_at: _dt.datetime | None = None) -> dict:
-        t0, run_at, start = time.time(), run_at or _now(), self.watermark()
+        t0, run_at = time.time(), run_at or _now()
+        self._open()
+        start = self.watermark()
         changed = self._changed_keys(X.changed_since(self._change_rows(), start, self.cfg.lookback))
         total, batches, mark, bounds = Step(), 0, start, [None]
         if self.cfg.batch_size:
@@ -279,6 +310,7 @@ class MetricsJob:
             days = {start + _dt.timedelta(days=i) for i in range((end - start).days + 1)}
             total = self._load(self._groups(own), days, False, run_at)
             self._quarantine(days)
+            self._sketch(days)
         return self._summary("backfill", total, dry_run, t0, start_date=start.isoformat(), end_date=end.isoformat())
 
     def run_full(self, dry_run: bool = False, run_at: _dt.datetime | None = None) -> dict:
@@ -291,6 +323,7 @@ class MetricsJob:
         the source). A dry run previews from the epoch, touching nothing.
         """
         t0, run_at = time.time(), run_at or _now()
+        self._open()
         own = X.changed_since(self._all_orders(), EPOCH)
         if not own.take(1):
             return self._summary("full", Step(), dry_run, t0, batches=0)
@@ -300,6 +333,7 @@ class MetricsJob:
         else:
             total = self._load(self._groups(own), None, False, run_at)
             self._quarantine(None)
+            self._sketch(None)
             if self.after_write:
                 self.after_write()
             self._save_mark(total.mark, total.rows, total.groups, run_at)

@@ -237,6 +237,18 @@ FROM (SELECT restaurant_id, date, country, sum(CASE WHEN day(date) = 7 THEN 2 EL
       FROM merged GROUP BY restaurant_id, date, country) AS per_key""",
     "metric_lookup": with_(RORDERS, f"m AS ({metrics_of('rorders')})")
     + "SELECT * FROM m WHERE restaurant_id = 'rest_0001' AND date = DATE '2024-01-15' AND country = 'IN'",
+    "extract_ordered": BASE
+    + f"SELECT {COLS}, row_number() OVER (ORDER BY updated_at, order_id) - 1 AS change_seq FROM rorders WHERE updated_at > {SPLIT}",
+    "job_crash_replay": BASE + metrics_of("rorders"),
+    "stream_compacted": BASE + metrics_of("rorders", f"NOT (CAST(order_id AS BIGINT) % 17 = 0 AND updated_at > {SPLIT})"),
+    "snapshot_diff": with_(RORDERS, V1, f"""v2 AS (SELECT {COLS} FROM rorders WHERE CAST(order_id AS BIGINT) % 97 <> 0)""")
+    + f"""SELECT CASE WHEN order_id IN (SELECT order_id FROM v1) THEN 'changed' ELSE 'inserted' END AS change, {COLS}
+          FROM (SELECT {COLS} FROM v2 EXCEPT SELECT {COLS} FROM v1)
+          UNION ALL SELECT 'deleted' AS change, {COLS} FROM v1 WHERE order_id NOT IN (SELECT order_id FROM v2)""",
+    "profile_from_sketches": BASE
+    + """SELECT count(*) AS total_orders, count(DISTINCT restaurant_id) AS restaurants, min(created_at) AS min_created_at, max(created_at) AS max_created_at
+         FROM rorders WHERE created_at >= DATE '2024-01-10' AND created_at < DATE '2024-01-18'
+         UNION ALL SELECT count(*), count(DISTINCT restaurant_id), min(created_at), max(created_at) FROM rorders""",
     "orders_profile": BASE
     + """SELECT count(*) AS total_orders, count(DISTINCT restaurant_id) AS restaurants,
        min(created_at) AS min_created_at, max(created_at) AS max_created_at FROM rorders""",

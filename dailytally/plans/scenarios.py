@@ -76,6 +76,11 @@ def with_defects(orders: DataFrame) -> DataFrame:
     )
 
 
+def with_deletes(orders: DataFrame) -> DataFrame:
+    """Every 97th order is gone."""
+    return orders.where(F.col("order_id").cast("long") % 97 != 0)
+
+
 def with_late_defects(orders: DataFrame, split: _dt.datetime = SPLIT) -> DataFrame:
     """Late changes of even orders turn the row bad (negative amount)."""
     t = ts_ntz(split)

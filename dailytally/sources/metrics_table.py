@@ -16,7 +16,6 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +27,10 @@ STORED_COLS = [f.name for f in STORED_METRICS.fields]
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:  # noqa: ANN001
-    """A Parquet table, empty while its path does not exist; any other fault is raised."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """A Parquet table, empty while its path does not exist; any fault is raised."""
+    if not _names(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _files(spark: SparkSession, path: str):  # noqa: ANN202
@@ -96,7 +92,8 @@ def read_metrics(spark: SparkSession, path: str, stamped: bool = False, days: It
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _layout(metrics: DataFrame) -> DataFrame:
+def by_day(metrics: DataFrame) -> DataFrame:
+    """Rows dealt as they are written: a grouping by day and more needs no other exchange."""
     # One task, hence one file, per day. Safe from skew: a day holds at most
     # one metric row per (restaurant, country), a bound set by the dimension
     # sizes, not by the order volume. The partition count is explicit, so
@@ -118,14 +115,12 @@ def begin(spark: SparkSession, path: str) -> int:
 
 
 def write_version(rows: DataFrame, path: str, version: int, observed: Observation | None = None, metrics: Sequence[Column] = ()) -> None:
-    """Writes rows (columns of ``STORED_METRICS``, and ``_keep``: whether to write it) as a version, uncommitted.
+    """Writes rows dealt ``by_day`` (columns of ``STORED_METRICS``, and ``_keep``: whether to write it) as a version, uncommitted.
 
-    The metrics are observed in the stage that writes, behind its only shuffle, so each row
+    The metrics are observed in the stage that writes, behind the last shuffle, so each row
     counts once even if an executor is lost.
     """
-    laid = _layout(rows)
-    if observed is not None:
-        laid = laid.observe(observed, *metrics)
+    laid = rows if observed is None else rows.observe(observed, *metrics)
     (
         laid.where("_keep").select(*STORED_COLS, F.lit(version).cast("long").alias("v"))
         .sortWithinPartitions("date", "v", "restaurant_id", "country")
@@ -160,7 +155,7 @@ def replace_days(metrics: DataFrame, path: str, run_at: _dt.datetime, touched: I
     """Replace the days present in ``metrics`` and drop those of ``touched`` that aren't (others stay)."""
     spark = metrics.sparkSession
     version = begin(spark, path)
-    write_version(metrics.withColumns({"last_updated_at": ts_ntz(run_at), "_keep": F.lit(True)}), path, version)
+    write_version(by_day(metrics).withColumns({"last_updated_at": ts_ntz(run_at), "_keep": F.lit(True)}), path, version)
     commit(spark, path, version, touched)
 
 
