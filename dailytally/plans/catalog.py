@@ -431,6 +431,13 @@ def q_stream_compacted(spark, sf_dir):
     return replay_two_snapshots(spark, _orders(spark, sf_dir), feed=SC.dirty_feed, compact_epochs=2)
 
 
+def q_stream_stateful(spark, sf_dir):
+    """The first snapshot and the changes as one feed, on a keyed state store."""
+    from dailytally.streaming.keyedstate import replay_by_state
+
+    return replay_by_state(spark, _orders(spark, sf_dir), feed=SC.dirty_feed)
+
+
 QUERIES: dict[str, Query] = {
     "scan_orders": q_scan_orders,
     "extract_incremental": q_extract_incremental,
@@ -481,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "orders_profile": q_orders_profile,
     "stream_foreachbatch": q_stream_foreachbatch,
     "stream_compacted": q_stream_compacted,
+    "stream_stateful": q_stream_stateful,
     "extract_ordered": q_extract_ordered,
     "snapshot_diff": q_snapshot_diff,
     "profile_from_sketches": q_profile_from_sketches,

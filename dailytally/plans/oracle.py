@@ -240,6 +240,7 @@ FROM (SELECT restaurant_id, date, country, sum(CASE WHEN day(date) = 7 THEN 2 EL
     "extract_ordered": BASE
     + f"SELECT {COLS}, row_number() OVER (ORDER BY updated_at, order_id) - 1 AS change_seq FROM rorders WHERE updated_at > {SPLIT}",
     "job_crash_replay": BASE + metrics_of("rorders"),
+    "stream_stateful": BASE + metrics_of("rorders", f"NOT (CAST(order_id AS BIGINT) % 17 = 0 AND updated_at > {SPLIT})"),
     "stream_compacted": BASE + metrics_of("rorders", f"NOT (CAST(order_id AS BIGINT) % 17 = 0 AND updated_at > {SPLIT})"),
     "snapshot_diff": with_(RORDERS, V1, f"""v2 AS (SELECT {COLS} FROM rorders WHERE CAST(order_id AS BIGINT) % 97 <> 0)""")
     + f"""SELECT CASE WHEN order_id IN (SELECT order_id FROM v1) THEN 'changed' ELSE 'inserted' END AS change, {COLS}
