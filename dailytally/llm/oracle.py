@@ -72,17 +72,17 @@ OP5 = rf"""
 WITH p AS (
   SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
          sha1(coalesce(html, '')) AS x FROM pages),
-r AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM p),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last, row_number() OVER (PARTITION BY html, page_id ORDER BY url) AS copy, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM p),
 k AS (SELECT *, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
-bits AS (SELECT *, list_transform(range(1, 9), lambda g: ('0x' || substr(x, (5 * (g - 1) + 1)::INT, 5))::BIGINT) AS v FROM k)
-SELECT page_id, payload_bytes,
+bits AS (SELECT *, list_transform(range(1, 9), lambda g: ('0x' || substr(x, (5 * (g - 1) + 1)::INT, 5))::BIGINT) AS v FROM k),
+o AS (SELECT page_id, payload_bytes,
        array_to_string(list_transform(v, lambda n: array_to_string(list_transform([15, 10, 5, 0], lambda s:
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((n >> s) & 31) + 1)::INT, 1)), '')), '') AS payload_digest,
-       CASE WHEN last IS NULL OR page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> last THEN last END AS refers_to,
+       CASE WHEN last IS NULL OR (page_id = last AND copy = 1) THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last OR copy > 1 OR page_id IS NULL THEN last END AS refers_to,
        CASE WHEN host = '' THEN '' ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || path END AS urlkey,
-       (1700000000 + coalesce(page_id, 0))::BIGINT AS captured
-FROM bits
+       (1700000000 + (coalesce(page_id, 0) % 2147483648 + 2147483648) % 2147483648)::BIGINT AS captured FROM bits)
+SELECT *, row_number() OVER (ORDER BY urlkey, captured, page_id NULLS FIRST) - 1 AS position FROM o
 """
 
 OP8 = rf"""

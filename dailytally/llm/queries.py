@@ -42,7 +42,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_pages(table(spark, sf_dir, "pages")).drop("place", "range")  # the order of rows
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,9 +15,12 @@ task and written; the runs are dealt by ranges of that key and each range merged
 by a loser tree, which gives globally ordered histories. A URL with very many
 captures spans several ranges, as time and page belong to the key.
 
-Null html: an empty payload. Null url: an empty target and key. Null page_id: an
-empty id, the earliest time; it is a response only if no equal payload has an id.
-Repeated rows: each has its record. Empty table: no rows.
+Null html: an empty payload. Null url: an empty target and key. Null page_id: the
+earliest time; it is a response only if no equal payload has an id. Repeated rows: each
+has its record, and a record id of its own; of those with the largest page_id and equal payloads
+the one of the least url is the response (of equal rows any one), the others revisit that id. Any
+page_id: dates come from its remainder by 2^31. Very long texts: like others. Extra columns are never
+read. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailytally.llm.common import stored
@@ -37,8 +40,9 @@ CRLF = "\r\n"
 END = CRLF + CRLF
 #: Payloads of at least so many bytes are revisited when equal.
 LEAST_BYTES = 0
-#: Captures are dated so many seconds after this time as their page_id says.
+#: Captures are dated so many seconds after this time as their page_id says, modulo SPAN.
 EPOCH = 1_700_000_000
+SPAN = 1 << 31
 HTTP = "HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + END
 #: The digits of base 32 as conv() and as RFC 4648 write them.
 CONV32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -66,26 +70,39 @@ def opening(run: str) -> str:
 
 
 def records(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, bytes, digest, response_id, is_response."""
+    """page_id, url, payload, bytes, digest, response_id, copy (tells rows of one page_id and payload apart), is_response."""
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     base = pages.select(
         F.col("page_id").cast("long").alias("page_id"), url.alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
     base = base.withColumns({"bytes": F.octet_length("payload").cast("long"), "equal": F.unhex(F.sha2("payload", 256)), "digest": base32_sha1(F.col("payload"))})
-    latest = base.filter(F.col("bytes") >= LEAST_BYTES).groupBy("equal").agg(F.max("page_id").alias("response_id"))
+    held = stored(base.groupBy("equal", "page_id").agg(F.count("*").alias("rows"), F.max("bytes").alias("size")), "warc-payloads")
+    latest = held.filter(F.col("size") >= LEAST_BYTES).groupBy("equal").agg(F.max("page_id").alias("response_id"))
+    again = held.filter("rows > 1 AND page_id IS NOT NULL").select("equal", "page_id")
+    # Rows without an id need a record id of their own, too.
+    none = F.when(F.col("page_id").isNull(), F.monotonically_increasing_id()).otherwise(0)
+    if again.take(1):
+        single = base.join(again, ["equal", "page_id"], "left_anti").withColumn("copy", none)
+        w = Window.partitionBy("equal", "page_id").orderBy("url")
+        several = base.join(again, ["equal", "page_id"], "left_semi").withColumn("copy", F.row_number().over(w).cast("long") - 1)
+        base = single.unionByName(several)
+    else:
+        base = base.withColumn("copy", none)
     out = base.join(latest, "equal", "left").drop("equal")
-    return out.withColumn("is_response", F.coalesce(F.col("page_id") == F.col("response_id"), F.col("response_id").isNull()))
+    first = (F.col("page_id") == F.col("response_id")) & (F.col("copy") == 0)
+    return out.withColumn("is_response", F.when(F.col("response_id").isNull(), True).otherwise(F.coalesce(first, F.lit(False))))
 
 
 def record_text(run: str) -> Column:
     """A record without its closing CRLF CRLF."""
     uri = F.regexp_replace("url", r"[\x00-\x20\x7F]", "_")
     block = F.concat(F.lit(HTTP), F.when(F.col("is_response"), F.col("payload")).otherwise(F.lit("")))
-    date = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    date = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(SPAN))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     refers = F.when(~F.col("is_response"), F.concat(
         F.lit(f"WARC-Refers-To: <urn:run:{run}:"), F.col("response_id").cast("string"), F.lit(">" + CRLF))).otherwise(F.lit(""))
     return F.concat(
-        F.lit(opening(run)), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">" + CRLF),
+        F.lit(opening(run)), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
+        F.when(F.col("copy") > 0, F.concat(F.lit("-copy-"), F.col("copy").cast("string"))).otherwise(F.lit("")), F.lit(">" + CRLF),
         F.lit("WARC-Type: "), F.when(F.col("is_response"), F.lit("response")).otherwise(F.lit("revisit")), F.lit(CRLF),
         F.lit("WARC-Date: "), date, F.lit(CRLF + "WARC-Target-URI: "), uri,
         F.lit(CRLF + "WARC-Payload-Digest: sha1:"), F.col("digest"), F.lit(CRLF + "X-Payload-Length: "), F.col("bytes").cast("string"),
@@ -110,7 +127,7 @@ def read_archives(spark, path: str, run: str) -> DataFrame:  # noqa: ANN001
         return F.regexp_extract("head", f"\r\n{name}: {pattern}", 1)
 
     parsed = split.select(
-        F.expr("try_cast(substring_index(head, '>', 1) AS long)").alias("page_id"),
+        F.expr("try_cast(substring_index(substring_index(head, '>', 1), '-copy-', 1) AS long)").alias("page_id"),
         field("WARC-Type").alias("record_type"), field("WARC-Date").alias("date"), field("WARC-Target-URI").alias("url"),
         field("WARC-Payload-Digest", "sha1:([^\r]*)").alias("payload_digest"), field("X-Payload-Length").cast("long").alias("payload_bytes"),
         F.expr("try_cast(substring_index(substring_index(regexp_extract(head, '\r\nWARC-Refers-To: <([^>]*)>', 1), ':', -1), '>', 1) AS long)").alias("refers_to"),
@@ -162,34 +179,41 @@ class LoserTree:
             self.best = run
 
 
-def _merge(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One range of the key: its part of every run, merged."""
-    got = list(it)
+    got = list(batches)
     if not got:
         return
-    rows = pd.concat(got, ignore_index=True)
-    keys = list(zip(rows["urlkey"], rows["captured"], rows["page_id"].fillna(-(2**62)).astype("int64"), range(len(rows)), strict=True))
+    rows = pa.Table.from_batches(got).combine_chunks()
+    ids = rows.column("page_id").to_pylist()
+    keys = list(zip(rows.column("urlkey").to_pylist(), rows.column("captured").to_pylist(),
+                    [i is not None for i in ids], [i or 0 for i in ids], range(len(ids)), strict=True))
     own: dict[str, list] = {}
-    for run, key in zip(rows["run"], keys, strict=True):
+    for run, key in zip(rows.column("run").to_pylist(), keys, strict=True):
         own.setdefault(run, []).append(key)
     for run in own.values():
         run.sort()  # in order already, unless a fetch was split
-    order = [key[3] for key in LoserTree([own[k] for k in sorted(own)])]
-    yield rows.drop(columns="run").iloc[order].assign(place=range(len(order)))
+    order = [key[4] for key in LoserTree([own[k] for k in sorted(own)])]
+    merged = rows.drop_columns(["run"]).take(order).append_column("place", pa.array(range(len(order)), pa.int64()))
+    yield from merged.combine_chunks().to_batches()
 
 
 def merged_index(index: DataFrame) -> DataFrame:
-    """The index rows in global order: range and place are the order's columns."""
+    """The index rows with ``position``, their place in global order (from 0)."""
     runs = stored(
         index.withColumn("run", F.spark_partition_id().cast("string")).sortWithinPartitions("urlkey", "captured", "page_id"), "runs")
     ranges = max(1, -(-runs.count() // RANGE_ROWS))
     dealt = runs.repartitionByRange(ranges, "urlkey", "captured", "page_id")
-    merged = dealt.mapInPandas(_merge, dealt.drop("run").schema.add("place", "long"))
-    return merged.withColumn("range", F.spark_partition_id())
+    merged = dealt.mapInArrow(_merge, dealt.drop("run").schema.add("place", "long"))
+    merged = stored(merged.withColumn("range", F.spark_partition_id()), "merged")
+    sizes = merged.groupBy("range").agg(F.count("*").alias("rows"))  # a row for each RANGE_ROWS rows
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(F.col("range").alias("of"), before.cast("long").alias("start"))
+    return merged.join(starts, F.col("range") == F.col("of")).withColumn("position", F.col("start") + F.col("place")).drop("range", "place", "of", "start")
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
-    """Writes, reads back, indexes: one row per page in the order of the merged index."""
+    """Writes, reads back, indexes: one row per page with its position in the merged index."""
     path = work_path(pages.sparkSession, "llm", "warc")
     run = write_archives(pages, path)
     read = read_archives(pages.sparkSession, path, run)

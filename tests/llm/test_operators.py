@@ -254,11 +254,31 @@ def test_warc(spark):
             last[h] = i
     want = [(i, len(h.encode()), brute.digest(h), *(("response", None) if last[h] is None or i == last[h] else ("revisit", last[h]))) for i, h in rows]
     same([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got], want)
-    order = [(r.urlkey, r.captured, -1 if r.page_id is None else r.page_id) for r in sorted(got, key=lambda r: (r.range, r.place))]
+    order = [(r.urlkey, r.captured, -1 if r.page_id is None else r.page_id) for r in sorted(got, key=lambda r: r.position)]
     assert order == sorted(order)
     assert warc.archive_pages(pages.filter("false")).count() == 0
 
 
+def test_warc_of_any_ids_and_repeated_rows(spark, tmp_path):
+    """Ids over the whole range of a long, negative ones, repeated rows and ties of payload."""
+    own = [(2**60, "http://a/b", "x"), (2**63 - 1, "http://a/b", "x"), (-(2**63), "http://a/b", "x"), (-5, "http://c/", "y"),
+           (7, "http://b/", "tie"), (7, "http://a/", "tie"), (7, "http://c/", "else"), (9, "http://r/", "twice"), (9, "http://r/", "twice"),
+           (None, "http://n/", "none"), (None, "http://n/", "none"), (None, "http://n/", "x"), (2**53 + 1, "http://z/", "odd")]
+    pages = spark.createDataFrame(own, "page_id long, url string, html string").withColumn("position", F.lit("clash")).repartition(3)
+    got = warc.archive_pages(pages).collect()
+    kind = Counter((r.page_id, r.record_type, r.refers_to) for r in got)
+    assert kind == Counter([(2**60, "revisit", 2**63 - 1), (2**63 - 1, "response", None), (-(2**63), "revisit", 2**63 - 1), (-5, "response", None),
+                            (7, "response", None), (7, "revisit", 7), (7, "response", None), (9, "response", None), (9, "revisit", 9),
+                            (None, "response", None), (None, "response", None), (None, "revisit", 2**63 - 1), (2**53 + 1, "response", None)])
+    assert sorted(r.position for r in got) == list(range(len(own)))
+    order = [(r.urlkey, r.captured, r.page_id is not None, r.page_id or 0) for r in sorted(got, key=lambda r: r.position)]
+    assert order == sorted(order)
+    run = warc.write_archives(pages, str(tmp_path / "w"))
+    heads = spark.read.option("lineSep", warc.opening(run)).text(str(tmp_path / "w")).filter("value <> ''").selectExpr("substring_index(value, '>', 1) AS id")
+    assert heads.distinct().count() == len(own)  # record ids are unique
+    assert warc.read_archives(spark, str(tmp_path / "w"), run).filter("url = 'http://a/' and payload = 'tie'").count() == 1
+
+
 def test_archives_hold_what_was_written(spark, tmp_path):
     pages = table(spark, SF, "pages")
     run = warc.write_archives(pages, str(tmp_path / "w"))
