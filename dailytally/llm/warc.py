@@ -17,7 +17,7 @@ captures spans several ranges, as time and page belong to the key.
 
 Null html: an empty payload. Null url: an empty target and key. Null page_id: the
 earliest time; it is a response only if no equal payload has an id. Repeated rows: each
-has its record, and a record id of its own; of those with the largest page_id and equal payloads
+has its record, and a record id of its own (page_id, payload digest, number of the copy); of those with the largest page_id and equal payloads
 the one of the least url is the response (of equal rows any one), the others revisit that id. Any
 page_id: dates come from its remainder by 2^31. Very long texts: like others. Extra columns are never
 read. Empty table: no rows.
@@ -99,9 +99,9 @@ def record_text(run: str) -> Column:
     block = F.concat(F.lit(HTTP), F.when(F.col("is_response"), F.col("payload")).otherwise(F.lit("")))
     date = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(SPAN))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     refers = F.when(~F.col("is_response"), F.concat(
-        F.lit(f"WARC-Refers-To: <urn:run:{run}:"), F.col("response_id").cast("string"), F.lit(">" + CRLF))).otherwise(F.lit(""))
+        F.lit(f"WARC-Refers-To: <urn:run:{run}:"), F.col("response_id").cast("string"), F.lit("-"), F.col("digest"), F.lit(">" + CRLF))).otherwise(F.lit(""))
     return F.concat(
-        F.lit(opening(run)), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
+        F.lit(opening(run)), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("-"), F.col("digest"),
         F.when(F.col("copy") > 0, F.concat(F.lit("-copy-"), F.col("copy").cast("string"))).otherwise(F.lit("")), F.lit(">" + CRLF),
         F.lit("WARC-Type: "), F.when(F.col("is_response"), F.lit("response")).otherwise(F.lit("revisit")), F.lit(CRLF),
         F.lit("WARC-Date: "), date, F.lit(CRLF + "WARC-Target-URI: "), uri,
@@ -127,10 +127,10 @@ def read_archives(spark, path: str, run: str) -> DataFrame:  # noqa: ANN001
         return F.regexp_extract("head", f"\r\n{name}: {pattern}", 1)
 
     parsed = split.select(
-        F.expr("try_cast(substring_index(substring_index(head, '>', 1), '-copy-', 1) AS long)").alias("page_id"),
+        F.expr("try_cast(regexp_extract(head, '^(-?[0-9]*)-', 1) AS long)").alias("page_id"),
         field("WARC-Type").alias("record_type"), field("WARC-Date").alias("date"), field("WARC-Target-URI").alias("url"),
         field("WARC-Payload-Digest", "sha1:([^\r]*)").alias("payload_digest"), field("X-Payload-Length").cast("long").alias("payload_bytes"),
-        F.expr("try_cast(substring_index(substring_index(regexp_extract(head, '\r\nWARC-Refers-To: <([^>]*)>', 1), ':', -1), '>', 1) AS long)").alias("refers_to"),
+        F.expr("try_cast(regexp_extract(head, '\r\nWARC-Refers-To: <[^>]*:(-?[0-9]+)-', 1) AS long)").alias("refers_to"),
         field("Content-Length").cast("long").alias("length"),
         F.expr("substring(block, 1, length(block) - 4)").alias("block"),
     )
