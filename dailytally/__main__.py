@@ -24,6 +24,7 @@ from dailytally.config import DEFAULT_PIPELINE_ID
 from dailytally.plans.jobs import JobConfig, MetricsJob
 from dailytally.session import SESSION_CONF
 from dailytally.sources.orders import read_orders, read_orders_by_day
+from dailytally.sources.raw_orders import TEXT_FORMATS, read_raw_orders
 
 
 def _date(s: str) -> dt.date:
@@ -35,7 +36,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--orders", required=True, help="orders table path (contract schema)")
     p.add_argument("--orders-layout", choices=["plain", "day"], default="plain",
                    help="day: Parquet partitioned by order_date, of which only touched days are read")
-    p.add_argument("--orders-format", default="parquet", help="file format of a plain table")
+    p.add_argument("--orders-format", default="parquet", help="file format of a plain table; json and csv are parsed line by line, malformed lines are rejects")
     p.add_argument("--changes", help="change feed path (Parquet): where changed rows are looked up")
     p.add_argument("--metrics", required=True, help="daily_metrics table path")
     p.add_argument("--state", required=True, help="state log path")
@@ -70,6 +71,8 @@ def build_job(spark: SparkSession, args: argparse.Namespace) -> MetricsJob:
     )
     if args.orders_layout == "day":
         source = lambda: read_orders_by_day(spark, args.orders)
+    elif args.orders_format in TEXT_FORMATS:
+        source = lambda: read_raw_orders(spark, args.orders, args.orders_format)
     else:
         source = lambda: read_orders(spark, args.orders, args.orders_format)
     changes = (lambda: read_orders(spark, args.changes)) if args.changes else None

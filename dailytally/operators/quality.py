@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from dailytally.config import COUNTRY_CODE_LENGTH, DATE_TEXT_PATTERN, ORDER_COLS, STATUSES
 
+#: Column of text sources: the line, where it could not be parsed whole.
+RAW_COL = "raw_line"
+
 
 def normalize_orders(orders: DataFrame) -> DataFrame:
     """Upper-case country (before keys are built on *both* sides)."""
@@ -37,13 +40,20 @@ def reject_reason(prefix: str = "") -> Column:
     )
 
 
+def row_reason(orders: DataFrame) -> Column:
+    """``reject_reason`` for the rows of ``orders``: those of a text source may be ``unparsed``."""
+    if RAW_COL not in orders.columns:
+        return reject_reason()
+    return F.when(F.col(RAW_COL).isNotNull(), F.lit("unparsed")).otherwise(reject_reason())
+
+
 def with_reject_reason(orders: DataFrame) -> DataFrame:
-    return orders.withColumn("reject_reason", reject_reason())
+    return orders.withColumn("reject_reason", row_reason(orders))
 
 
 def valid_orders(orders: DataFrame) -> DataFrame:
     """Rows passing every rule."""
-    return orders.where(reject_reason().isNull())
+    return orders.where(row_reason(orders).isNull())
 
 
 def rejected_orders(orders: DataFrame) -> DataFrame:
@@ -53,10 +63,9 @@ def rejected_orders(orders: DataFrame) -> DataFrame:
 
 def enforce_strict(orders: DataFrame) -> DataFrame:
     """F6 strict mode: pass rows through, fail the job on a bad one."""
-    reason = reject_reason()
-    guard = F.when(reason.isNull(), F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("invalid order "), F.col("order_id").cast("string"), F.lit(": "), reason))
-    )
+    reason = row_reason(orders)
+    name = F.coalesce(F.col("order_id").cast("string"), *([F.col(RAW_COL)] if RAW_COL in orders.columns else []), F.lit("without id"))
+    guard = F.when(reason.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("invalid order "), name, F.lit(": "), reason)))
     return orders.where(guard)
 
 

@@ -364,6 +364,32 @@ def q_quarantine_rejects(spark, sf_dir):
     return spark.read.parquet(job.cfg.quarantine_path).select(*ORDER_COLS, "reject_reason")
 
 
+def _job_on_text(spark, sf_dir):
+    """The job in quarantine mode on JSON lines, of which some are malformed: run on v1, then on v2."""
+    from dailytally.plans.jobs import JobConfig, MetricsJob
+    from dailytally.session import work_path
+    from dailytally.sources.raw_orders import read_raw_orders
+
+    root = work_path(spark, "job")
+    cfg = JobConfig(metrics_path=f"{root}/metrics", state_path=f"{root}/state", quarantine_path=f"{root}/rejects", quality="quarantine")
+    v2 = _orders(spark, sf_dir)
+    for name, rows in (("v1", SC.snapshot_v1(v2)), ("v2", v2)):
+        SC.as_json_lines(rows).write.text(f"{root}/{name}")
+        job = MetricsJob(spark, read_raw_orders(spark, f"{root}/{name}", "json"), cfg)
+        job.run_incremental(run_at=SC.RUN_TS)
+    return job
+
+
+def q_raw_metrics(spark, sf_dir):
+    return _job_on_text(spark, sf_dir).read_metrics()
+
+
+def q_raw_rejects(spark, sf_dir):
+    """F6 at parse time: each bad line once, with its reason; unparsed ones as they were sent."""
+    job = _job_on_text(spark, sf_dir)
+    return spark.read.parquet(job.cfg.quarantine_path).select(*ORDER_COLS, "raw_line", "reject_reason")
+
+
 def q_dry_run_paged_preview(spark, sf_dir):
     job = _job_after_v1(spark, sf_dir)
     job.cfg.batch_size = SC.PAGE_SIZE
@@ -474,6 +500,8 @@ QUERIES: dict[str, Query] = {
     "job_full": q_job_full,
     "quarantine_two_runs": q_quarantine_two_runs,
     "quarantine_rejects": q_quarantine_rejects,
+    "raw_metrics": q_raw_metrics,
+    "raw_rejects": q_raw_rejects,
     "dry_run_paged_preview": q_dry_run_paged_preview,
     "late_update_corrects_day": q_late_update_corrects_day,
     "late_cancellation": q_late_cancellation,

@@ -122,6 +122,22 @@ class MetricsJob:
             return self._all_orders()
         return Q.normalize_orders(self._changes() if callable(self._changes) else self._changes)
 
+    def _newer(self, rows: DataFrame, mark: _dt.datetime, lookback: _dt.timedelta | None = None) -> DataFrame:
+        """Rows changed after the mark; in strict mode also lines of a text source that hold no change
+        time, which nothing else would see: they fail the run."""
+        if self.cfg.quality == "strict" and Q.RAW_COL in rows.columns:
+            since = ts_ntz((mark or EPOCH) - (lookback or _dt.timedelta()))
+            return rows.where(F.coalesce(F.col("updated_at") > since, F.col(Q.RAW_COL).isNotNull()))
+        return X.changed_since(rows, mark, lookback)
+
+    def _unstamped_rejects(self) -> None:
+        """Rejects of text lines without a change time: no run finds them as changes, so each
+        replaces the rejects of their days (bounded by the calendar), and of no day."""
+        orders = self._all_orders()
+        if self.cfg.quality == "quarantine" and self.cfg.quarantine_path and Q.RAW_COL in orders.columns:
+            loose = TR.with_group_key(orders.where(F.col(Q.RAW_COL).isNotNull() & F.col("updated_at").isNull()))
+            self._quarantine({r.date for r in loose.select("date").distinct().collect()} | {None})
+
     def _checked(self, rows: DataFrame) -> DataFrame:
         """Extracted rows under the quality mode (strict: a bad row fails)."""
         return Q.enforce_strict(rows) if self.cfg.quality == "strict" else rows
@@ -246,7 +262,7 @@ class MetricsJob:
 
     def _groups(self, own: DataFrame) -> DataFrame:
         """Metrics of every group of the rows, with ``_rows`` and ``_max`` of all of them; bad ones count in these alone."""
-        good = Q.reject_reason().isNull() if self.cfg.quality == "quarantine" else None
+        good = Q.row_reason(own).isNull() if self.cfg.quality == "quarantine" else None
         return TR.aggregate_metrics(self._checked(own), [F.count("*").alias("_rows"), F.max("updated_at").alias("_max")], good)
 
     def _summary(self, mode: str, total: Step, dry_run: bool, t0: float, **more) -> dict:  # noqa: ANN003
@@ -268,7 +284,7 @@ class MetricsJob:
         t0, run_at = time.time(), run_at or _now()
         self._open()
         start = self.watermark()
-        changed = self._changed_keys(X.changed_since(self._change_rows(), start, self.cfg.lookback))
+        changed = self._changed_keys(self._newer(self._change_rows(), start, self.cfg.lookback))
         total, batches, mark, bounds = Step(), 0, start, [None]
         if self.cfg.batch_size:
             # Changes are looked up, checked and stored once; pages are ranges (from, to] of them.
@@ -291,6 +307,7 @@ class MetricsJob:
             self._save_mark(top, step.rows, step.groups, run_at)
             total.add(step)
             batches, mark = batches + 1, top
+        self._unstamped_rejects()
         return self._summary("incremental", total, False, t0, batches=batches)
 
     def run_backfill(
@@ -324,7 +341,7 @@ class MetricsJob:
         """
         t0, run_at = time.time(), run_at or _now()
         self._open()
-        own = X.changed_since(self._all_orders(), EPOCH)
+        own = self._newer(self._all_orders(), EPOCH)
         if not own.take(1):
             return self._summary("full", Step(), dry_run, t0, batches=0)
         if dry_run:

@@ -137,6 +137,25 @@ LATE_DEFECTS = f"""v2b AS (
   FROM rorders
 )"""
 
+# Orders as JSON lines, some of them broken; what can be read of a broken line is kept.
+_K = "CAST(order_id AS BIGINT)"
+RAW = f"""j AS (
+  SELECT *, concat('{{"order_id":"', order_id, '","restaurant_id":"', restaurant_id, '",',
+         CASE WHEN {_K} % 77 <> 0 THEN concat('"user_id":"', user_id, '",') ELSE '' END,
+         '"status":"', status, '","amount":', CASE WHEN {_K} % 90 = 0 THEN '"n/a"' ELSE CAST(amount AS VARCHAR) END,
+         ',"country":"', country, '","created_at":"', strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f'), '","updated_at":"',
+         CASE WHEN {_K} % 101 = 0 THEN 'soon' ELSE strftime(updated_at, '%Y-%m-%dT%H:%M:%S.%f') END, '"}}') AS line
+  FROM rorders
+), raw AS (
+  SELECT order_id, restaurant_id, CASE WHEN {_K} % 77 <> 0 THEN user_id END AS user_id, status,
+         CASE WHEN {_K} % 90 <> 0 THEN amount END AS amount, country, created_at,
+         CASE WHEN {_K} % 101 <> 0 THEN updated_at END AS updated_at,
+         CASE WHEN {_K} % 90 = 0 OR {_K} % 101 = 0 THEN line END AS raw_line
+  FROM j WHERE {_K} % 60 <> 0
+  UNION ALL
+  SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, line[1:50] FROM j WHERE {_K} % 60 = 0
+)"""
+
 METRIC_DEFECTS = f"""good AS ({metrics_of('rorders')}),
 m AS (
   SELECT restaurant_id, date, CASE WHEN day(date) = 19 THEN substring(country, 1, 1) ELSE country END AS country,
@@ -284,6 +303,10 @@ SELECT {COLS} FROM rorders WHERE order_id NOT IN (SELECT order_id FROM v1)""",
     "quarantine_two_runs": with_(RORDERS, LATE_DEFECTS) + metrics_of("v2b", "amount >= 0"),
     "quarantine_rejects": with_(RORDERS, LATE_DEFECTS)
     + f"SELECT {COLS}, 'negative_amount' AS reject_reason FROM v2b WHERE amount < 0",
+    "raw_metrics": BASE + metrics_of("rorders", f"{_K} % 60 <> 0 AND {_K} % 90 <> 0 AND {_K} % 77 <> 0 AND {_K} % 101 <> 0"),
+    "raw_rejects": with_(RORDERS, RAW)
+    + f"""SELECT {COLS}, raw_line, CASE WHEN raw_line IS NOT NULL THEN 'unparsed' ELSE 'missing_field' END AS reject_reason
+FROM raw WHERE raw_line IS NOT NULL OR user_id IS NULL""",
     "dry_run_paged_preview": TOUCHED_DAYS,
     "late_update_corrects_day": _late_before_after(""),
     "late_cancellation": _late_before_after("status = 'cancelled'"),

@@ -76,6 +76,28 @@ def with_defects(orders: DataFrame) -> DataFrame:
     )
 
 
+def as_json_lines(orders: DataFrame) -> DataFrame:
+    """The orders as JSON lines, some of them broken: every 60th is cut short, every 90th has an
+    amount that is no number, every 77th no user, every 101st a change time that is none."""
+    k = F.col("order_id").cast("long")
+
+    def text(name: str, value: F.Column) -> F.Column:
+        return F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
+
+    def stamp(name: str) -> F.Column:
+        return F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+    parts = [
+        text("order_id", F.col("order_id")), text("restaurant_id", F.col("restaurant_id")),
+        F.when(k % 77 != 0, text("user_id", F.col("user_id"))), text("status", F.col("status")),
+        F.concat(F.lit('"amount":'), F.when(k % 90 == 0, F.lit('"n/a"')).otherwise(F.col("amount").cast("string"))),
+        text("country", F.col("country")), text("created_at", stamp("created_at")),
+        text("updated_at", F.when(k % 101 == 0, F.lit("soon")).otherwise(stamp("updated_at"))),
+    ]
+    line = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    return orders.select(F.when(k % 60 == 0, F.substring(line, 1, 50)).otherwise(line).alias("value"))
+
+
 def with_deletes(orders: DataFrame) -> DataFrame:
     """Every 97th order is gone."""
     return orders.where(F.col("order_id").cast("long") % 97 != 0)
