@@ -11,8 +11,9 @@ Scale notes
 * The touched-groups recompute never shuffles raw rows:
   - small key set (count checked against a limit): broadcast left-semi join
     in the scan stage, then the partial aggregate;
-  - large key set: aggregate first (partial + final), then an inner join
-    of the aggregate with the distinct keys (co-partitioned by the keys).
+  - large key set: a Bloom filter of the keys (``keyfilter``, of bounded size)
+    drops nearly all untouched rows in the scan stage; then aggregate (partial +
+    final) and inner-join the aggregate with the distinct keys (co-partitioned).
     An inner join is used on purpose: a left-semi join here would be pushed
     below the aggregate by the optimizer and shuffle raw rows again.
 * Both paths first restrict ``created_at`` to the day range of the keys,
@@ -37,6 +38,7 @@ from dailytally.functions.columns import (
     parse_iso_date,
 )
 from dailytally.operators.extract import extract_backfill
+from dailytally.operators.keyfilter import prefilter
 from dailytally.session import materialize
 
 
@@ -129,7 +131,7 @@ def recompute_known(
     if n <= broadcast_key_limit:
         touched = scoped.join(F.broadcast(keys), list(KEY_COLS), "left_semi")
         return aggregate_metrics(touched)
-    return aggregate_metrics(scoped).join(keys, list(KEY_COLS), "inner")
+    return aggregate_metrics(prefilter(scoped, keys, n, KEY_COLS)).join(keys, list(KEY_COLS), "inner")
 
 
 def recompute_affected(
