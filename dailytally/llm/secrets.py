@@ -14,9 +14,8 @@ words common in passwords. A word's guess count is its place.
 
 Spans are in code points, end exclusive, ordered by start and then by kind in the
 order assign, access, hex, guess. Null or empty text: no spans. Repeated rows:
-each gets its own row. Empty table: no rows. Texts are scanned whole; the
-dynamic programming looks back at most ``LOOK_BACK`` characters per step, so it
-is linear in the value.
+each gets its own row. Empty table: no rows. Texts are scanned whole; spans of a value
+may be as long as it is, and the dynamic programming is linear in it.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
@@ -55,7 +54,8 @@ CONTEXT_HINT = re.compile(r"pass|pwd|secret|token|key|credential|auth|bearer", r
 #: log10 of the guesses from which a value counts as a secret; least length of a value.
 MIN_COST = 10.0
 MIN_VALUE = 8
-LOOK_BACK = 24
+#: Units of repeats tried first; longer ones only where they could be cheaper (``guess_cost``).
+UNITS = 9
 
 #: Common words of passwords, most frequent first; the place is the word's guess count.
 COMMON = (
@@ -64,8 +64,9 @@ COMMON = (
     "server client service system public private access key value data base mail web site home work office company "
     "database dev prod stage demo temp none null true false your here placeholder insert redacted hidden the and for"
 ).split()
-#: Words of the corpus: letters, how many at most, in how many documents at least; words counted at a time in a task.
+#: Words of the corpus: letters (at most ``WORD_LETTERS``), how many at most, in how many documents at least; words counted at a time in a task.
 WORD = re.compile(r"[^\W\d_]{3,}")
+WORD_LETTERS = 24
 WORDS = 100_000
 WORD_DOCS = 3
 COUNTED = 200_000
@@ -82,16 +83,28 @@ def brute(c: str) -> float:
     return math.log10(10 if c.isdigit() else 26 if c.isascii() and c.isalpha() else 33)
 
 
+class Ranks(dict):
+    """The guess count of each word of a dictionary."""
+
+    @cached_property
+    def lengths(self) -> list[int]:
+        return sorted({len(w) for w in self})
+
+    @cached_property
+    def ends(self) -> frozenset[str]:
+        return frozenset(w[-1:] for w in self)
+
+
 @lru_cache(maxsize=1)
-def words() -> dict[str, int]:
-    return {w: i + 1 for i, w in enumerate(COMMON)}
+def words() -> Ranks:
+    return Ranks((w, i + 1) for i, w in enumerate(COMMON))
 
 
 def words_of(text: str) -> set[str]:
     """The words of a text outside the values that follow credential words."""
     if CONTEXT_HINT.search(text):
         text = CONTEXT.sub(" ", text)
-    return {m[0] for m in WORD.finditer(text.lower()) if m.end() - m.start() <= LOOK_BACK}
+    return {m[0] for m in WORD.finditer(text.lower()) if m.end() - m.start() <= WORD_LETTERS}
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +132,7 @@ def word_ranks(docs: DataFrame) -> Broadcast:
         if (held := held + r.words) > WORDS:
             break
         least = r.n
-    ranks: dict[str, int] = {}
+    ranks = Ranks()
     if least is not None:
         for r in sorted(counts.filter(F.col("n") >= least).collect(), key=lambda r: (-r.n, r.word)):
             ranks[r.word] = len(ranks) + 1
@@ -135,54 +148,96 @@ def walks() -> frozenset[str]:
     return frozenset(s for r in rows for x in (r, r[::-1]) for s in (x[i : i + 2] for i in range(len(x) - 1)))
 
 
-def span_cost(value: str, low: str, leet: str, i: int, j: int, ranks: Mapping[str, int]) -> float:
-    """Least log10 guesses of value[i:j] as one span that isn't brute force."""
-    n, best = j - i, math.inf
-    rank = ranks.get(low[i:j]) or ranks.get(leet[i:j])
-    if rank:
-        best = math.log10(rank) + (0.5 if low[i:j] != value[i:j] else 0) + (0.5 if leet[i:j] != low[i:j] else 0)
-    if n >= 3 and low[i:j] == low[i] * n:
-        best = min(best, brute(value[i]) + math.log10(n))
-    for unit in (2, 3, 4):
-        if n >= 2 * unit and n % unit == 0 and low[i:j] == low[i : i + unit] * (n // unit):
-            best = min(best, sum(map(brute, value[i : i + unit])) + math.log10(n // unit))
-    if n >= 3 and all(low[k : k + 2] in walks() for k in range(i, j - 1)):
-        best = min(best, math.log10(47) + math.log10(n))
-    if 4 <= n <= 10 and DATE.fullmatch(value, i, j):
-        best = min(best, math.log10(YEAR_GUESSES if n == 4 else DATE_GUESSES))
-    return best
+def _start(held: list[tuple[int, float]], i: int, base: float, least: int) -> None:
+    """Adds a start of spans of equal units to those worth keeping: a span of j - i characters from it
+    costs ``base`` and the logarithm of its length, ``least`` at least. An older start that costs no less is
+    never better again; the new one never is if an older one is better at its first span, as
+    the gap only closes from there."""
+    while held and held[-1][1] >= base:
+        held.pop()
+    if all(base < b + math.log10((i - k + least) / least) for k, b in held):
+        held.append((i, base))
 
 
-def guess_cost(value: str, enough: float = math.inf, ranks: Mapping[str, int] | None = None) -> float:
-    """Least log10 guesses over all ways to cut the value into spans.
-
-    Each span past the first doubles the guesses, for the order of spans;
-    neighbouring brute-force characters form one span. Costs only add up, so once
-    all that a later step can look back to costs ``enough``, the whole value does:
-    that bound is then returned, however long the value is.
-    """
-    ranks = words() if ranks is None else ranks
+def _least(value: str, enough: float, ranks: Ranks, units: int) -> float:
+    """``guess_cost`` with repeated units of at most ``units`` characters."""
     low = value.lower()
     if len(low) != len(value):  # a few letters change length
         low = value
     leet = low.translate(LEET)
-    cut = math.log10(2)
-    done, open_ = [0.0], [math.inf]  # least cost up to here; the same with a brute-force span open
+    cut, walk, pairs = math.log10(2), math.log10(47), walks()
+    steps = [brute(c) for c in value]
+    done, tail = [0.0], math.inf  # least cost up to here; the same with a brute-force span open
+    # Per unit: how long the text has repeated what stood so far before, and the starts of spans, by remainder.
+    again, held = [0] * (units + 1), [[[] for _ in range(u)] for u in range(units + 1)]
+    walked, walk_held = 0, []
+    window = max(10, 3, 2 * units, *ranks.lengths)
     for j in range(1, len(value) + 1):
-        step = brute(value[j - 1])
-        tail = min(open_[j - 1] + step, done[j - 1] + (cut if j > 1 else 0) + step)
+        step = steps[j - 1]
+        tail = min(tail + step, done[j - 1] + (cut if j > 1 else 0) + step)
         best = tail
-        for i in range(max(0, j - LOOK_BACK), j - 1):
-            c = span_cost(value, low, leet, i, j, ranks)
-            if c < math.inf:
-                best = min(best, done[i] + (cut if i else 0) + c)
+        if low[j - 1] in ranks.ends or leet[j - 1] in ranks.ends:
+            for n in ranks.lengths:
+                if n > j:
+                    break
+                i = j - n
+                to = done[i] + (cut if i else 0)
+                if to < best and (rank := ranks.get(low[i:j]) or ranks.get(leet[i:j])):
+                    best = min(best, to + math.log10(rank) + (0.5 if low[i:j] != value[i:j] else 0) + (0.5 if leet[i:j] != low[i:j] else 0))
+        if value[j - 1].isdigit():
+            for n in (4, 8, 9, 10):
+                if n <= j and DATE.fullmatch(value, j - n, j):
+                    best = min(best, done[j - n] + (cut if j > n else 0) + math.log10(YEAR_GUESSES if n == 4 else DATE_GUESSES))
+        for u in range(1, min(units, j - 1) + 1):
+            if low[j - 1] != low[j - 1 - u]:
+                if again[u]:
+                    again[u] = 0
+                    for starts in held[u]:
+                        starts.clear()
+                continue
+            again[u] += 1
+            least = 3 if u == 1 else 2 * u
+            if again[u] >= least - u:
+                starts, i = held[u][j % u], j - least
+                _start(starts, i, done[i] + (cut if i else 0) + sum(steps[i : i + u]), least)
+                best = min(best, *(base + math.log10((j - k) // u) for k, base in starts))
+        if j > 1 and low[j - 2 : j] in pairs:
+            walked += 1
+            if walked >= 2:
+                _start(walk_held, j - 3, done[j - 3] + (cut if j > 3 else 0) + walk, 3)
+                best = min(best, *(base + math.log10(j - k) for k, base in walk_held))
+        else:
+            walked = 0
+            walk_held.clear()
         done.append(best)
-        open_.append(tail)
-        if best >= enough and (least := min(tail, *done[-LOOK_BACK:])) >= enough:
-            return least
+        if best >= enough:
+            open_starts = [base for of_unit in held for starts in of_unit for _, base in starts] + [base for _, base in walk_held]
+            if (least_now := min(tail, *done[-window - 1 :], *open_starts)) >= enough:
+                return least_now
     return done[-1]
 
 
+def guess_cost(value: str, enough: float = math.inf, ranks: Mapping[str, int] | None = None) -> float:
+    """Least log10 guesses over all ways to cut the value into spans: words, dates, repeats of any unit,
+    keyboard walks, and brute force.
+
+    Each span past the first doubles the guesses, for the order of spans;
+    neighbouring brute-force characters form one span. Repeats and walks may be as
+    long as the value; of their many starts only those that can still be best are kept, so the
+    time is linear in the value. Costs only add up, so once all that a later step can
+    start from costs ``enough``, the whole value does: a bound of at least
+    ``enough`` is then returned. A character costs one at least, so a repeat whose unit is longer
+    than the least cost found without it can't be cheaper, and need not be tried.
+    """
+    ranks = words() if ranks is None else ranks if isinstance(ranks, Ranks) else Ranks(ranks)
+    units = min(UNITS, len(value) // 2)
+    while True:
+        cost = _least(value, enough, ranks, units)
+        if units >= len(value) // 2 or min(cost, enough) <= units + 1:
+            return cost
+        units = min(len(value) // 2, int(min(cost, enough)) + 1)
+
+
 def scan(text: str, ranks: Mapping[str, int] | None = None) -> list[tuple[int, int, int]]:
     """(start, kind's number, end) of every span, in order."""
     found = []
