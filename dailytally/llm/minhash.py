@@ -47,8 +47,7 @@ RUN_BYTES = 1 << 20
 #: Columns of hashes taken at once, for the processor's cache.
 BLOCK = 512
 
-_P = np.uint64(0x9E3779B97F4A7C15)
-_P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -58,13 +57,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+#: A value for each byte at each of the first places of a word; later places take theirs when met.
+PLACES = 64
+_VALUES = mixed(np.arange(1, PLACES * 256 + 1, dtype=np.uint64) * _SEED)
+
+
+def _values(x: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The value of each byte at its place in its word. A word's hash is their sum, so words are told
+    apart like random numbers of 64 bits, whatever pattern their bytes have."""
+    at = place * 256 + x
+    out = _VALUES.take(at, mode="clip")
+    far = np.flatnonzero(place >= PLACES)
+    out[far] = mixed((at[far].astype(np.uint64) + np.uint64(1)) * _SEED)
+    return out
 
 
-_POW, _INV = _powers(_P, RUN_BYTES), _powers(_P_INV, RUN_BYTES)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
@@ -101,8 +108,11 @@ def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     ends[:-1] &= ~word[1:] | edge[1:n]
     a, b = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum((x.astype(np.uint64) + np.uint64(1)) * _POW[:n], out=total[1:])
-    h = mixed((total[b] - total[a]) * _INV[a])
+    if len(a):
+        place = np.arange(n)
+        place[a[0] :] -= np.repeat(a, np.diff(a, append=n))
+        np.cumsum(_values(x, place), out=total[1:])
+    h = mixed(total[b] - total[a])
     return h, np.diff(np.searchsorted(a, off - base))
 
 
