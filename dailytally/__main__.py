@@ -23,7 +23,7 @@ from pyspark.sql import SparkSession
 from dailytally.config import DEFAULT_PIPELINE_ID
 from dailytally.plans.jobs import JobConfig, MetricsJob
 from dailytally.session import SESSION_CONF
-from dailytally.sources.orders import read_orders, read_orders_by_day
+from dailytally.sources.orders import jdbc_options, read_orders, read_orders_by_day, read_orders_jdbc
 from dailytally.sources.raw_orders import TEXT_FORMATS, read_raw_orders
 
 
@@ -37,6 +37,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--orders-layout", choices=["plain", "day"], default="plain",
                    help="day: Parquet partitioned by order_date, of which only touched days are read")
     p.add_argument("--orders-format", default="parquet", help="file format of a plain table; json and csv are parsed line by line, malformed lines are rejects")
+    p.add_argument("--jdbc-table", help="with --orders-format jdbc (--orders is then the database's URL): the orders table")
+    p.add_argument("--jdbc-split", nargs=3, metavar=("FROM", "TO", "N"),
+                   help="read it in N ranges of updated_at between two times (ISO); rows outside are read too")
+    p.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE", help="further options of the driver, each by itself")
     p.add_argument("--changes", help="change feed path (Parquet): where changed rows are looked up")
     p.add_argument("--metrics", required=True, help="daily_metrics table path")
     p.add_argument("--state", required=True, help="state log path")
@@ -51,6 +55,18 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--lookback-hours", type=float, help="also look at changes up to so many hours before the mark")
     p.add_argument("--batch-size", type=int, help="page size (default: all changes in one pass)")
     args = p.parse_args(argv)
+    if args.orders_format == "jdbc":
+        if not args.jdbc_table or not args.jdbc_split:
+            p.error("a database needs --jdbc-table and --jdbc-split")
+        try:
+            low, high = (dt.datetime.fromisoformat(x) for x in args.jdbc_split[:2])
+            args.jdbc_split = (low, high, int(args.jdbc_split[2]))
+        except ValueError as e:
+            p.error(f"--jdbc-split: {e}")
+        if low >= high or args.jdbc_split[2] < 1:
+            p.error("--jdbc-split needs an earlier and a later time and at least one range")
+        if any("=" not in x for x in args.jdbc_option):
+            p.error("--jdbc-option takes NAME=VALUE")
     if args.mode == "backfill":
         if not args.start_date or not args.end_date:
             p.error("backfill needs --start-date and --end-date")
@@ -59,6 +75,11 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
+def jdbc_source(args: argparse.Namespace) -> dict[str, str]:
+    """The options of the parallel read of a database."""
+    return {**jdbc_options(args.orders, args.jdbc_table, *args.jdbc_split), **dict(x.split("=", 1) for x in args.jdbc_option)}
+
+
 def build_job(spark: SparkSession, args: argparse.Namespace) -> MetricsJob:
     cfg = JobConfig(
         metrics_path=args.metrics,
@@ -71,6 +92,8 @@ def build_job(spark: SparkSession, args: argparse.Namespace) -> MetricsJob:
     )
     if args.orders_layout == "day":
         source = lambda: read_orders_by_day(spark, args.orders)
+    elif args.orders_format == "jdbc":
+        source = lambda: read_orders_jdbc(spark, jdbc_source(args))
     elif args.orders_format in TEXT_FORMATS:
         source = lambda: read_raw_orders(spark, args.orders, args.orders_format)
     else:
