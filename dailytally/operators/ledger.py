@@ -26,10 +26,10 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailytally.config import KEY_COLS
+from dailytally.config import EPOCH, KEY_COLS
 from dailytally.functions.columns import ts_ntz
 from dailytally.operators.extract import changed_since
 from dailytally.operators.transform import with_group_key
@@ -61,18 +61,77 @@ def number_changes(changed: DataFrame, num_slices: int | None = None) -> DataFra
     )
 
 
-def page_bounds(changed: DataFrame, batch_size: int, column: str = "updated_at") -> list[_dt.datetime]:
-    """L4: the last change time of every page of ``batch_size`` changes, ascending.
+#: KLL sketch: its size parameter (about 0.1 % of rank error, some 100 KB), the
+#: most cells it is asked for, and the rows a cell should hold.
+SKETCH_K = 4096
+MAX_CELLS = 1000
+CELL_ROWS = 100_000
 
-    One pass numbers all changes; one value per page reaches the driver. Pages
+
+def _cell_of(value: Column, cuts: Column, n_cuts: int) -> Column:
+    """How many of the ascending cuts lie below the value: a binary search, by column functions."""
+    steps = [1 << b for b in reversed(range(n_cuts.bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]) if steps else F.array().cast("array<int>"),
+        F.lit(0),
+        lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at),
+    )
+
+
+def page_bounds(
+    changed: DataFrame,
+    batch_size: int,
+    column: str = "updated_at",
+    first: bool = False,
+    cell_rows: int = CELL_ROWS,
+) -> list[_dt.datetime]:
+    """L4: the last change time of every page of ``batch_size`` changes, ascending
+    (``first``: of the first page alone). Rows without a change time are in no page.
+
+    Neither sorts nor stores the changes. A mergeable quantile sketch cuts the
+    change times into cells of about ``cell_rows`` rows; exact counts per cell
+    (one row a cell on the driver) tell in which cells pages end; only there
+    are changes counted by change time and added up. The sketch decides how even the
+    cells are, never the result. One value per page reaches the driver. Pages
     are the ranges between neighbouring bounds, so a run of equal stamps that
     crosses a page's end belongs whole to the first page it is in.
+
+    ``changed`` is read three times: it must not change meanwhile.
     """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    numbered = number_changes(changed.select(F.col(column).alias("updated_at"), "order_id"))
-    tops = numbered.groupBy(F.floor(F.col("change_seq") / F.lit(batch_size)).alias("page")).agg(F.max("updated_at").alias("top"))
-    return sorted({r.top for r in tops.select("top").distinct().collect()})
+    stamps = changed.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    micros = F.unix_micros(F.col("v").cast("timestamp"))
+    ranks = F.array(*[F.lit(i / MAX_CELLS) for i in range(1, MAX_CELLS)])
+    seen = stamps.agg(
+        F.count("v").alias("n"), F.max("v").alias("top"), F.kll_sketch_agg_bigint(micros, F.lit(SKETCH_K)).alias("s")
+    ).select("n", "top", F.when(F.col("n") > 0, F.kll_sketch_get_quantile_bigint("s", ranks)).alias("q")).first()
+    if not seen.n:
+        return []
+    cells = max(1, min(MAX_CELLS, seen.n // cell_rows))
+    cuts = sorted({EPOCH + _dt.timedelta(microseconds=seen.q[i * MAX_CELLS // cells - 1]) for i in range(1, cells)})
+    cell = _cell_of(F.col("v"), F.array(*[ts_ntz(c) for c in cuts]), len(cuts)) if cuts else F.lit(0)
+
+    size = {r.cell: r.n for r in stamps.groupBy(cell.alias("cell")).agg(F.count("v").alias("n")).collect()}
+    before, ends = [0], []
+    for c in range(len(cuts) + 1):
+        before.append(before[-1] + size.get(c, 0))
+        if before[-1] // batch_size > before[-2] // batch_size and not (first and ends):
+            ends.append(c)
+    bounds = set()
+    if ends:
+        # A plain range, which a scan of the changes can use, and the cells in it.
+        if ends[0] > 0:
+            stamps = stamps.where(F.col("v") > ts_ntz(cuts[ends[0] - 1]))
+        if ends[-1] < len(cuts):
+            stamps = stamps.where(F.col("v") <= ts_ntz(cuts[ends[-1]]))
+        counted = stamps.groupBy(cell.alias("cell"), "v").agg(F.count(F.lit(1)).alias("n")).where(F.col("cell").isin(ends))
+        upto = F.get(F.array(*[F.lit(n) for n in before]), F.col("cell")) + F.sum("n").over(Window.partitionBy("cell").orderBy("v"))
+        added = counted.withColumn("upto", upto)
+        last = F.col("upto") % batch_size < F.col("n")  # a multiple of the page's size is among its places
+        bounds = {r.v for r in added.where(last).select("v").collect()}
+    found = sorted(bounds | {seen.top})
+    return found[:1] if first else found
 
 
 def extract_page_bounded(
@@ -81,7 +140,7 @@ def extract_page_bounded(
     """L4: the first page, complete with every row that shares its last change
     time, as a pushed range of the change time."""
     changed = changed_since(orders, mark, column=column)
-    bounds = page_bounds(changed, batch_size, column)
+    bounds = page_bounds(changed, batch_size, column, first=True)
     return changed.where(F.col(column) <= ts_ntz(bounds[0]) if bounds else F.lit(False))
 
 

@@ -25,7 +25,11 @@ from dailytally.operators import transform as TR
 from dailytally.operators.ledger import batch_ledger, extract_page_bounded, number_changes
 from dailytally.operators.snapshot import snapshot_diff
 from dailytally.plans import scenarios as SC
-from dailytally.sources.orders import materialized_orders
+from dailytally.session import work_path
+from dailytally.sources.orders import materialized_orders, write_orders_bucketed
+
+#: Buckets of the bucketed orders table in the queries.
+BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -228,6 +232,24 @@ def q_apply_changes(spark, sf_dir):
     return _rows(L.apply_changes(SC.snapshot_v1(v2), SC.changes_after(v2)))
 
 
+def _bucketed_v1(spark, v2: DataFrame) -> DataFrame:
+    """The first snapshot, written as a table of days and buckets of the order id."""
+    path = work_path(spark, "orders_bucketed")
+    return write_orders_bucketed(SC.snapshot_v1(v2), path, f"orders_{path.rsplit('/', 1)[1]}", BUCKETS)
+
+
+def q_apply_changes_bucketed(spark, sf_dir):
+    """W6 on a bucketed table: the table's side of the join has no exchange."""
+    v2 = _orders(spark, sf_dir)
+    return _rows(L.apply_changes_colocated(_bucketed_v1(spark, v2), SC.changes_after(v2), BUCKETS))
+
+
+def q_insert_if_absent_bucketed(spark, sf_dir):
+    """W5 on a bucketed table."""
+    v2 = _orders(spark, sf_dir)
+    return _rows(L.insert_if_absent_colocated(_bucketed_v1(spark, v2), v2, BUCKETS))
+
+
 # --- job behaviour ---------------------------------------------------------
 
 
@@ -293,7 +315,6 @@ def _job_after_v1(spark, sf_dir, change=lambda v2: v2, sketches=False, **config)
     """The real job, already run on v1; its source is now v2 (as ``change``
     leaves it). Tables and state log are in the shared work folder."""
     from dailytally.plans.jobs import JobConfig, MetricsJob
-    from dailytally.session import work_path
 
     root = work_path(spark, "job")
     cfg = JobConfig(metrics_path=f"{root}/metrics", state_path=f"{root}/state", quarantine_path=f"{root}/rejects",
@@ -367,7 +388,6 @@ def q_quarantine_rejects(spark, sf_dir):
 def _job_on_text(spark, sf_dir):
     """The job in quarantine mode on JSON lines, of which some are malformed: run on v1, then on v2."""
     from dailytally.plans.jobs import JobConfig, MetricsJob
-    from dailytally.session import work_path
     from dailytally.sources.raw_orders import read_raw_orders
 
     root = work_path(spark, "job")
@@ -493,6 +513,8 @@ QUERIES: dict[str, Query] = {
     "upsert_counts": q_upsert_counts,
     "insert_if_absent": q_insert_if_absent,
     "apply_changes": q_apply_changes,
+    "apply_changes_bucketed": q_apply_changes_bucketed,
+    "insert_if_absent_bucketed": q_insert_if_absent_bucketed,
     "incremental_two_runs": q_incremental_two_runs,
     "job_two_runs": q_job_two_runs,
     "job_two_runs_paged": q_job_two_runs_paged,

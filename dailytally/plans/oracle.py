@@ -363,3 +363,5 @@ FROM ids i WHERE i.pipeline_id NOT IN (SELECT pipeline_id FROM state)""",
     # Orders whose last version broke a rule are gone; lower-case countries count.
     "stream_foreachbatch": BASE + metrics_of("rorders", f"NOT (CAST(order_id AS BIGINT) % 17 = 0 AND updated_at > {SPLIT})"),
 }
+# The bucketed forms give what the plain ones give.
+ORACLE |= {f"{name}_bucketed": ORACLE[name] for name in ("apply_changes", "insert_if_absent")}
