@@ -54,8 +54,18 @@ def _hashed(df: DataFrame, short: list[int]) -> DataFrame:
     return df
 
 
+#: Up to so many prints a text's places look through all of them, beyond by halving.
+FEW_PRINTS = 16
+
+
+def among_prints(value: Column) -> Column:
+    """Whether the value is one of the sorted ``prints``; ``halves`` holds the powers of two up to their number, largest first."""
+    below = F.aggregate("halves", F.lit(0), lambda at, step: F.when(F.get("prints", at + step - 1) < value, at + step).otherwise(at))
+    return F.when(F.size("prints") <= FEW_PRINTS, F.array_contains("prints", value)).otherwise(F.coalesce(F.get("prints", below) == value, F.lit(False)))
+
+
 def _short_hits(m: int) -> Column:
-    own = F.filter(places(F.size(f"h{m}")), lambda i: F.array_contains("prints", F.get(f"h{m}", i)))
+    own = F.filter(places(F.size(f"h{m}")), lambda i: among_prints(F.get(f"h{m}", i)))
     return F.transform(own, lambda s: F.struct(s.alias("s"), F.lit(m).alias("m")))
 
 
@@ -79,15 +89,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     prints = F.array_distinct(F.concat(winnowed("h", WINDOW - K + 1), *[F.col(f"h{m}") for m in short]))
     hits = (
         hashed.select("doc_id", "tk", F.explode(prints).alias("print")).join(item_prints, "print")
-        .groupBy("doc_id", "tk").agg(F.collect_set("print").alias("prints"))  # a text's own, so bounded by it
+        .groupBy("doc_id", "tk").agg(F.sort_array(F.collect_set("print")).alias("prints"))  # a text's own, so bounded by it
+        .withColumn("halves", F.filter(F.array(*[F.lit(1 << b) for b in reversed(range(31))]), lambda step: step <= F.size("prints")))
     )
 
     # Extend: windows that hold a common shingle, joined word for word.
-    again = base.join(hits.select(F.col("doc_id").alias("d"), F.col("tk").alias("t"), "prints"),
+    again = base.join(hits.select(F.col("doc_id").alias("d"), F.col("tk").alias("t"), "prints", "halves"),
                       F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tk") == F.col("t")))
-    again = _hashed(again.select("doc_id", "tk", "prints", words_of(F.col("text")).alias("words")), short).dropDuplicates(["doc_id", "tk"])
+    again = _hashed(again.select("doc_id", "tk", "prints", "halves", words_of(F.col("text")).alias("words")), short).dropDuplicates(["doc_id", "tk"])
     near = F.array_distinct(F.flatten(F.transform(
-        F.filter(places(F.size("h")), lambda i: F.array_contains("prints", F.get("h", i))),
+        F.filter(places(F.size("h")), lambda i: among_prints(F.get("h", i))),
         lambda i: F.filter(F.sequence(i - (WINDOW - K), i), lambda s: (s >= 0) & (s + WINDOW <= F.size("words"))))))
     at = F.transform(near, lambda s: F.struct(s.alias("s"), F.lit(WINDOW).alias("m")))
     for m in short:
