@@ -8,9 +8,10 @@ pair at the threshold 0.8 shares no band with a chance of about 3 in a million.
 First each node is compared with one centre per bucket, the node that meets most
 others, so a bucket costs as many pairs as it has nodes. The links found give
 components. Buckets that still hold several components are then compared within
-tasks, in blocks of at most ``BLOCK_ROWS`` nodes against as many: only pairs of
-different components, each pair in the first bucket that it shares, the likeliest
-first, until they are joined. No pairs are handed on but links, and no link is lost
+tasks, in blocks of about ``SIGNATURE_ROWS`` nodes against as many, by signatures alone: only
+pairs of different components, each pair in the first bucket that it shares. Nodes
+with a likely partner meet again with their texts, in blocks of about ``BLOCK_ROWS``,
+where pairs are confirmed, the likeliest first, until they are joined. No pairs are handed on but links, and no link is lost
 that could join two groups. Pairs whose signatures are far below the threshold
 are dropped, all others confirmed on the full sets.
 
@@ -42,7 +43,9 @@ HASHES = 480
 #: Pairs whose signatures agree in less than this share are not confirmed: five
 #: standard deviations below the threshold.
 LIKELY = 0.71
+#: Nodes of a block: with their texts, and with their signatures alone.
 BLOCK_ROWS = 400
+SIGNATURE_ROWS = 2000
 RUN_BYTES = 1 << 20
 #: Columns of hashes taken at once, for the processor's cache.
 BLOCK = 512
@@ -208,16 +211,21 @@ def star_pairs(buckets: DataFrame) -> DataFrame:
     return _pairs(both.select(F.col("node").alias("a"), F.col("n").alias("x"), F.col("c.node").alias("b"), F.col("c.n").alias("y")).filter(_near_size("x", "y")))
 
 
-def blocks(buckets: DataFrame, comp: DataFrame) -> DataFrame:
-    """(part, side, key, node, n, component): buckets of several components, cut into blocks.
+def crowded(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+    """(key, node, n, component): the buckets that hold several components."""
+    named = buckets.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(F.col("lo") != F.col("hi"))
+    return named.join(several.select("key"), "key").select("key", "node", "n", "component")
+
+
+def blocks(rows: DataFrame, most: int) -> DataFrame:
+    """(part, side, key, node, n, component): buckets, cut into blocks of about ``most`` nodes.
 
     A bucket of g blocks makes a part of each pair of blocks; a node goes to
     the g parts that hold its block (side 0 or 1; 2 where both blocks are the same).
     """
-    named = buckets.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(F.col("lo") != F.col("hi"))
-    rows = named.join(several.select("key"), "key").withColumn("g", F.ceil(F.col("m") / F.lit(BLOCK_ROWS)).cast("int"))
-    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("g")).cast("int"))
+    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / F.lit(most)).cast("int").alias("g"))
+    own = rows.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("g")).cast("int"))
     other = own.select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other"))
     side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
     return other.select(
@@ -225,13 +233,12 @@ def blocks(buckets: DataFrame, comp: DataFrame) -> DataFrame:
         "key", "node", "n", "component")
 
 
-def link_block(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Links between different components of one part, enough to join what they join."""
-    node, comp = pdf["node"].tolist(), pdf["component"].tolist()
+def likely_in_block(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Row i, later rows, and how far their signatures agree: pairs of different components
+    of one part whose sizes and signatures are near enough, in the first bucket they share."""
     n, side, key = pdf["n"].to_numpy(), pdf["side"].to_numpy(), pdf["key"].to_numpy()
     keys, sig = np.stack(pdf["keys"].tolist()), np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
     group = pd.factorize(pdf["component"])[0]
-    tried = []
     for i in range(len(pdf) - 1):
         j = np.arange(i + 1, len(pdf))
         # Two parts whose hashes are the same would only bring more rows together.
@@ -242,8 +249,23 @@ def link_block(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
         equal = keys[j] == keys[i]
         j = j[keys[i][equal.argmax(1)] == key[i]]  # the first bucket that they share
         agree = (sig[j] == sig[i]).mean(1)
-        tried += [(-a, i, b) for a, b in zip(agree.tolist(), j.tolist(), strict=True) if a >= LIKELY]
-    root = list(range(len(set(comp))))
+        if (agree >= LIKELY).any():
+            yield i, j[agree >= LIKELY], agree[agree >= LIKELY]
+
+
+def partnered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The rows of one part that have a likely partner in it."""
+    met = np.zeros(len(pdf), bool)
+    for i, j, _ in likely_in_block(pdf):
+        met[i] = met[j] = True
+    return pdf.loc[met, ["key", "node"]]
+
+
+def link_block(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Links between different components of one part, enough to join what they join."""
+    node, group = pdf["node"].tolist(), pd.factorize(pdf["component"])[0].tolist()
+    tried = [(-a, i, b) for i, j, agree in likely_in_block(pdf) for a, b in zip(agree.tolist(), j.tolist(), strict=True)]
+    root = list(range(max(group) + 1))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -339,8 +361,11 @@ def near_duplicates(docs: DataFrame, k: int) -> DataFrame:
     own = stored(node_texts(buckets.select("node"), nodes, docs, k), "texts")
     links = stored(confirmed(likely(star_pairs(buckets), nodes), own, k), "links")
     comp = stored(components(links), "components")
-    data = nodes.select("node", "keys", "sig").join(own, "node")
-    more = blocks(buckets, comp).join(data, "node").groupBy("part").applyInPandas(lambda pdf: link_block(pdf, k), "a binary, b binary")
+    # Signatures alone first: texts go to the blocks only for nodes with a likely partner.
+    rows, sig = stored(crowded(buckets, comp), "crowded"), nodes.select("node", "keys", "sig")
+    met = blocks(rows, SIGNATURE_ROWS).join(sig, "node").groupBy("part").applyInPandas(partnered, "key long, node binary")
+    rows = rows.join(stored(met.distinct(), "partnered"), ["key", "node"])
+    more = blocks(rows, BLOCK_ROWS).join(sig.join(own, "node"), "node").groupBy("part").applyInPandas(lambda pdf: link_block(pdf, k), "a binary, b binary")
     more = stored(more, "links")
     if more.take(1):
         comp = stored(components(links.unionByName(more)), "components")
