@@ -18,12 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailytally.llm.common import ascii_lower, text_key, texts
+from dailytally.llm.common import ascii_lower, stored, text_key, texts
 
 WINDOW = 10
 K = 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
@@ -87,11 +86,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     base = texts(docs).withColumn("tk", text_key(F.col("text")))
     hashed = _hashed(base.select("doc_id", "tk", words_of(F.col("text")).alias("words")), short)
     prints = F.array_distinct(F.concat(winnowed("h", WINDOW - K + 1), *[F.col(f"h{m}") for m in short]))
-    hits = (
-        hashed.select("doc_id", "tk", F.explode(prints).alias("print")).join(item_prints, "print")
-        .groupBy("doc_id", "tk").agg(F.sort_array(F.collect_set("print")).alias("prints"))  # a text's own, so bounded by it
-        .withColumn("halves", F.filter(F.array(*[F.lit(1 << b) for b in reversed(range(31))]), lambda step: step <= F.size("prints")))
+    # One row of each text carries its count of words; it travels under a hash of its own.
+    own = F.array(F.struct(F.xxhash64("doc_id", "tk").alias("print"), F.size("words").cast("long").alias("n_words")))
+    shared = F.transform(prints, lambda x: F.struct(x.alias("print"), F.lit(None).cast("long").alias("n_words")))
+    judged = (
+        hashed.select("doc_id", "tk", F.explode(F.concat(own, shared)).alias("x")).select("doc_id", "tk", "x.*")
+        .join(item_prints.withColumn("listed", F.lit(True)), "print", "left").filter("listed OR n_words IS NOT NULL")
+        .groupBy("doc_id", "tk").agg(
+            F.max("n_words").alias("n_words"),
+            F.sort_array(F.collect_set(F.when(F.col("n_words").isNull(), F.col("print")))).alias("prints"))  # a text's own, so bounded by it
     )
+    judged = stored(judged, "decontaminate")
+    hits = judged.filter(F.size("prints") > 0).withColumn(
+        "halves", F.filter(F.array(*[F.lit(1 << b) for b in reversed(range(31))]), lambda step: step <= F.size("prints")))
 
     # Extend: windows that hold a common shingle, joined word for word.
     again = base.join(hits.select(F.col("doc_id").alias("d"), F.col("tk").alias("t"), "prints", "halves"),
@@ -112,8 +119,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.col("doc_id").alias("d"), F.col("tk").alias("t"), "n_items", "ids",
         F.size(F.array_distinct(F.flatten(F.transform("at", lambda x: F.sequence(x["s"], x["s"] + x["m"] - 1))))).cast("long").alias("n_hit"),
     )
-    counts = base.select("doc_id", "tk", F.regexp_count("text", F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"))
-    return counts.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tk") == F.col("t")), "left").select(
+    result = judged.select(F.col("doc_id").alias("own_id"), F.col("tk").alias("own_tk"), "n_words").join(
+        found, F.col("own_id").eqNullSafe(F.col("d")) & (F.col("own_tk") == F.col("t")), "left")
+    rows = base.select("doc_id", "tk")  # repeated rows: the result of each
+    return rows.join(result, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("tk") == F.col("own_tk"))).select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join(F.array_sort("ids"), ","), F.lit("")), 256).alias("items_sha256"),
