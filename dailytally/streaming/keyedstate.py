@@ -1,14 +1,17 @@
 """Incremental run on a keyed state store (R1): no stored version is read again.
 
 A change feed (files of order row versions) is read with ``readStream``. A stateful operator keeps
-the latest version of each order, and only what its group counts of it. A version that replaces
-it gives two rows: the old contribution taken back, the new one added. ``foreachBatch`` sums these per group, adds
+the latest version of each order, and only what its group counts of it. Orders are dealt to ``buckets`` by a hash
+of their id, and the state has a value per bucket: its orders as a compressed Arrow table, so a call of the operator
+works on many orders at once. A version that replaces another
+gives two rows: the old contribution taken back, the new one added. ``foreachBatch`` sums these per group, adds
 them to the metrics of the touched days and commits the days as version ``epoch + 1`` of the metrics table.
 
 So every epoch counts once: the state store takes an epoch that is replayed back to its start, which gives
 the same rows again; of an epoch whose version is committed already only the state is made anew; one that
 died before its commit has left nothing that is read. What an epoch reads is its own changes, the state of
-their orders, and the metrics of their days.
+their orders' buckets, and the metrics of their days. A bucket should hold some hundred orders (``BUCKET_ORDERS``): its state is
+rewritten whole when one of them changes. The number of buckets holds as long as the checkpoint, which notes it.
 
 The order of versions is that of ``ChangeFeedJob``: the latest change time, on equal ones the later epoch's, then the
 least by columns. Versions that break a row rule replace older ones and count nowhere. An order may move to
@@ -23,6 +26,7 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +38,13 @@ from dailytally.session import work_path
 from dailytally.sources import metrics_table as MT
 
 #: Kept per order: when, and what it counts for (``counts`` 0: nothing).
-STATE = "stamp string, restaurant_id string, day long, country string, counts long, completed long, cancelled long, cents long"
+KEPT = ["order_id", "stamp", "restaurant_id", "day", "country", "counts", "completed", "cancelled", "cents"]
+GROUP, COUNTED = KEPT[2:5], KEPT[5:]
+#: The state of a bucket: its orders, as ``packed``.
+STATE = "orders binary"
+#: Orders of a bucket, where the number of buckets is chosen from a table.
+BUCKET_ORDERS = 1000
+LEAST_BUCKETS = 256
 #: A contribution, added (1) or taken back (-1) already.
 DELTAS = "restaurant_id string, day long, country string, total_orders long, completed_orders long, cancelled_orders long, cents long"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -56,35 +66,76 @@ def contributions(versions: DataFrame) -> DataFrame:
     )
 
 
-def latest_version(key: tuple, batches: Iterable[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
-    """The state of one order, and the contributions taken back and added."""
-    old = state.get if state.exists else None
-    best, tie = None, None
-    for pdf in batches:
-        for r in pdf.itertuples(index=False):
-            if best is None or r.stamp > best[0] or (r.stamp == best[0] and r.tie < tie):
-                best, tie = (r.stamp, r.restaurant_id, r.day, r.country, r.counts, r.completed, r.cancelled, r.cents), r.tie
-    if best is None or (old is not None and old[0] > best[0]):
+def packed(orders: pd.DataFrame) -> bytes:
+    """The kept columns as a compressed Arrow stream."""
+    rows, sink = pa.Table.from_pandas(orders[KEPT], preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(state: bytes) -> pd.DataFrame:
+    with pa.ipc.open_stream(pa.py_buffer(bytes(state))) as found:
+        return found.read_pandas()
+
+
+def latest_in_epoch(rows: pd.DataFrame) -> pd.DataFrame:
+    """A row per order: its latest version, on equal times the least ``tie``."""
+    several = rows["order_id"].duplicated(keep=False)
+    if not several.any():
+        return rows
+    best = rows[several].sort_values("tie", kind="stable").sort_values("stamp", ascending=False, kind="stable").drop_duplicates("order_id")
+    return pd.concat([rows[~several], best], ignore_index=True)
+
+
+def latest_versions(key: tuple, batches: Iterable[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
+    """The state of one bucket of orders, and the contributions taken back and added."""
+    found = [b for b in batches if len(b)]
+    if not found:
         return
-    state.update(best)
-    out = [(v[1], v[2], v[3], s * v[4], s * v[5], s * v[6], s * v[7]) for v, s in ((old, -1), (best, 1)) if v is not None and v[4]]
-    if len(out) == 2 and out[0][:3] == out[1][:3] and all(a + b == 0 for a, b in zip(out[0][3:], out[1][3:], strict=True)):
+    new = latest_in_epoch(pd.concat(found, ignore_index=True))[KEPT]
+    old = unpacked(state.get[0]) if state.exists else new.iloc[:0]
+    at = pd.Index(old["order_id"]).get_indexer(new["order_id"])
+    late = at >= 0
+    late[late] = old["stamp"].to_numpy()[at[late]] > new["stamp"].to_numpy()[late]
+    new, at = new[~late], at[~late]
+    if not len(new):
         return
-    if out:
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in DELTAS.split(", ")])
+    gone = at[at >= 0]
+    before, after = old.iloc[gone], new[at >= 0]
+    state.update((packed(pd.concat([old.drop(index=old.index[gone]), new], ignore_index=True)),))
+    # Versions that count alike in the same group change nothing.
+    alike = (before[KEPT[2:]].to_numpy() == after[KEPT[2:]].to_numpy()).all(1)
+    back, more = before[~alike], pd.concat([new[at < 0], after[~alike]])
+    back = back.assign(**{c: -back[c] for c in COUNTED})
+    out = pd.concat([back, more], ignore_index=True)
+    out = out.loc[out["counts"] != 0, GROUP + COUNTED]
+    if len(out):
+        yield out.set_axis([f.split()[0] for f in DELTAS.split(", ")], axis=1)
 
 
 class KeyedStateJob:
-    """Keeps a metrics table current from a stream of order versions, by a state per order."""
+    """Keeps a metrics table current from a stream of order versions, by a state per bucket of orders."""
 
-    def __init__(self, spark: SparkSession, metrics_path: str, run_at: Callable[[], _dt.datetime] | None = None):
-        self.spark, self.metrics_path = spark, metrics_path
+    def __init__(self, spark: SparkSession, metrics_path: str, run_at: Callable[[], _dt.datetime] | None = None, buckets: int = LEAST_BUCKETS):
+        self.spark, self.metrics_path, self.buckets = spark, metrics_path, buckets
         self.run_at = run_at or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
         # Test hook: called after each step of an epoch with its name.
         self.after: Callable[[str], None] = lambda step: None
 
     def deltas(self, changes: DataFrame) -> DataFrame:
-        return contributions(changes).groupBy("order_id").applyInPandasWithState(latest_version, DELTAS, STATE, "update", "NoTimeout")
+        bucket = F.pmod(F.xxhash64("order_id"), F.lit(self.buckets))
+        return contributions(changes).withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(latest_versions, DELTAS, STATE, "update", "NoTimeout")
+
+    def _note_buckets(self, checkpoint: str) -> None:
+        """The number of buckets that the checkpoint's state was made with; this job's, if it is new."""
+        note = f"{checkpoint.rstrip('/')}/buckets"
+        noted = MT._names(self.spark, f"{note}/*")
+        if noted:
+            self.buckets = int(noted[0].rsplit("/", 1)[1])
+            return
+        fs, make = MT._files(self.spark, note)
+        fs.create(make(f"{note}/{self.buckets}"), False).close()
 
     def apply(self, deltas: DataFrame, epoch: int) -> None:
         """Adds an epoch's contributions to the table, once."""
@@ -123,6 +174,7 @@ class KeyedStateJob:
         grows with the number of orders does not have to fit the executors' memory."""
         name = "spark.sql.streaming.stateStore.providerClass"
         before = self.spark.conf.get(name)
+        self._note_buckets(checkpoint)
         self.spark.conf.set(name, ROCKSDB)
         try:
             stream = self.spark.readStream.schema(ORDERS).option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(changes_dir)
@@ -143,8 +195,10 @@ def replay_by_state(spark: SparkSession, orders: DataFrame, feed: Callable[[Data
 
     root = work_path(spark, "keyed")
     changes = SC.changes_after(orders)
-    SC.snapshot_v1(orders).select(*ORDER_COLS).coalesce(1).write.parquet(f"{root}/changes/first")
-    (feed(changes) if feed else changes).select(*ORDER_COLS).repartition(2, "order_id").write.parquet(f"{root}/changes/then")
-    job = KeyedStateJob(spark, f"{root}/metrics", lambda: SC.RUN_TS)
-    job.run(f"{root}/changes/*", f"{root}/checkpoint", max_files_per_trigger=1)
+    SC.snapshot_v1(orders).select(*ORDER_COLS).write.parquet(f"{root}/changes/first")
+    # An epoch for the snapshot, as many files as tasks have written; two for the changes, those of an order in one file.
+    files = max(1, len(MT._names(spark, f"{root}/changes/first/*.parquet")))
+    (feed(changes) if feed else changes).select(*ORDER_COLS).repartition(2 * files, "order_id").write.parquet(f"{root}/changes/then")
+    job = KeyedStateJob(spark, f"{root}/metrics", lambda: SC.RUN_TS, max(LEAST_BUCKETS, orders.count() // BUCKET_ORDERS))
+    job.run(f"{root}/changes/*", f"{root}/checkpoint", max_files_per_trigger=files)
     return MT.read_metrics(spark, f"{root}/metrics")
