@@ -93,12 +93,13 @@ class ChangeFeedJob:
     def versions(self, days: list[_dt.date] | None = None) -> DataFrame:
         """Stored versions that count, of some days only by a partition filter: each day's last base, and the epochs since."""
         data = MT.read_or_empty(self.spark, self.orders_path, VERSIONS_SCHEMA)
+        if days is not None:
+            data = data.where(F.col(ORDER_DATE_COL).isin(days))
         bases = {d: e[-1] for d, e in self._bases().items() if days is None or d in set(days)}
         last = F.lit(INITIAL_EPOCH)
         if bases:
             last = F.coalesce(F.create_map(*[F.lit(x) for kv in bases.items() for x in kv])[F.col(ORDER_DATE_COL)], last)
-        data = data.where((F.col(EPOCH_COL) > last) | (F.col(EPOCH_COL) == -(last + 2)))
-        return data if days is None else data.where(F.col(ORDER_DATE_COL).isin(days))
+        return data.where((F.col(EPOCH_COL) > last) | (F.col(EPOCH_COL) == -(last + 2)))
 
     def compact(self, up_to: int) -> list[_dt.date]:
         """Gives days of many epochs a base of their versions of the epochs up to ``up_to``,
