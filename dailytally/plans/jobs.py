@@ -14,6 +14,9 @@ W4, W8, A9).
    it was, one before 5 the old mark; the re-run redoes the same (idempotent)
    recompute.
 
+Lines of a text source are parsed once per run: the rows are kept (in memory, else on disk)
+until the run ends, so its passes all read the same rows.
+
 A row that turned bad is a change like any other: it touches its group, whose
 recompute no longer counts it, and it moves the mark.
 
@@ -28,7 +31,8 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -102,6 +106,7 @@ class MetricsJob:
         self._changes = changes
         self.cfg = config
         self.last_preview: DataFrame | None = None
+        self._parsed: DataFrame | None = None  # the rows of a text source, while a run reads them
         # Test hooks: called between the metrics write and the state save, and after each step with its name.
         self.after_write: Callable[[], None] | None = None
         self.after: Callable[[str], None] = lambda step: None
@@ -109,8 +114,24 @@ class MetricsJob:
     # --- inputs -------------------------------------------------------------
 
     def _all_orders(self) -> DataFrame:
+        if self._parsed is not None:
+            return self._parsed
         return Q.normalize_orders(self._source() if callable(self._source) else self._source)
 
+    @contextmanager
+    def _parsed_once(self) -> Iterator[None]:
+        """Keeps the rows of a text source until the block ends."""
+        orders = self._all_orders()
+        if self._parsed is not None or Q.RAW_COL not in orders.columns:
+            yield
+            return
+        self._parsed = orders.persist()
+        try:
+            yield
+        finally:
+            self._parsed = None
+            orders.unpersist()
+
     def orders(self) -> DataFrame:
         """Source rows that count: normalised, in quarantine mode only valid ones."""
         df = self._all_orders()
@@ -281,6 +302,10 @@ class MetricsJob:
     # --- runs ---------------------------------------------------------------
 
     def run_incremental(self, dry_run: bool = False, run_at: _dt.datetime | None = None) -> dict:
+        with self._parsed_once():
+            return self._incremental(dry_run, run_at)
+
+    def _incremental(self, dry_run: bool, run_at: _dt.datetime | None) -> dict:
         t0, run_at = time.time(), run_at or _now()
         self._open()
         start = self.watermark()
@@ -314,6 +339,10 @@ class MetricsJob:
         self, start: _dt.date, end: _dt.date, dry_run: bool = False, run_at: _dt.datetime | None = None
     ) -> dict:
         """Recompute the days ``start``..``end``; the mark is not touched."""
+        with self._parsed_once():
+            return self._backfill(start, end, dry_run, run_at)
+
+    def _backfill(self, start: _dt.date, end: _dt.date, dry_run: bool, run_at: _dt.datetime | None) -> dict:
         t0, run_at = time.time(), run_at or _now()
         if start > end:
             raise ValueError("start date must not be after end date")
@@ -339,6 +368,10 @@ class MetricsJob:
         was (every day already rewritten is correct, being recomputed from
         the source). A dry run previews from the epoch, touching nothing.
         """
+        with self._parsed_once():
+            return self._full(dry_run, run_at)
+
+    def _full(self, dry_run: bool, run_at: _dt.datetime | None) -> dict:
         t0, run_at = time.time(), run_at or _now()
         self._open()
         own = self._newer(self._all_orders(), EPOCH)
