@@ -38,7 +38,7 @@ from dailytally.llm.components import components
 
 BANDS, ROWS = 32, 5
 PERCENT = 80
-#: Hash functions; the first BANDS * ROWS make the bands, all together (a byte each) the signature.
+#: Hash functions (a multiple of 8, below 2040); the first BANDS * ROWS make the bands, all together (a byte each) the signature.
 HASHES = 480
 #: Pairs whose signatures agree in less than this share are not confirmed: five
 #: standard deviations below the threshold.
@@ -47,8 +47,8 @@ LIKELY = 0.71
 BLOCK_ROWS = 400
 SIGNATURE_ROWS = 2000
 RUN_BYTES = 1 << 20
-#: Columns of hashes taken at once, for the processor's cache.
-BLOCK = 512
+#: Shingles hashed at once, for the processor's cache.
+BLOCK = 128
 
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -140,32 +140,32 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> Iterator[np.ndarr
 
 
 def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Multiply-add-shift hash functions: odd factors and offsets, from a fixed seed."""
-    rng = np.random.default_rng(8)
-    a, b = rng.integers(0, 1 << 64, (2, n, 1), np.uint64)
-    return a | np.uint64(1), b
+    """Hash functions of 32 bits, which a processor takes several at a time: odd factors and offsets, from a fixed seed."""
+    a, b = np.random.default_rng(8).integers(0, 1 << 32, (2, n), np.uint32)
+    return a | np.uint32(1), b
 
 
 def signature(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The least hash of each function over the set, its upper 32 bits."""
+    """The least hash of each function over the set, of its shingles' upper 32 bits."""
     a, b = family
-    least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), BLOCK):
-        h = a * shingles[None, at : at + BLOCK]
+    x = (shingles >> np.uint64(32)).astype(np.uint32)[:, None]
+    least = np.full(len(a), np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(x), BLOCK):
+        h = x[at : at + BLOCK] * a
         h += b
-        np.minimum(least, h.min(1), out=least)
-    return (least >> np.uint64(32)).astype("<u4")
+        np.minimum(least, h.min(0), out=least)
+    return least
 
 
 def digest(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
-def band_keys(least: np.ndarray) -> list[int]:
-    """A hash of each band's minima, and of the band's number."""
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """For each signature, a hash of each band's minima, and of the band's number."""
     c = mixed(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-    sums = (least[: BANDS * ROWS].astype(np.uint64).reshape(BANDS, ROWS) * c).sum(1, dtype=np.uint64)
-    return mixed(mixed(sums) + np.arange(BANDS, dtype=np.uint64)).view(np.int64).tolist()
+    sums = (least[:, : BANDS * ROWS].astype(np.uint64).reshape(-1, BANDS, ROWS) * c).sum(2, dtype=np.uint64)
+    return mixed(mixed(sums) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
@@ -173,13 +173,16 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = _family(HASHES)
         for b in it:
-            n, node, keys, sig = [], [], [], []
+            n, node, found = [], [], []
             for s in shingle_sets(*utf8(b.column(1)), k):
-                least = signature(s, family)
                 n.append(len(s))
                 node.append(digest(s))
-                keys.append(band_keys(least) if len(s) else None)
-                sig.append(least.astype(np.uint8).tobytes() if len(s) else None)
+                if len(s):
+                    found.append(signature(s, family))
+            least = np.array(found, np.uint32).reshape(-1, HASHES)
+            own = zip(band_keys(least).tolist(), least.astype(np.uint8), strict=True)
+            keys, sig = zip(*[next(own) if m else (None, None) for m in n], strict=True) if n else ((), ())
+            sig = [None if x is None else x.tobytes() for x in sig]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
                 names=["doc_id", "tk", "n_shingles", "node", "keys", "sig"])
@@ -233,24 +236,40 @@ def blocks(rows: DataFrame, most: int) -> DataFrame:
         "key", "node", "n", "component")
 
 
+def agreement(sig: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """In how many places each signature (a row of bytes) agrees with ``own``: eight places are summed at once, in the bytes of a word."""
+    words = np.ascontiguousarray(sig == own).view(np.uint64).sum(1, dtype=np.uint64)
+    return words.view(np.uint8).reshape(-1, 8).sum(1, dtype=np.int64)
+
+
 def likely_in_block(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Row i, later rows, and how far their signatures agree: pairs of different components
+    """Row i, other rows, and how far their signatures agree: pairs of different components
     of one part whose sizes and signatures are near enough, in the first bucket they share."""
-    n, side, key = pdf["n"].to_numpy(), pdf["side"].to_numpy(), pdf["key"].to_numpy()
-    keys, sig = np.stack(pdf["keys"].tolist()), np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
     group = pd.factorize(pdf["component"])[0]
-    for i in range(len(pdf) - 1):
-        j = np.arange(i + 1, len(pdf))
-        # Two parts whose hashes are the same would only bring more rows together.
-        j = j[(group[j] != group[i]) & (key[j] == key[i]) & ((side[j] != side[i]) | (side[j] == 2))]
-        j = j[100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])]
-        if not len(j):
-            continue
-        equal = keys[j] == keys[i]
-        j = j[keys[i][equal.argmax(1)] == key[i]]  # the first bucket that they share
-        agree = (sig[j] == sig[i]).mean(1)
-        if (agree >= LIKELY).any():
-            yield i, j[agree >= LIKELY], agree[agree >= LIKELY]
+    # Two parts whose hashes are the same would only bring more rows together: a bucket at a time.
+    for bucket, at in pdf.groupby("key").indices.items():
+        own = pdf.iloc[at]
+        at, own = at[order := np.argsort(own["n"].to_numpy(), kind="stable")], own.iloc[order]
+        n, side, part = own["n"].to_numpy(), own["side"].to_numpy(), group[at]
+        sig = np.frombuffer(b"".join(own["sig"]), np.uint8).reshape(len(own), -1)
+        # Buckets before this one, a row each: a pair that shares one of them is judged there.
+        keys = np.stack(own["keys"].tolist())
+        before = np.ascontiguousarray(keys[:, : int((keys[0] == bucket).argmax())].T)
+        ends = np.searchsorted(PERCENT * n, 100 * n, side="right")
+        for i in range(len(own) - 1):
+            w = slice(i + 1, ends[i])
+            met = (part[w] != part[i]) & ((side[w] != side[i]) | (side[w] == 2))
+            if not met.any():
+                continue
+            for k in before:
+                met &= k[w] != k[i]
+            j = np.flatnonzero(met) + i + 1
+            if not len(j):
+                continue
+            agree = agreement(sig[j], sig[i]) / sig.shape[1]
+            near = agree >= LIKELY
+            if near.any():
+                yield at[i], at[j[near]], agree[near]
 
 
 def partnered(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -307,7 +326,7 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         for b in it:
             if len(b):
                 x, y = (np.frombuffer(b"".join(b[c]), np.uint8).reshape(len(b), -1) for c in ("sa", "sb"))
-                b = b[(x == y).mean(1) >= LIKELY]
+                b = b[agreement(x, y) / x.shape[1] >= LIKELY]
             yield b[["a", "b"]]
 
     sig = nodes.select("node", "sig")
